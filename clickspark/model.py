@@ -87,10 +87,14 @@ def disordered(df: DataFrame, seq: str = "seq", ms: str = "ms", out: str = "arr"
     return df.withColumn(out, F.col(ms) + F.coalesce(delay, F.lit(0)))
 
 
+# DuckDB's epoch_ms() rounds to the nearest ms; Java/Spark truncate.
+MS_SQL = "(epoch_us(ts) // 1000)"
+
+
 def click_sql(table: str = "events") -> str:
     """The click view as a DuckDB CTE body (used by oracles)."""
     return (f"SELECT event_id AS seq, CAST(user_id AS VARCHAR) AS \"user\", "
-            f"event_type AS url, epoch_ms(ts) AS ms FROM {table}")
+            f"event_type AS url, {MS_SQL} AS ms FROM {table}")
 
 
 def disordered_sql(src: str = "c") -> str:

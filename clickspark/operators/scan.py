@@ -13,14 +13,15 @@ Supported kinds are those with an associative merge: ``sum``, ``count``,
 ``min_by``/``max_by`` (order the struct fields by priority).
 
 Blocks:
-* ``width=w`` with one integral order column: ``block = floor(seq / w)``.
+* ``width=w`` with an integral leading order column: ``block = floor(seq / w)``.
   Deterministic, no sampling pass; at most ``w`` rows per block when the
   sequence is unique (ingestion offsets, event ids).
 * otherwise the rows are range-partitioned on the order columns into an
   explicit number of partitions (sampled bounds, so every block is about
   the same size whatever the distribution) and the partition index is the
   block.  The count is explicit so AQE never coalesces these partitions,
-  and the blocked frame feeds both branches through one reused exchange.
+  and the blocked frame is checkpointed so every branch sees the same
+  blocks.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickspark.session import shuffle_partitions
+from clickspark.session import ensure_checkpoint_dir, shuffle_partitions
 
 BLOCK = "_blk"
 KEY = "_key"
@@ -43,18 +44,26 @@ def add_blocks(df: DataFrame, order: Sequence[str], width: int | None = None,
     """Attach a block id that is monotone in ``order``."""
     order = list(order)
     if width is not None:
-        if len(order) != 1:
-            raise ValueError("width blocks need exactly one integral order column")
+        # blocks from the leading (integral) order column stay monotone in
+        # the lexicographic order of all order columns
         c = F.col(order[0])
         return df.withColumn(name, ((c - F.pmod(c, F.lit(width))) / F.lit(width)).cast("long"))
-    n = partitions or shuffle_partitions(df.sparkSession)
-    return (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order])
-              .withColumn(name, F.spark_partition_id().cast("long")))
+    spark = df.sparkSession
+    n = partitions or shuffle_partitions(spark)
+    ranged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order])
+                .withColumn(name, F.spark_partition_id().cast("long")))
+    # Range bounds are sampled: two copies of this exchange (e.g. after
+    # different column pruning in the two branches of a scan) could cut
+    # blocks differently.  A (lazy, reliable) checkpoint pins one RDD, one
+    # partitioner and one set of block ids for every consumer, and cuts
+    # the lineage in the shared checkpoint folder.
+    ensure_checkpoint_dir(spark)
+    return ranged.checkpoint(eager=False)
 
 
 def _frame_agg(kind: str, expr: Column) -> Column:
     if kind == "count":
-        return F.sum(F.when(expr.isNotNull(), F.lit(1)).otherwise(F.lit(0))).cast("long")
+        return F.sum(F.when(expr.isNotNull(), F.lit(1)).otherwise(F.lit(0)))
     return _AGG[kind](expr)
 
 

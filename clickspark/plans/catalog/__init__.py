@@ -1,3 +1,4 @@
 """Query catalog: importing this package registers every query."""
 
-from clickspark.plans.catalog import windows  # noqa: F401
+from clickspark.plans.catalog import (connectors, partitions, replay, rolling,  # noqa: F401
+                                      transforms, windows)
