@@ -36,7 +36,9 @@ from clickspark.operators.watermark import (first_crossing, floor_div, records,
 def early_firings(df: DataFrame, key: str, seq: str, size_ms: int, step_ms: int,
                   delay_ms: int = 0, ms: str = "ms", width: int | None = None,
                   purge: bool = False) -> DataFrame:
-    """-> (key, windowStart, windowEnd, timer, count) per timer firing.
+    """-> (key, windowStart, windowEnd, timer, fired_at, count) per timer firing;
+    ``fired_at`` is the arrival ``seq`` after which the timer fired (NULL:
+    only the end of input fired it).
 
     ``seq`` is the arrival order (a unique integral column).  With
     ``purge`` each firing reports only the rows since the window's
@@ -86,7 +88,9 @@ def early_firings(df: DataFrame, key: str, seq: str, size_ms: int, step_ms: int,
     both = add_blocks(both, order, width)
     counted = running(both, [key, "windowStart"], order, {"count": ("sum", F.col("_real"))})
     fired = counted.where(F.col("_mark") == 1).select(
-        key, "windowStart", "windowEnd", "timer", F.col("count").cast("long").alias("count"))
+        key, "windowStart", "windowEnd", "timer",
+        F.when(F.col("_pos") != F.lit(LONG_MAX), F.col("_pos")).alias("fired_at"),
+        F.col("count").cast("long").alias("count"))
     if not purge:
         return fired
     # FIRE_AND_PURGE: report what arrived since the previous firing; per

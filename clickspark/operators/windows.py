@@ -36,6 +36,13 @@ def window_bounds(win: str = "window") -> list[Column]:
             to_ms(F.col(f"{win}.end")).alias("windowEnd")]
 
 
+def window_bounds_from(ms: str, size_ms: int, slide_ms: int | None = None) -> list[Column]:
+    """Explode rows into their windows: ``windowStart``/``windowEnd`` columns
+    (use inside ``select``; sliding windows yield one row per window)."""
+    w = window_col(ms, size_ms, slide_ms)
+    return [to_ms(w.start).alias("windowStart"), to_ms(w.end).alias("windowEnd")]
+
+
 def window_agg(df: DataFrame, keys: Sequence[str], size_ms: int, aggs: Mapping[str, Column],
                slide_ms: int | None = None, time_col: str = "ms",
                ts_col: str | None = None) -> DataFrame:

@@ -122,9 +122,10 @@ def late_tagged_union(spark, sf_dir):
 
 _W6 = P.TRIGGER_WINDOW_MS, P.TRIGGER_STEP_MS
 _W6_SQL = with_clicks(
-    'SELECT f.url, f.ws AS windowStart, f.we AS windowEnd, f.timer, count(*) AS "count" FROM f '
+    'SELECT f.url, f.ws AS windowStart, f.we AS windowEnd, f.timer, f.fire_seq AS fired_at, '
+    'count(*) AS "count" FROM f '
     "JOIN p ON p.url = f.url AND p.ws = f.ws AND (f.fire_seq IS NULL OR p.seq <= f.fire_seq) "
-    "GROUP BY f.url, f.ws, f.we, f.timer",
+    "GROUP BY f.url, f.ws, f.we, f.timer, f.fire_seq",
     f"p AS (SELECT *, ms - ms % {_W6[0]} AS ws, ms - ms % {_W6[0]} + {_W6[0]} AS we, "
     "max(ms) OVER (ORDER BY seq) AS runmax FROM c)",
     "g AS (SELECT url, ws, we, min(seq) AS first_seq FROM p GROUP BY ALL)",
@@ -144,8 +145,9 @@ def win_trigger_early(spark, sf_dir):
 
 
 @register("win_trigger_purge",
-          "WITH e AS (" + _W6_SQL + ") SELECT url, windowStart, windowEnd, timer, \"count\" FROM "
-          "(SELECT url, windowStart, windowEnd, timer, \"count\" - lag(\"count\", 1, 0) OVER "
+          "WITH e AS (" + _W6_SQL + ") SELECT url, windowStart, windowEnd, timer, fired_at, "
+          "\"count\" FROM (SELECT url, windowStart, windowEnd, timer, fired_at, "
+          "\"count\" - lag(\"count\", 1, 0) OVER "
           "(PARTITION BY url, windowStart ORDER BY timer) AS \"count\" FROM e) WHERE \"count\" > 0")
 def win_trigger_purge(spark, sf_dir):
     """ST2: the same trigger answering FIRE_AND_PURGE: rows since the last firing."""
