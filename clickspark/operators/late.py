@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickspark.model import LONG_MAX
-from clickspark.operators.scan import running
+from clickspark.operators.scan import materialize, running
 from clickspark.operators.watermark import classify_late, close_watermarks
 
 # ---- fixed values: the reference's window report text ---------------------
@@ -30,7 +30,7 @@ def windows_with_watermark(df: DataFrame, key: str, order: Sequence[str], size_m
 
     -> (key, windowStart, windowEnd, count, watermark, message)
     """
-    q = classify_late(df, order, size_ms, delay_ms, 0, ms, width)
+    q = materialize(classify_late(df, order, size_ms, delay_ms, 0, ms, width))
     counts = (q.where(F.col("cls") == "on_time")
                 .groupBy(key, "windowStart", "windowEnd").agg(F.count(F.lit(1)).alias("count")))
     marks = close_watermarks(q, size_ms, delay_ms, "_wm")
@@ -50,11 +50,12 @@ def lateness_replay(df: DataFrame, key: str, order: Sequence[str], size_ms: int,
     """Classified rows of W7 (``cls`` in on_time / refire / late) with the
     running count of non-late rows of their window at each row
     (``running``)."""
-    q = classify_late(df, order, size_ms, delay_ms, lateness_ms, ms, width)
+    q = materialize(classify_late(df, order, size_ms, delay_ms, lateness_ms, ms, width))
     kept = q.where(F.col("cls") != "late")
     counted = running(kept, [key, "windowStart"], order, {"running": ("count", F.lit(1))})
     late = q.where(F.col("cls") == "late").withColumn("running", F.lit(None).cast("long"))
-    return counted.unionByName(late)
+    # firings, final counts and the side output all read this result
+    return materialize(counted.unionByName(late))
 
 
 def late_firings(replay: DataFrame, key: str, seq: str = "seq") -> DataFrame:

@@ -90,7 +90,9 @@ def running_top(counts: DataFrame, key: str, seq: str, count: str = "count",
     together; on equal counts the newer update wins (``v1 > v2 ? v1 : v2``).
     -> (seq, top_<key>, top_count)"""
     best = F.struct(F.col(count).alias("c"), F.col(seq).alias("s"), F.col(key).alias("k"))
-    res = running(_prep(counts, seq, width), [], [seq], {"_top": ("max", best)})
+    # the counts are themselves a scan: materialize them once for both branches
+    res = running(_prep(counts, seq, width), [], [seq], {"_top": ("max", best)},
+                  persist_input=True)
     return res.select(seq, F.col("_top.k").alias(f"top_{key}"),
                       F.col("_top.c").alias("top_count"))
 

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,8 +58,26 @@ def add_blocks(df: DataFrame, order: Sequence[str], width: int | None = None,
     # blocks differently.  A (lazy, reliable) checkpoint pins one RDD, one
     # partitioner and one set of block ids for every consumer, and cuts
     # the lineage in the shared checkpoint folder.
-    ensure_checkpoint_dir(spark)
-    return ranged.checkpoint(eager=False)
+    return materialize(ranged)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used where one intermediate result feeds several branches (a scan's
+    rows and its block table, a classification and its summaries):
+    without it every branch would recompute the whole lineage, including
+    the input scan.  A reliable checkpoint also cuts the lineage, so a
+    lost executor does not trigger recomputation of earlier stages.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    # persist for the two jobs of an eager checkpoint (count, then write) so
+    # the input is computed once; the checkpoint files replace it after.
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def _frame_agg(kind: str, expr: Column) -> Column:
@@ -83,19 +102,23 @@ def _combine(kind: str, pre: Column, cur: Column) -> Column:
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             aggs: Mapping[str, tuple[str, Column]], *, exclusive: bool = False,
-            block: str = BLOCK) -> DataFrame:
+            block: str = BLOCK, persist_input: bool = False) -> DataFrame:
     """Add running aggregates per ``keys`` in ``order`` (rows up to the
     current one, or strictly before it with ``exclusive=True``).
 
     ``df`` must carry a block column (see :func:`add_blocks`); ``order``
     must be unique within a key so the result is deterministic.
-    ``aggs`` maps output name -> (kind, expression).
+    ``aggs`` maps output name -> (kind, expression).  ``persist_input``
+    materializes the input first when it is expensive to recompute (it is
+    read twice: rows and block totals).
     """
     keys, order = list(keys), list(order)
     base_cols = df.columns
     # One struct key: null-safe under plain equality, and the same
     # expression partitions the window and the join (no extra exchange).
     keyed = df.withColumn(KEY, F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0))
+    if persist_input:
+        keyed = materialize(keyed)
 
     upper = -1 if exclusive else Window.currentRow
     in_block = (Window.partitionBy(KEY, block).orderBy(*order)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickspark.model import LONG_MAX
-from clickspark.operators.scan import BLOCK, add_blocks, running
+from clickspark.operators.scan import BLOCK, add_blocks, materialize, running
 from clickspark.operators.watermark import (first_crossing, floor_div, records,
                                             window_start, with_prev_max)
 
@@ -50,6 +50,8 @@ def early_firings(df: DataFrame, key: str, seq: str, size_ms: int, step_ms: int,
     rows = with_prev_max(df.select(key, seq, ms), [seq], ms, "prevmax", width)
     ws = window_start(ms, size_ms)
     rows = rows.withColumn("windowStart", ws).withColumn("windowEnd", ws + F.lit(size_ms))
+    # read by the window table, the crossing tables and the row markers
+    rows = materialize(rows)
     # rows whose window was already purged are dropped (lateness 0)
     on_time = rows.where(F.col("prevmax").isNull()
                          | (F.col("prevmax") - F.lit(d) < F.col("windowEnd")))
@@ -86,7 +88,8 @@ def early_firings(df: DataFrame, key: str, seq: str, size_ms: int, step_ms: int,
     both = real.unionByName(markers)
     order = ["_pos", "_mark", "timer"]
     both = add_blocks(both, order, width)
-    counted = running(both, [key, "windowStart"], order, {"count": ("sum", F.col("_real"))})
+    counted = running(both, [key, "windowStart"], order, {"count": ("sum", F.col("_real"))},
+                      persist_input=True)
     fired = counted.where(F.col("_mark") == 1).select(
         key, "windowStart", "windowEnd", "timer",
         F.when(F.col("_pos") != F.lit(LONG_MAX), F.col("_pos")).alias("fired_at"),
