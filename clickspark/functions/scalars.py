@@ -11,8 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ---- fixed values (must equal the reference's output formats) ------------
-EVENT_FORMAT = "Event{{user='{user}', url='{url}', ts={ts}}}"
-URL_VIEW_FORMAT = "UrlViewCount{{url='{url}', count={count}, windowStart={start}, windowEnd={end}}}"
+EVENT_PREFIX = "Event{user='"
+URL_VIEW_PREFIX = "UrlViewCount{url='"
 HOUR_PATTERN = "yyyyMMdd HH"
 DAY_PATTERN = "yyyyMMdd"
 FALLBACK_DAY = "19700101"
@@ -91,7 +91,7 @@ def _java_str(c: Column) -> Column:
 def event_string(user: Column | str = "user", url: Column | str = "url",
                  ms: Column | str = "ms", zone: str = "UTC") -> Column:
     """``Event.toString``."""
-    return F.concat(F.lit("Event{user='"), _java_str(_c(user)), F.lit("', url='"),
+    return F.concat(F.lit(EVENT_PREFIX), _java_str(_c(user)), F.lit("', url='"),
                     _java_str(_c(url)), F.lit("', ts="),
                     F.coalesce(java_timestamp(ms, zone), F.lit("null")), F.lit("}"))
 
@@ -100,7 +100,7 @@ def url_view_string(url: Column | str = "url", count: Column | str = "count",
                     start: Column | str = "windowStart", end: Column | str = "windowEnd",
                     zone: str = "UTC") -> Column:
     """``UrlViewCount.toString``."""
-    return F.concat(F.lit("UrlViewCount{url='"), _java_str(_c(url)), F.lit("', count="),
+    return F.concat(F.lit(URL_VIEW_PREFIX), _java_str(_c(url)), F.lit("', count="),
                     _java_str(_c(count)), F.lit(", windowStart="),
                     F.coalesce(java_timestamp(start, zone), F.lit("null")),
                     F.lit(", windowEnd="), F.coalesce(java_timestamp(end, zone), F.lit("null")),
@@ -128,7 +128,7 @@ def parse_hour(text: Column | str, zone: str) -> Column:
 
 def day_of(ms: Column | str, zone: str) -> Column:
     """The day part of F7 (``yyyyMMdd``)."""
-    return F.split(hour_text(ms, zone), " ").getItem(0)
+    return F.date_format(local_time(ms, zone), DAY_PATTERN)
 
 
 def index_day(ms: Column | str, now_ms: int | Column, zone: str) -> Column:

@@ -47,8 +47,8 @@ def add_blocks(df: DataFrame, order: Sequence[str], width: int | None = None,
     if width is not None:
         # blocks from the leading (integral) order column stay monotone in
         # the lexicographic order of all order columns
-        c = F.col(order[0])
-        return df.withColumn(name, ((c - F.pmod(c, F.lit(width))) / F.lit(width)).cast("long"))
+        from clickspark.operators.watermark import floor_div
+        return df.withColumn(name, floor_div(F.col(order[0]), width))
     spark = df.sparkSession
     n = partitions or shuffle_partitions(spark)
     ranged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order])

@@ -22,13 +22,11 @@ Replay plan (all distributed):
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickspark.model import LONG_MAX
-from clickspark.operators.scan import BLOCK, add_blocks, materialize, running
+from clickspark.operators.scan import add_blocks, materialize, running
 from clickspark.operators.watermark import (first_crossing, floor_div, records,
                                             window_start, with_prev_max)
 
@@ -102,5 +100,3 @@ def early_firings(df: DataFrame, key: str, seq: str, size_ms: int, step_ms: int,
     return (fired.withColumn("count", (F.col("count") - prev).cast("long"))
                  .where(F.col("count") > 0))
 
-
-__all__ = ["early_firings", "BLOCK"]

@@ -18,13 +18,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickspark.model import LONG_MAX, LONG_MIN
+from clickspark.model import LONG_MIN
 from clickspark.operators.scan import BLOCK, add_blocks, running
 
 
 def floor_div(x: Column, n: int) -> Column:
-    """Exact floor division of a BIGINT column by a positive constant."""
-    return ((x - F.pmod(x, F.lit(n))) / F.lit(n)).cast("long")
+    """Exact floor division of a BIGINT column by a positive constant
+    (decimal arithmetic: a double quotient loses digits above 2^53)."""
+    exact = (x - F.pmod(x, F.lit(n))).cast("decimal(20,0)")
+    return (exact / F.lit(n).cast("decimal(20,0)")).cast("long")
 
 
 def window_start(ms: Column | str, size_ms: int) -> Column:
@@ -130,6 +132,6 @@ def close_watermarks(classified: DataFrame, size_ms: int, delay_ms: int,
                         (F.col("_cross") - F.lit(delay_ms + 1)).alias(out))
 
 
-__all__ = ["LONG_MAX", "LONG_MIN", "floor_div", "window_start", "blocked", "with_prev_max",
+__all__ = ["floor_div", "window_start", "blocked", "with_prev_max",
            "with_run_max", "watermark_before", "watermark_after", "records",
            "first_crossing", "classify_late", "close_watermarks"]
