@@ -20,19 +20,18 @@ Blocks:
   explicit number of partitions (sampled bounds, so every block is about
   the same size whatever the distribution) and the partition index is the
   block.  The count is explicit so AQE never coalesces these partitions,
-  and the blocked frame is checkpointed so every branch sees the same
-  blocks.
+  and the blocked rows are written once (shared checkpoint folder) so
+  every branch sees the same blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickspark.session import ensure_checkpoint_dir, shuffle_partitions
+from clickspark.session import shared_dir, shuffle_partitions
 
 BLOCK = "_blk"
 KEY = "_key"
@@ -55,29 +54,26 @@ def add_blocks(df: DataFrame, order: Sequence[str], width: int | None = None,
                 .withColumn(name, F.spark_partition_id().cast("long")))
     # Range bounds are sampled: two copies of this exchange (e.g. after
     # different column pruning in the two branches of a scan) could cut
-    # blocks differently.  A (lazy, reliable) checkpoint pins one RDD, one
-    # partitioner and one set of block ids for every consumer, and cuts
-    # the lineage in the shared checkpoint folder.
+    # blocks differently.  Writing the blocked rows once pins one set of
+    # block ids for every consumer.
     return materialize(ranged)
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+    """Write ``df`` once as a parquet table in the shared checkpoint folder
+    and read it back.
 
     Used where one intermediate result feeds several branches (a scan's
     rows and its block table, a classification and its summaries):
     without it every branch would recompute the whole lineage, including
-    the input scan.  A reliable checkpoint also cuts the lineage, so a
-    lost executor does not trigger recomputation of earlier stages.
+    the input scan.  The written table also cuts the lineage, so a lost
+    executor does not trigger recomputation of earlier stages, and readers
+    get column pruning and vectorized scans.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    # persist for the two jobs of an eager checkpoint (count, then write) so
-    # the input is computed once; the checkpoint files replace it after.
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    spark = df.sparkSession
+    path = shared_dir(spark, "clickspark", "stage")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _frame_agg(kind: str, expr: Column) -> Column:
