@@ -117,9 +117,20 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         keyed = materialize(keyed)
 
     upper = -1 if exclusive else Window.currentRow
-    in_block = (Window.partitionBy(KEY, block).orderBy(*order)
-                .rowsBetween(Window.unboundedPreceding, upper))
-    rows = keyed.select("*", *[_frame_agg(kind, e).over(in_block).alias(f"_in_{n}")
+    if keys:
+        # (key, block) hashes spread well: a hot key is cut by the blocks
+        in_block = Window.partitionBy(KEY, block)
+        scanned = keyed
+    else:
+        # one partition key per block would collide under hashing (several
+        # blocks in one task); range partitioning on the block id (with
+        # spare partitions, so sampled bounds separate every block) gives
+        # each task one block and satisfies the window's clustering as is
+        in_block = Window.partitionBy(block)
+        scanned = keyed.repartitionByRange(2 * shuffle_partitions(df.sparkSession),
+                                           F.col(block))
+    in_block = in_block.orderBy(*order).rowsBetween(Window.unboundedPreceding, upper)
+    rows = scanned.select("*", *[_frame_agg(kind, e).over(in_block).alias(f"_in_{n}")
                                for n, (kind, e) in aggs.items()])
 
     totals = keyed.groupBy(KEY, block).agg(

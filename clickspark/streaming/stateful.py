@@ -140,44 +140,44 @@ def lateness_stream(clicks: DataFrame, key: str, size_ms: int, delay_ms: int,
 
 
 class EarlyFiringProcessor(StatefulProcessor):
-    """W6 twin: on a window's first row register a timer every ``step`` and
-    at ``end - 1``; each timer emits the window's count (monotonous
-    watermark; Spark timers are set one ms later so they fire when the
-    reference watermark ``max - 1`` reaches the timer)."""
+    """W6 twin, grouped by (key, window) so state is window-scoped like the
+    reference's trigger state: ``ValueState`` ``first_event`` (value /
+    update / clear, ST1) and the window's count.  On the first row register
+    a timer every ``step`` and at ``end - 1``; each timer emits the count;
+    the close timer clears the state.  (Monotonous watermark: Spark timers
+    are set one ms later so they fire when the reference watermark
+    ``max - 1`` reaches the timer.)"""
 
     def __init__(self, size_ms: int, step_ms: int, purge: bool = False):
         self.size, self.step, self.purge = size_ms, step_ms, purge
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.wins = handle.getMapState("windows", _LONG, _LONG)
+        self.first = handle.getValueState(
+            "first_event", T.StructType([T.StructField("v", T.BooleanType())]))
+        self.count = handle.getValueState("count", _LONG)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            for ms in pdf["ms"].tolist():
-                ms = int(ms)
-                ws = ms - ms % self.size
-                if self.wins.containsKey((ws,)):
-                    (n,) = self.wins.getValue((ws,))
-                else:
-                    n = 0
-                    for t in [*range(ws, ws + self.size, self.step), ws + self.size - 1]:
-                        self.handle.registerTimer(t + 1)
-                self.wins.updateValue((ws,), (n + 1,))
+        ws = int(key[1])
+        n = sum(len(pdf) for pdf in rows)
+        if not self.first.exists():
+            for t in [*range(ws, ws + self.size, self.step), ws + self.size - 1]:
+                self.handle.registerTimer(t + 1)
+            self.first.update((True,))
+        (c,) = self.count.get() if self.count.exists() else (0,)
+        self.count.update((c + n,))
         yield pd.DataFrame([], columns=["key", "windowStart", "windowEnd", "timer", "count"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        k, ws = key[0], int(key[1])
         t = expiredTimerInfo.getExpiryTimeInMs() - 1
-        ws = t - t % self.size
-        out = []
-        if self.wins.containsKey((ws,)):
-            (n,) = self.wins.getValue((ws,))
-            if n > 0 or not self.purge:
-                out.append((key[0], ws, ws + self.size, t, n))
-            if t == ws + self.size - 1:
-                self.wins.removeKey((ws,))
-            elif self.purge:
-                self.wins.updateValue((ws,), (0,))
+        (c,) = self.count.get() if self.count.exists() else (0,)
+        out = [] if (self.purge and c == 0) else [(k, ws, ws + self.size, t, c)]
+        if t == ws + self.size - 1:           # window closes: clear()
+            self.first.clear()
+            self.count.clear()
+        elif self.purge:
+            self.count.update((0,))
         yield pd.DataFrame(out, columns=["key", "windowStart", "windowEnd", "timer", "count"])
 
     def close(self) -> None:
@@ -185,10 +185,12 @@ class EarlyFiringProcessor(StatefulProcessor):
 
 
 def early_firings_stream(clicks: DataFrame, key: str, size_ms: int, step_ms: int,
-                         purge: bool = False, ts: str = "ts") -> DataFrame:
+                         purge: bool = False, ts: str = "ts", ms: str = "ms") -> DataFrame:
+    from pyspark.sql import functions as F
     enable_state_store(clicks.sparkSession)
-    src = clicks.withWatermark(ts, "0 milliseconds")
-    return src.groupBy(key).transformWithStateInPandas(
+    src = (clicks.withWatermark(ts, "0 milliseconds")
+           .withColumn("_ws", F.col(ms) - F.pmod(F.col(ms), F.lit(size_ms))))
+    return src.groupBy(key, "_ws").transformWithStateInPandas(
         statefulProcessor=EarlyFiringProcessor(size_ms, step_ms, purge),
         outputStructType=EARLY_SCHEMA, outputMode="Append", timeMode="EventTime")
 

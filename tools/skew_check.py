@@ -3,7 +3,10 @@
 Builds a derived copy of ``events`` (every third row re-assigned to user 0)
 in a scratch folder, runs the running count per user (A6) two ways, the
 two-level scan and a naive ``Window.partitionBy(user)``, and reads the
-per-task shuffle-read record counts from Spark's event log.  Prints the
+per-task shuffle-read record counts from Spark's event log (the input
+scan of one small file is a single task either way).  A second case gives a
+third of the rows one arrival instant and runs the watermark's global
+running max with range blocks and with a naive global window.  Prints the
 largest task of each run as a share of all rows.
 
 usage: python tools/skew_check.py [sf_dir] [scratch_dir]
@@ -60,7 +63,21 @@ def main(argv: list[str]) -> None:
         Window.partitionBy("user").orderBy("seq")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     naive.write.format("noop").mode("overwrite").save()
-    groups = {g: set(sc.statusTracker().getJobIdsForGroup(g)) for g in ("two_level", "naive")}
+    # Scenario 2: a third of the rows arrive at one instant (a backfill);
+    # the watermark's global running max in arrival order (arr, seq).
+    from clickspark.operators.watermark import with_prev_max
+    burst = c.join(spark.read.parquet(path).select(F.col("event_id").alias("seq"), "ts"), "seq")
+    burst = burst.withColumn("arr", F.when(F.col("seq") % 3 == 0, F.lit(1_700_000_000_000))
+                             .otherwise(F.col("seq") * 1000 + F.lit(1_600_000_000_000)))
+    burst = burst.withColumn("ms", F.col("arr"))
+    sc.setJobGroup("range_blocks", "watermark scan, range blocks")
+    with_prev_max(burst, ["arr", "seq"]).write.format("noop").mode("overwrite").save()
+    sc.setJobGroup("global_window", "naive global window")
+    burst.withColumn("prevmax", F.max("ms").over(
+        Window.orderBy("arr", "seq").rowsBetween(Window.unboundedPreceding, -1))) \
+        .write.format("noop").mode("overwrite").save()
+    names = ("two_level", "naive", "range_blocks", "global_window")
+    groups = {g: set(sc.statusTracker().getJobIdsForGroup(g)) for g in names}
     spark.stop()
 
     stage_group, task_reads = {}, {}
