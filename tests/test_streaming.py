@@ -131,3 +131,41 @@ def test_processing_time_timers_stream(spark):
     timers = [r.at_ms for r in got if r.kind == "timer"]
     assert len(arrivals) == 3 and timers
     assert min(timers) >= min(arrivals) + 300
+
+
+def _run_update(df, name):
+    ck = tempfile.mkdtemp(prefix="clickspark-ck-", dir="/tmp")
+    q = (df.writeStream.format("memory").queryName(name).outputMode("update")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    return df.sparkSession.sql(f"SELECT * FROM {name}").collect()
+
+
+def test_rolling_stream_update_mode(spark):
+    rows = [("Mary", "./home", 3000), ("Mary", "./home1", 1000), ("Bob", "./cart", 2000),
+            ("Bob", "./cart", 4000)]
+    src = TW.click_lines_stream(spark, _feed(rows), files_per_trigger=1)
+    # arrival sequence = the file's position in the feed
+    src = src.withColumn("seq", F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1)
+                         .cast("long"))
+    got = [(r.user, r.url, r.ms) for r in
+           _run_update(TW.rolling_stream(src, "user", "seq", "min", "ms", ("url",)), "amin")]
+    # one update per micro-batch, in arrival order (the rolling min transcript)
+    assert got == [("Mary", "./home", 3000), ("Mary", "./home", 1000),
+                   ("Bob", "./cart", 2000), ("Bob", "./cart", 2000)]
+
+
+def test_click_generator_rate_stream(spark):
+    from clickspark.sources import generators as G
+    s = G.click_stream(spark, rows_per_second=20, start_ms=BASE)
+    ck = tempfile.mkdtemp(prefix="clickspark-ck-", dir="/tmp")
+    q = (s.writeStream.format("memory").queryName("gen").outputMode("append")
+         .option("checkpointLocation", ck).start())
+    deadline = time.time() + 60
+    while time.time() < deadline and spark.sql("SELECT count(*) c FROM gen").collect()[0].c < 5:
+        time.sleep(0.5)
+    q.stop()                       # the reference's cancel()
+    got = spark.sql("SELECT * FROM gen").collect()
+    assert len(got) >= 5
+    assert {r.user for r in got} <= set(G.USERS) and {r.url for r in got} <= set(G.URLS)
+    assert all(r.ms == BASE + r.seq * 50 for r in got)
