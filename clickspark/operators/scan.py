@@ -15,13 +15,13 @@ Supported kinds are those with an associative merge: ``sum``, ``count``,
 Blocks:
 * ``width=w`` with an integral leading order column: ``block = floor(seq / w)``.
   Deterministic, no sampling pass; at most ``w`` rows per block when the
-  sequence is unique (ingestion offsets, event ids).
+  sequence is unique (ingestion offsets, event ids).  :func:`block_width`
+  picks ``w`` from the sequence range so the block count stays bounded.
 * otherwise the rows are range-partitioned on the order columns into an
   explicit number of partitions (sampled bounds, so every block is about
-  the same size whatever the distribution) and the partition index is the
-  block.  The count is explicit so AQE never coalesces these partitions,
-  and the blocked rows are written once (shared checkpoint folder) so
-  every branch sees the same blocks.
+  the same size whatever the distribution; AQE sizes them from the data)
+  and the partition index is the block.  The blocked rows are written once
+  (shared checkpoint folder) so every branch sees the same blocks.
 """
 
 from __future__ import annotations
@@ -48,10 +48,13 @@ def add_blocks(df: DataFrame, order: Sequence[str], width: int | None = None,
         # the lexicographic order of all order columns
         from clickspark.operators.watermark import floor_div
         return df.withColumn(name, floor_div(F.col(order[0]), width))
-    spark = df.sparkSession
-    n = partitions or shuffle_partitions(spark)
-    ranged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order])
-                .withColumn(name, F.spark_partition_id().cast("long")))
+    cols = [F.col(c).asc_nulls_first() for c in order]
+    # Without an explicit count AQE sizes the blocks from the data (small
+    # inputs become a few blocks, large ones ~advisory size each); coalesced
+    # range partitions stay contiguous, so partition ids stay monotone.
+    ranged = (df.repartitionByRange(partitions, *cols) if partitions
+              else df.repartitionByRange(*cols))
+    ranged = ranged.withColumn(name, F.spark_partition_id().cast("long"))
     # Range bounds are sampled: two copies of this exchange (e.g. after
     # different column pruning in the two branches of a scan) could cut
     # blocks differently.  Writing the blocked rows once pins one set of
@@ -59,6 +62,20 @@ def add_blocks(df: DataFrame, order: Sequence[str], width: int | None = None,
     return materialize(ranged)
 
 
+def block_width(df: DataFrame, seq: str, min_width: int = 4096,
+                blocks: int | None = None) -> int:
+    """Width for :func:`add_blocks` on a unique integral sequence: about
+    ``blocks`` (default 2 x shuffle partitions) blocks over the sequence's
+    range, at least ``min_width`` wide.  Both the number of blocks and the
+    rows per block (at most the width) stay bounded at any scale.  One
+    small aggregate job (two numbers reach the driver)."""
+    target = blocks or 2 * shuffle_partitions(df.sparkSession)
+    lo, hi = df.agg(F.min(seq), F.max(seq)).first()
+    if lo is None:
+        return min_width
+    return max(min_width, -(-(hi - lo + 1) // target))
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a parquet table in the shared checkpoint folder
     and read it back.
@@ -123,12 +140,11 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         scanned = keyed
     else:
         # one partition key per block would collide under hashing (several
-        # blocks in one task); range partitioning on the block id (with
-        # spare partitions, so sampled bounds separate every block) gives
-        # each task one block and satisfies the window's clustering as is
+        # blocks in one task); range partitioning on the block id keeps
+        # blocks whole, puts about one block in each task and satisfies the
+        # window's clustering as is
         in_block = Window.partitionBy(block)
-        scanned = keyed.repartitionByRange(2 * shuffle_partitions(df.sparkSession),
-                                           F.col(block))
+        scanned = keyed.repartitionByRange(F.col(block))
     in_block = in_block.orderBy(*order).rowsBetween(Window.unboundedPreceding, upper)
     rows = scanned.select("*", *[_frame_agg(kind, e).over(in_block).alias(f"_in_{n}")
                                for n, (kind, e) in aggs.items()])

@@ -13,6 +13,12 @@ def click_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clicks(load(spark, sf_dir, "events"))
 
 
+def event_width(spark: SparkSession, sf_dir: str) -> int:
+    """Arrival-block width for in-order scans keyed on ``event_id``."""
+    from clickspark.operators.scan import block_width
+    return block_width(load(spark, sf_dir, "events").select("event_id"), "event_id")
+
+
 def with_clicks(body: str, *ctes: str) -> str:
     """``WITH c AS (click view), <ctes> <body>`` for DuckDB."""
     return "WITH " + ", ".join([CLICKS_CTE, *ctes]) + "\n" + body

@@ -33,6 +33,3 @@ BOB = "2"
 # Fixed "now" for the index router (2024-01-23T08:53:20Z), inside the
 # events' time range so both routes occur.
 NOW_MS = 1_706_000_000_000
-
-# Arrival blocks for in-order scans keyed on event_id.
-SEQ_BLOCK = 1 << 14
