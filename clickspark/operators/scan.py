@@ -62,7 +62,7 @@ def add_blocks(df: DataFrame, order: Sequence[str], width: int | None = None,
     return materialize(ranged)
 
 
-def block_width(df: DataFrame, seq: str, min_width: int = 4096,
+def block_width(df: DataFrame, seq: str, min_width: int = 1 << 16,
                 blocks: int | None = None) -> int:
     """Width for :func:`add_blocks` on a unique integral sequence: about
     ``blocks`` (default 2 x shuffle partitions) blocks over the sequence's

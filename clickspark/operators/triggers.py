@@ -86,8 +86,9 @@ def early_firings(df: DataFrame, key: str, seq: str, size_ms: int, step_ms: int,
     both = real.unionByName(markers)
     order = ["_pos", "_mark", "timer"]
     both = add_blocks(both, order, width)
-    counted = running(both, [key, "windowStart"], order, {"count": ("sum", F.col("_real"))},
-                      persist_input=True)
+    # ``both`` is cheap to read twice: the rows come from the written table
+    # and the markers are small (size/step + 1 per window)
+    counted = running(both, [key, "windowStart"], order, {"count": ("sum", F.col("_real"))})
     fired = counted.where(F.col("_mark") == 1).select(
         key, "windowStart", "windowEnd", "timer",
         F.when(F.col("_pos") != F.lit(LONG_MAX), F.col("_pos")).alias("fired_at"),

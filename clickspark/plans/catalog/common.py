@@ -13,10 +13,18 @@ def click_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clicks(load(spark, sf_dir, "events"))
 
 
+_WIDTHS: dict[tuple, int] = {}
+
+
 def event_width(spark: SparkSession, sf_dir: str) -> int:
-    """Arrival-block width for in-order scans keyed on ``event_id``."""
+    """Arrival-block width for in-order scans keyed on ``event_id``
+    (computed once per input folder and partition setting)."""
     from clickspark.operators.scan import block_width
-    return block_width(load(spark, sf_dir, "events").select("event_id"), "event_id")
+    from clickspark.session import shuffle_partitions
+    key = (spark.sparkContext.applicationId, sf_dir, shuffle_partitions(spark))
+    if key not in _WIDTHS:
+        _WIDTHS[key] = block_width(load(spark, sf_dir, "events").select("event_id"), "event_id")
+    return _WIDTHS[key]
 
 
 def with_clicks(body: str, *ctes: str) -> str:
