@@ -8,11 +8,13 @@ Two forms:
   merges partial aggregates natively; this is the scalable default.
 * :class:`Accumulator` + :func:`aggregate_with` - arbitrary Python state.
   Phase 1 (``mapInPandas``) folds every input partition into one
-  accumulator per key (map-side combine); phase 2 (``applyInPandas`` per
-  key) merges at most one partial per input partition and finishes.  So a
-  hot key costs one small state per partition, never its rows.  The state
-  itself must stay small (e.g. a count, a sketch); an exact distinct set
-  grows with the number of distinct values.
+  accumulator per key (map-side combine); phase 2 hash-partitions the
+  partial states by key and merges them in one ``mapInPandas`` pass per
+  partition (at most one partial per input partition and key).  So a
+  hot key costs one small state per partition, never its rows.  A state
+  that grows with distinct values (an exact user set) is salted first:
+  :func:`salted` splits each group by ``hash(value) mod B`` into disjoint
+  sub-groups whose results add up exactly.
 """
 
 from __future__ import annotations
@@ -61,15 +63,19 @@ class Accumulator:
         raise NotImplementedError
 
 
-def aggregate_with(df: DataFrame, keys: Sequence[str], acc: Accumulator, out: str,
-                   out_type: str) -> DataFrame:
+def aggregate_with(df: DataFrame, keys: Sequence[str], acc: Accumulator,
+                   out: Mapping[str, str] | str, out_type: str | None = None) -> DataFrame:
     """Group by ``keys`` and aggregate with a Python :class:`Accumulator`.
 
-    -> (keys..., out)
+    ``out`` is one output column (``out``, ``out_type``) or a mapping
+    name -> type; with a mapping ``acc.result`` returns a dict.
+    -> (keys..., outputs...)
     """
     keys = list(keys)
+    outs = {out: out_type} if isinstance(out, str) else dict(out)
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                            for f in df.schema.fields if f.name in keys)
+    out_schema = ", ".join(f"`{n}` {t}" for n, t in outs.items())
 
     def partial(batches):
         states: dict[tuple, object] = {}
@@ -80,16 +86,31 @@ def aggregate_with(df: DataFrame, keys: Sequence[str], acc: Accumulator, out: st
         rows = [(*k, pickle.dumps(s)) for k, s in states.items()]
         yield pd.DataFrame(rows, columns=[*keys, "_state"])
 
-    def final(pdf: pd.DataFrame) -> pd.DataFrame:
-        state = acc.create()
-        for blob in pdf["_state"]:
-            state = acc.merge(state, pickle.loads(blob))
-        first = pdf.iloc[0]
-        return pd.DataFrame([[*[first[k] for k in keys], acc.result(state)]],
-                            columns=[*keys, out])
+    def final(batches):
+        # every partial state of a key is in this task (hash-partitioned by
+        # key); at most one partial per input partition and key
+        states: dict[tuple, object] = {}
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                k, blob = tuple(row[:-1]), row[-1]
+                s = pickle.loads(blob)
+                states[k] = acc.merge(states[k], s) if k in states else s
+        rows = []
+        for k, s in states.items():
+            res = acc.result(s)
+            rows.append([*k, *([res[n] for n in outs] if isinstance(out, Mapping) else [res])])
+        yield pd.DataFrame(rows, columns=[*keys, *outs])
 
     partials = df.mapInPandas(partial, f"{key_schema}, _state binary")
-    return partials.groupBy(*keys).applyInPandas(final, f"{key_schema}, `{out}` {out_type}")
+    return (partials.repartition(*keys)
+                    .mapInPandas(final, f"{key_schema}, {out_schema}"))
+
+
+def salted(df: DataFrame, col: str, buckets: int, name: str = "_salt") -> DataFrame:
+    """Add a salt ``hash(col) mod buckets``: a hot group becomes ``buckets``
+    disjoint sub-groups (exact for distinct counts, sums and counts, which
+    add up across salts)."""
+    return df.withColumn(name, F.pmod(F.hash(F.col(col)), F.lit(buckets)))
 
 
 class AvgPv(Accumulator):
@@ -119,6 +140,15 @@ class AvgPv(Accumulator):
         return float(n) / len(users) if users else None
 
 
+class PvUv(AvgPv):
+    """AvgPv's accumulator reporting its parts, so salted partial results
+    can be added up: -> {"pv": clicks, "uv": distinct users}."""
+
+    def result(self, acc):
+        users, n = acc
+        return {"pv": int(n), "uv": len(users)}
+
+
 class CountAcc(Accumulator):
     """The incremental count of the reference's url view aggregate."""
 
