@@ -104,3 +104,31 @@ def final_top(df: DataFrame, key: str, seq: str) -> DataFrame:
                                   F.max(seq).alias("last_seq"))
     top = per_key.agg(F.max(F.struct("count", "last_seq", key)).alias("_t"))
     return top.select(F.col(f"_t.{key}").alias(key), F.col("_t.count").alias("count"))
+
+
+def keyed_final(df: DataFrame, key: str, seq: str, kind: str, field: str,
+                   others: tuple[str, ...] = ()) -> DataFrame:
+    """Final form of the rolling aggregates (the last rolling row per key)
+    as one partial aggregation: ``groupBy(key).agg``.  ``kind``: sum / max /
+    min / max_by / min_by / count.  ``others`` keep the key's first row
+    (max/min) or come with the extreme row (max_by/min_by); ties keep the
+    earlier row.  Works on batch and streaming frames (update mode)."""
+    f, s = F.col(field), F.col(seq)
+    if kind == "count":
+        return df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
+    if kind == "sum":
+        return df.groupBy(key).agg(F.sum(f).alias(field))
+    if kind in ("max", "min"):
+        first = F.min_by(F.struct(*[F.col(o) for o in others]), s) if others else None
+        ext = (F.max if kind == "max" else F.min)(f).alias(field)
+        aggs = [ext] + ([first.alias("_first")] if first is not None else [])
+        res = df.groupBy(key).agg(*aggs)
+        return res.select(key, *[F.col(f"_first.{o}").alias(o) for o in others], field)
+    if kind in ("max_by", "min_by"):
+        tie = -s if kind == "max_by" else s
+        best = F.struct(f.alias("_f"), tie.alias("_t"), *[F.col(o) for o in others], s.alias(seq))
+        agg = (F.max if kind == "max_by" else F.min)(best).alias("_b")
+        return df.groupBy(key).agg(agg).select(
+            key, *[F.col(f"_b.{o}").alias(o) for o in others], F.col("_b._f").alias(field),
+            F.col(f"_b.{seq}").alias(seq))
+    raise ValueError(kind)

@@ -100,27 +100,8 @@ def console(df: DataFrame, prefix: str | None = None):
 
 def rolling_stream(clicks: DataFrame, key: str, seq: str, kind: str, field: str,
                    others: tuple[str, ...] = ()) -> DataFrame:
-    """A1-A6 streaming: ``groupBy(key).agg`` in update mode emits the key's
-    running value after every micro-batch (one row per batch = the batch
-    rolling output).  ``kind``: sum / max / min / max_by / min_by / count.
-    ``others`` keep the key's first row (max/min) or come with the extreme
-    row (max_by/min_by); ties keep the earlier row."""
-    f, s = F.col(field), F.col(seq)
-    if kind == "count":
-        return clicks.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
-    if kind == "sum":
-        return clicks.groupBy(key).agg(F.sum(f).alias(field))
-    if kind in ("max", "min"):
-        first = F.min_by(F.struct(*[F.col(o) for o in others]), s) if others else None
-        ext = (F.max if kind == "max" else F.min)(f).alias(field)
-        aggs = [ext] + ([first.alias("_first")] if first is not None else [])
-        res = clicks.groupBy(key).agg(*aggs)
-        return res.select(key, *[F.col(f"_first.{o}").alias(o) for o in others], field)
-    if kind in ("max_by", "min_by"):
-        tie = -s if kind == "max_by" else s
-        best = F.struct(f.alias("_f"), tie.alias("_t"), *[F.col(o) for o in others], s.alias(seq))
-        agg = (F.max if kind == "max_by" else F.min)(best).alias("_b")
-        return clicks.groupBy(key).agg(agg).select(
-            key, *[F.col(f"_b.{o}").alias(o) for o in others], F.col("_b._f").alias(field),
-            F.col(f"_b.{seq}").alias(seq))
-    raise ValueError(kind)
+    """A1-A6 streaming: the keyed final form (``groupBy(key).agg``) in update
+    mode emits the key's running value after every micro-batch (one row per
+    batch = the batch rolling output)."""
+    from clickspark.operators.rolling import keyed_final
+    return keyed_final(clicks, key, seq, kind, field, others)

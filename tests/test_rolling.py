@@ -81,3 +81,22 @@ def test_scan_matches_brute_force_with_hot_key(spark):
         assert got == {i: e[:4] for i, e in exp.items()}
         glob = running(blocks, [], ["arr"], {"pm": ("max", F.col("v"))}, exclusive=True)
         assert {r.id: r.pm for r in glob.collect()} == {i: e[4] for i, e in exp.items()}
+
+
+def test_keyed_final_is_last_rolling_row(spark):
+    rnd = random.Random(3)
+    rows = [(i, rnd.choice("abc"), f"u{i % 4}", rnd.randrange(10)) for i in range(60)]
+    df = spark.createDataFrame(rows, "seq long, k string, url string, v long")
+    last = {}
+    for kind, roll in (("sum", lambda: R.rolling_sum(df, "k", "seq", "v", width=16)),
+                       ("max", lambda: R.rolling_max(df, "k", "seq", "v", ["url"], width=16)),
+                       ("min_by", lambda: R.rolling_min_by(df, "k", "seq", "v", ["url"],
+                                                           width=16))):
+        order = "at_seq" if kind == "min_by" else "seq"
+        for r in roll().orderBy(order).collect():
+            last[(kind, r.k)] = (r.v, None if kind == "sum" else r.url)
+        fin = R.keyed_final(df, "k", "seq", kind, "v", () if kind == "sum" else ("url",))
+        for r in fin.collect():
+            assert (r.v, getattr(r, "url", None)) == last[(kind, r.k)], kind
+    cnt = {r.k: r["count"] for r in R.keyed_final(df, "k", "seq", "count", "v").collect()}
+    assert cnt == {k: sum(1 for x in rows if x[1] == k) for k in "abc"}
