@@ -16,8 +16,13 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickspark.functions.scalars import java_timestamp
 from clickspark.model import event_time, to_ms
 
+# ---- fixed values: the reference's distinct-visitor report text ------------
+UV_REPORT = ("窗口: ", " ~ ", " 的独立访客数量是：")
+# ---------------------------------------------------------------------------
+
 
 def _dur(ms: int) -> str:
     return f"{int(ms)} milliseconds"
@@ -109,6 +114,13 @@ def unique_visitors(df: DataFrame, size_ms: int, user: str = "user", time_col: s
     return window_agg(df, [], size_ms, {"uv": agg}, time_col=time_col, ts_col=ts_col)
 
 
+def uv_report(zone: str = "UTC") -> Column:
+    """W3's report line: window bounds as ``Timestamp`` text and the count."""
+    a, b, c = UV_REPORT
+    return F.concat(F.lit(a), java_timestamp("windowStart", zone), F.lit(b),
+                    java_timestamp("windowEnd", zone), F.lit(c), F.col("uv").cast("string"))
+
+
 def process_windows(aggregated: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """A window function that sees the key, the window bounds and the
     incremental aggregate of its window (the reference's

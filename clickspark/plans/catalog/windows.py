@@ -56,12 +56,21 @@ def win_slide_pv_uv_two_stage(spark, sf_dir):
                              P.SLIDE_PVUV_STEP_MS)
 
 
+def _jts_sql(ms: str) -> str:
+    return (f"regexp_replace(strftime(make_timestamp(({ms} + 28800000) * 1000), "
+            "'%Y-%m-%d %H:%M:%S.%g'), '0{1,2}$', '')")
+
+
 @register("win_uv", with_clicks(
-    f'SELECT count(DISTINCT "user") AS uv, ms - ms % {P.UV_SIZE_MS} AS windowStart, '
-    f"ms - ms % {P.UV_SIZE_MS} + {P.UV_SIZE_MS} AS windowEnd FROM c GROUP BY ALL"))
+    "SELECT uv, ws AS windowStart, ws + {s} AS windowEnd, '窗口: ' || {a} || ' ~ ' || {b} || "
+    "' 的独立访客数量是：' || CAST(uv AS VARCHAR) AS message FROM (SELECT ms - ms % {s} AS ws, "
+    'count(DISTINCT "user") AS uv FROM c GROUP BY 1)'.format(
+        s=P.UV_SIZE_MS, a=_jts_sql("ws"), b=_jts_sql(f"ws + {P.UV_SIZE_MS}"))))
 def win_uv(spark, sf_dir):
-    """Distinct visitors per tumbling 10 s window."""
-    return W.unique_visitors(click_view(spark, sf_dir), P.UV_SIZE_MS)
+    """Distinct visitors per tumbling 10 s window, with the report line
+    (bounds as Timestamp text in UTC+8)."""
+    res = W.unique_visitors(click_view(spark, sf_dir), P.UV_SIZE_MS)
+    return res.withColumn("message", W.uv_report("Asia/Shanghai"))
 
 
 def _url_view_report(pdf):

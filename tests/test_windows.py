@@ -112,3 +112,9 @@ def test_process_windows_sees_context(spark):
     out = W.process_windows(agg, fn, "url string, count long, windowStart long, "
                                      "windowEnd long, span long")
     assert {r.span for r in out.collect()} == {10000}
+
+
+def test_uv_report_text(spark):
+    res = W.unique_visitors(clicks(spark, W3), 10000).withColumn("m", W.uv_report("Asia/Shanghai"))
+    first = res.orderBy("windowStart").collect()[0].m
+    assert first == "窗口: 2022-05-12 09:49:10.0 ~ 2022-05-12 09:49:20.0 的独立访客数量是：3"
