@@ -21,7 +21,6 @@ def get_spark(master: str | None = None, app: str = "clickspark",
     builder = (SparkSession.builder.appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -58,6 +57,20 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts, uuid.uuid4().hex])
 
 
+def drop_stage_tables(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables (``clickspark/`` under
+    the checkpoint folder).  Call at the end of a job, once no DataFrame
+    built by the library is used any more."""
+    base = _checkpoint_dir(spark)
+    if not base:
+        return
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base.rstrip("/") + "/clickspark")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable (sets a folder only if unset)."""
     if not _checkpoint_dir(spark):
@@ -75,5 +88,5 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["get_spark", "shared_dir", "ensure_checkpoint_dir", "shuffle_partitions",
-           "local_path"]
+__all__ = ["get_spark", "shared_dir", "drop_stage_tables", "ensure_checkpoint_dir",
+           "shuffle_partitions", "local_path"]

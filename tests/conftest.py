@@ -12,6 +12,8 @@ def spark():
     s = get_spark("local[4]", shuffle_partitions=4)
     ensure_checkpoint_dir(s)
     yield s
+    from clickspark.session import drop_stage_tables
+    drop_stage_tables(s)
 
 
 SF = "/root/testdata/sf0.001"
