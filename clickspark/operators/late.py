@@ -47,29 +47,32 @@ def windows_with_watermark(df: DataFrame, key: str, order: Sequence[str], size_m
 def lateness_replay(df: DataFrame, key: str, order: Sequence[str], size_ms: int,
                     delay_ms: int, lateness_ms: int, ms: str = "ms",
                     width: int | None = None) -> DataFrame:
-    """Classified rows of W7 (``cls`` in on_time / refire / late) with the
-    running count of non-late rows of their window at each row
-    (``running``)."""
-    q = materialize(classify_late(df, order, size_ms, delay_ms, lateness_ms, ms, width))
-    kept = q.where(F.col("cls") != "late")
-    counted = running(kept, [key, "windowStart"], order, {"running": ("count", F.lit(1))})
-    late = q.where(F.col("cls") == "late").withColumn("running", F.lit(None).cast("long"))
-    # firings, final counts and the side output all read this result
-    return materialize(counted.unionByName(late))
-
-
-def late_firings(replay: DataFrame, key: str, seq: str = "seq") -> DataFrame:
+    """Classified rows of W7: ``cls`` in on_time / refire / late, with their
+    window.  Written once: firings, final counts and the side output all
+    read it."""
+    return materialize(classify_late(df, order, size_ms, delay_ms, lateness_ms, ms, width))
+
+
+def late_firings(replay: DataFrame, key: str, order: Sequence[str],
+                 seq: str = "seq") -> DataFrame:
     """One firing when the watermark passes the window end (count of
     on-time rows), then one updated firing per row that arrives within the
-    allowed lateness.  -> (key, windowStart, windowEnd, kind, seq, count)"""
+    allowed lateness, reporting the window's rows so far.
+    -> (key, windowStart, windowEnd, kind, seq, count)
+
+    A window's late rows all arrive after its kept rows (the running max
+    only grows), so counting kept rows in arrival order is the count each
+    re-firing reports.
+    """
     first = (replay.where(F.col("cls") == "on_time")
                    .groupBy(key, "windowStart", "windowEnd")
                    .agg(F.count(F.lit(1)).alias("count"))
                    .select(key, "windowStart", "windowEnd", F.lit("first").alias("kind"),
                            F.lit(None).cast("long").alias(seq), "count"))
-    refire = replay.where(F.col("cls") == "refire").select(
-        key, "windowStart", "windowEnd", F.lit("refire").alias("kind"), F.col(seq),
-        F.col("running").alias("count"))
+    kept = replay.where(F.col("cls") != "late")
+    counted = running(kept, [key, "windowStart"], order, {"count": ("count", F.lit(1))})
+    refire = counted.where(F.col("cls") == "refire").select(
+        key, "windowStart", "windowEnd", F.lit("refire").alias("kind"), F.col(seq), "count")
     return first.unionByName(refire)
 
 

@@ -87,7 +87,7 @@ def _replay(spark, sf_dir):
 def late_firings(spark, sf_dir):
     """Tumbling 10 s per url, 2 s delay, 1 min allowed lateness: the
     first firing and one re-firing per late-but-allowed row."""
-    return L.late_firings(_replay(spark, sf_dir), "url")
+    return L.late_firings(_replay(spark, sf_dir), "url", ARRIVAL)
 
 
 @register("late_final_counts", with_clicks(
@@ -116,7 +116,7 @@ def late_tagged_union(spark, sf_dir):
     """Input, result and late outputs of one job, tagged."""
     rep = _replay(spark, sf_dir)
     inputs = arriving(spark, sf_dir).select("seq", "user", "url", "ms")
-    return L.tagged_union(inputs, L.late_firings(rep, "url"),
+    return L.tagged_union(inputs, L.late_firings(rep, "url", ARRIVAL),
                           L.late_side_output(rep, ["seq", "user", "url", "ms"]))
 
 

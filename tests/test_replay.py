@@ -49,7 +49,7 @@ def test_allowed_lateness_refires_and_side_output(spark):
     c = clicks(spark, [("Alice", u, m) for u, m in ALLOWED])
     for width in (5, None):
         rep = L.lateness_replay(c, "url", ["seq"], 10000, 2000, 60000, width=width)
-        fir = L.late_firings(rep, "url").collect()
+        fir = L.late_firings(rep, "url", ["seq"]).collect()
         home0 = sorted((r.seq if r.seq is not None else -1, r["count"]) for r in fir
                        if r.url == "./home" and r.windowStart == 0)
         assert [n for _, n in home0] == [3, 4, 5, 6]
@@ -59,7 +59,7 @@ def test_allowed_lateness_refires_and_side_output(spark):
         assert [(r.seq, r.url, r.ms) for r in late] == [(11, "./home", 8000)]
         final = {(r.url, r.windowStart): r["count"] for r in L.final_counts(rep, "url").collect()}
         assert final[("./home", 0)] == 6
-        tagged = L.tagged_union(c, L.late_firings(rep, "url"), L.late_side_output(
+        tagged = L.tagged_union(c, L.late_firings(rep, "url", ["seq"]), L.late_side_output(
             rep, ["seq", "user", "url", "ms"]))
         tags = {r.tag: r["n"] for r in tagged.groupBy("tag").agg(F.count("*").alias("n")).collect()}
         assert tags == {"input": 12, "result": 9, "late": 1}

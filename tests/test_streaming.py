@@ -67,7 +67,7 @@ def test_lateness_stream_matches_transcript(spark):
     assert late == [("./home", 8000)]
     # same as the batch replay
     rep = L.lateness_replay(clicks(spark, rows), "url", ["seq"], 10000, 2000, 60000, width=4)
-    batch = {(r.url, r.windowStart, r["count"]) for r in L.late_firings(rep, "url").collect()}
+    batch = {(r.url, r.windowStart, r["count"]) for r in L.late_firings(rep, "url", ["seq"]).collect()}
     stream = {(r.key, r.windowStart, r["count"]) for r in out if r.kind != "late"}
     assert stream <= batch
 
