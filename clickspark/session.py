@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +20,7 @@ def get_spark(master: str | None = None, app: str = "clickspark",
     """
     active = SparkSession.getActiveSession()
     if active is not None:
+        ship_package(active)
         return active
     builder = (SparkSession.builder.appName(app)
                .config("spark.ui.enabled", "false")
@@ -31,6 +35,7 @@ def get_spark(master: str | None = None, app: str = "clickspark",
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -57,6 +62,36 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts, uuid.uuid4().hex])
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``clickspark`` importable on every Python worker, like
+    ``--py-files``: zip the package into the shared folder once per
+    application and ``addPyFile`` it (executors fetch it at task start)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    target = shared_dir(spark, "clickspark-pyfiles") + "/clickspark.zip"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
 def drop_stage_tables(spark: SparkSession) -> None:
     """Delete this application's intermediate tables (``clickspark/`` under
     the checkpoint folder).  Call at the end of a job, once no DataFrame
@@ -88,5 +123,5 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["get_spark", "shared_dir", "drop_stage_tables", "ensure_checkpoint_dir",
+__all__ = ["get_spark", "shared_dir", "ship_package", "drop_stage_tables", "ensure_checkpoint_dir",
            "shuffle_partitions", "local_path"]
