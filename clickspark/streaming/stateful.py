@@ -21,13 +21,20 @@ batch and up to batch granularity otherwise.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# The processors are also unpickled by the driver-side Python runner of
+# transformWithState, which does not see files added with addPyFile: ship
+# this module's classes by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 _WIN_STATE = T.StructType([T.StructField("count", T.LongType()),
@@ -74,13 +81,18 @@ class LatenessProcessor(StatefulProcessor):
                         ) -> Iterator[pd.DataFrame]:
         k = key[0]
         ref = self._ref_wm(timerValues)
+        # one pass over the key's window state, rows handled in memory, only
+        # changed windows written back (state calls per batch, not per row)
+        wins = {ws: (count, fired) for (ws,), (count, fired) in self.wins.iterator()}
+        changed: set[int] = set()
         out = []
         if ref is not None:
             # windows the watermark already closed fire before new rows count
-            for (ws,), (count, fired) in list(self.wins.iterator()):
+            for ws, (count, fired) in wins.items():
                 if not fired and ref >= ws + self.size - 1:
                     out.append(self._first(k, ws, count, ref))
-                    self.wins.updateValue((ws,), (count, True))
+                    wins[ws] = (count, True)
+                    changed.add(ws)
         for pdf in rows:
             for ms in pdf["ms"].tolist():
                 ms = int(ms)
@@ -89,8 +101,8 @@ class LatenessProcessor(StatefulProcessor):
                 if ref is not None and ref >= we - 1 + self.late:
                     out.append((k, ws, we, "late", None, ms, ref))
                     continue
-                if self.wins.containsKey((ws,)):
-                    count, fired = self.wins.getValue((ws,))
+                if ws in wins:
+                    count, fired = wins[ws]
                 else:
                     count, fired = 0, False
                     self.handle.registerTimer(we - self.size - self.late)   # fire
@@ -101,7 +113,10 @@ class LatenessProcessor(StatefulProcessor):
                     out.append(self._first(k, ws, count, ref))
                 elif fired:
                     out.append((k, ws, we, "refire", count, ms, ref))
-                self.wins.updateValue((ws,), (count, fired))
+                wins[ws] = (count, fired)
+                changed.add(ws)
+        for ws in changed:
+            self.wins.updateValue((ws,), wins[ws])
         yield pd.DataFrame(out, columns=["key", "windowStart", "windowEnd", "kind", "count",
                                          "ms", "watermark"])
 
