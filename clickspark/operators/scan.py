@@ -26,6 +26,7 @@ Blocks:
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -62,13 +63,16 @@ def add_blocks(df: DataFrame, order: Sequence[str], width: int | None = None,
     return materialize(ranged)
 
 
-def block_width(df: DataFrame, seq: str, min_width: int = 1 << 16,
+def block_width(df: DataFrame, seq: str, min_width: int | None = None,
                 blocks: int | None = None) -> int:
     """Width for :func:`add_blocks` on a unique integral sequence: about
     ``blocks`` (default 2 x shuffle partitions) blocks over the sequence's
-    range, at least ``min_width`` wide.  Both the number of blocks and the
+    range, at least ``min_width`` wide (default 65536, or the environment
+    variable ``CLICKSPARK_BLOCK_ROWS``).  Both the number of blocks and the
     rows per block (at most the width) stay bounded at any scale.  One
     small aggregate job (two numbers reach the driver)."""
+    if min_width is None:
+        min_width = int(os.environ.get("CLICKSPARK_BLOCK_ROWS", 1 << 16))
     target = blocks or 2 * shuffle_partitions(df.sparkSession)
     lo, hi = df.agg(F.min(seq), F.max(seq)).first()
     if lo is None:
