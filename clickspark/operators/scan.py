@@ -160,6 +160,10 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     carry = totals.select(KEY, block, *[_merge_agg(kind, F.col(f"_tot_{n}")).over(before)
                                         .alias(f"_pre_{n}") for n, (kind, _) in aggs.items()])
 
+    if not keys:
+        # keyless: one carry row per block, a size bound that holds at any
+        # scale, so broadcast it and never reshuffle the scanned rows
+        carry = F.broadcast(carry)
     joined = rows.join(carry, on=[KEY, block], how="inner")
     return joined.select(*[F.col(c) for c in base_cols],
                          *[_combine(kind, F.col(f"_pre_{n}"), F.col(f"_in_{n}")).alias(n)
