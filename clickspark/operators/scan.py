@@ -17,11 +17,16 @@ Blocks:
   Deterministic, no sampling pass; at most ``w`` rows per block when the
   sequence is unique (ingestion offsets, event ids).  :func:`block_width`
   picks ``w`` from the sequence range so the block count stays bounded.
-* otherwise the rows are range-partitioned on the order columns into an
-  explicit number of partitions (sampled bounds, so every block is about
-  the same size whatever the distribution; AQE sizes them from the data)
-  and the partition index is the block.  The blocked rows are written once
-  (shared checkpoint folder) so every branch sees the same blocks.
+* otherwise the rows are range-partitioned on the order columns (sampled
+  bounds split even a single hot order value, so blocks are about the same
+  size whatever the distribution; AQE sizes them from the data, or pass
+  ``partitions``) and the partition index is the block.  The blocked rows
+  are written once (shared checkpoint folder) so every branch sees the
+  same blocks.
+
+Keyless scans (watermarks, the running top-1) range-partition the rows on
+the block id, so each task scans about one block, and broadcast the block
+carry (one row per block).
 """
 
 from __future__ import annotations
