@@ -169,3 +169,17 @@ def test_click_generator_rate_stream(spark):
     assert len(got) >= 5
     assert {r.user for r in got} <= set(G.USERS) and {r.url for r in got} <= set(G.URLS)
     assert all(r.ms == BASE + r.seq * 50 for r in got)
+
+
+def test_tumbling_and_uv_streams(spark):
+    from test_windows import W1, W3
+    src = TW.click_lines_stream(spark, _feed(W1), files_per_trigger=1)
+    got = {(r.user, r.windowStart, r["count"]) for r in
+           _run(TW.tumbling_count_stream(src, "user", 5000), "w1")}
+    batch = {(r.user, r.windowStart, r["count"]) for r in
+             W.tumbling_count(clicks(spark, W1), "user", 5000).collect()}
+    last = max(ms for _, _, ms in W1)
+    assert got == {x for x in batch if x[1] + 5000 <= last} and len(got) == 7
+    src3 = TW.click_lines_stream(spark, _feed(W3), files_per_trigger=1)
+    uv = sorted((r.windowStart, r.uv) for r in _run(TW.unique_visitors_stream(src3, 10000), "w3"))
+    assert [n for _, n in uv] == [3, 4]
