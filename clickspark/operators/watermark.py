@@ -86,9 +86,12 @@ def first_crossing(recs: DataFrame, grid: int, offset: int, lower_pad: int,
     ``<out>`` the running max at that row.
 
     Each record covers the thresholds in ``(prevmax, ms]``, so the result
-    has one row per grid cell inside the data's time span (small).  The
-    very first row has no ``prevmax``; ``lower_pad`` bounds how far before
-    it a threshold can still matter.
+    has one row per grid cell inside the data's time span (small: a year
+    at a 6-minute grid is ~88k rows).  The very first row has no
+    ``prevmax``; ``lower_pad`` bounds how far before it a threshold can
+    still matter.  Limit: an event-time outlier far ahead of the other
+    rows adds (gap / grid) rows; a scan-based as-of lookup over records
+    and thresholds would remove that dependence.
     """
     v = F.col(ms)
     u = F.coalesce(F.col(prevmax), v - F.lit(lower_pad))
