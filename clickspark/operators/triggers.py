@@ -64,8 +64,11 @@ def early_firings(df: DataFrame, key: str, seq: str, size_ms: int, step_ms: int,
     # timer (end - 1) once runmax >= end + d.
     recs = records(rows)
     pad = size_ms + d + step_ms
-    on_grid = first_crossing(recs, step_ms, d + 1, pad, "_v", [F.col(seq).alias("_cs")])
-    on_ends = first_crossing(recs, size_ms, d, pad, "_v", [F.col(seq).alias("_cs")])
+    reach = size_ms + d + step_ms
+    on_grid = first_crossing(recs, step_ms, d + 1, pad, "_v", [F.col(seq).alias("_cs")],
+                             reach=reach)
+    on_ends = first_crossing(recs, size_ms, d, pad, "_v", [F.col(seq).alias("_cs")],
+                             reach=reach + size_ms)
     is_close = F.col("timer") == F.col("windowEnd") - 1
     timers = timers.withColumn("_gk", F.when(~is_close, floor_div(F.col("timer"), step_ms)))
     timers = timers.withColumn("_ek", F.when(is_close, floor_div(F.col("windowEnd"), size_ms)))

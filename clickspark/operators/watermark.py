@@ -80,27 +80,39 @@ def records(df: DataFrame, prevmax: str = "prevmax", ms: str = "ms") -> DataFram
 
 def first_crossing(recs: DataFrame, grid: int, offset: int, lower_pad: int,
                    out: str, carry: Sequence[Column] = (), prevmax: str = "prevmax",
-                   ms: str = "ms") -> DataFrame:
+                   ms: str = "ms", reach: int | None = None) -> DataFrame:
     """For thresholds ``T = k*grid + offset``: the record that first lifts the
     running max to ``T`` or more.  Returns ``(k, <carry>, <out>)`` with
     ``<out>`` the running max at that row.
 
-    Each record covers the thresholds in ``(prevmax, ms]``, so the result
-    has one row per grid cell inside the data's time span (small: a year
-    at a 6-minute grid is ~88k rows).  The very first row has no
-    ``prevmax``; ``lower_pad`` bounds how far before it a threshold can
-    still matter.  Limit: an event-time outlier far ahead of the other
-    rows adds (gap / grid) rows; a scan-based as-of lookup over records
-    and thresholds would remove that dependence.
+    Each record covers the thresholds in ``(prevmax, ms]``.  The very first
+    row has no ``prevmax``; ``lower_pad`` bounds how far before it a
+    threshold can still matter.
+
+    ``reach``: thresholds of windows that can exist lie within ``reach`` of
+    either end of a record's interval.  A window whose on-time rows arrived
+    before the record ends by ``prevmax + size``.  A window opened by the
+    record or by later rows starts after ``ms - size - delay``.  So with
+    ``reach = size + delay + step`` each record explodes at most two short
+    ranges, whatever the gap (an event-time outlier costs nothing).
+    Without ``reach`` the result has one row per grid cell of the time span.
     """
     v = F.col(ms)
     u = F.coalesce(F.col(prevmax), v - F.lit(lower_pad))
     lo = floor_div(u - F.lit(offset), grid) + 1
     hi = floor_div(v - F.lit(offset), grid)
-    picked = recs.select(lo.alias("_lo"), hi.alias("_hi"), v.alias(out), *carry)
-    kept = [c for c in picked.columns if c not in ("_lo", "_hi")]
-    return (picked.where(F.col("_hi") >= F.col("_lo"))
-                  .select(F.explode(F.sequence("_lo", "_hi")).alias("k"), *kept))
+    picked = recs.select(lo.alias("_lo"), hi.alias("_hi"), u.alias("_u"), v.alias(out), *carry)
+    kept = [c for c in picked.columns if c not in ("_lo", "_hi", "_u")]
+    picked = picked.where(F.col("_hi") >= F.col("_lo"))
+    if reach is None:
+        cells = F.sequence("_lo", "_hi")
+    else:
+        near_u = F.least(F.col("_hi"), floor_div(F.col("_u") + F.lit(reach - offset), grid) + 1)
+        near_v = F.greatest(F.col("_lo"), floor_div(F.col(out) - F.lit(reach + offset), grid))
+        cells = (F.when(near_u + 1 >= near_v, F.sequence("_lo", "_hi"))
+                  .otherwise(F.concat(F.sequence(F.col("_lo"), near_u),
+                                      F.sequence(near_v, F.col("_hi")))))
+    return picked.select(F.explode(cells).alias("k"), *kept)
 
 
 def classify_late(df: DataFrame, order: Sequence[str], size_ms: int, delay_ms: int,
@@ -130,7 +142,7 @@ def close_watermarks(classified: DataFrame, size_ms: int, delay_ms: int,
     that never close are absent (the caller uses ``Long.MAX``).
     """
     marks = first_crossing(records(classified), size_ms, delay_ms, size_ms + delay_ms,
-                           "_cross")
+                           "_cross", reach=2 * size_ms + delay_ms)
     return marks.select((F.col("k") * F.lit(size_ms)).alias("windowEnd"),
                         (F.col("_cross") - F.lit(delay_ms + 1)).alias(out))
 

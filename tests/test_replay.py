@@ -93,3 +93,41 @@ def test_processing_time_timers(spark):
     assert got == sorted([("arrival", m) for m in arrivals]
                          + [("timer", 6000), ("timer", 7000), ("timer", 12000)])
     assert sum(1 for r in res if r.message.startswith("定时器触发")) == 3
+
+
+def test_outlier_does_not_inflate_crossing_tables(spark, monkeypatch):
+    """A row a day ahead of the rest: clipped crossing tables give the same
+    firings and close watermarks as the full explode, with few rows."""
+    from clickspark.operators import triggers as TR
+    from clickspark.operators import watermark as WM
+    base = ms_of("2022-05-12 15:07:50.677")
+    rows = [(u, l, ms_of(f"2022-05-12 {t}")) for u, l, t in TRIGGER]
+    rows = rows[:3] + [("Eve", "./fav", base + 86_400_000)] + rows[3:] + \
+        [("Bob", "./cart", base + 86_400_000 + 4_000)]
+    c = clicks(spark, rows)
+    seen = []
+    real = WM.first_crossing
+
+    def spy(*a, **k):
+        res = real(*a, **k)
+        seen.append(res.count())
+        return res
+    monkeypatch.setattr(TR, "first_crossing", spy)
+    clipped = sorted(tuple(r) for r in early_firings(c, "url", "seq", 10000, 1000, width=4).collect())
+    small = list(seen)
+
+    def full(*a, **k):
+        k.pop("reach", None)
+        return real(*a, **k)
+    monkeypatch.setattr(TR, "first_crossing", full)
+    unclipped = sorted(tuple(r) for r in early_firings(c, "url", "seq", 10000, 1000,
+                                                       width=4).collect())
+    assert clipped == unclipped
+    assert max(small) < 200            # the full explode has ~86,400 grid cells
+    monkeypatch.setattr(WM, "first_crossing", full)
+    w_full = sorted(tuple(r) for r in L.windows_with_watermark(c, "url", ["seq"], 10000, 5000,
+                                                               width=4).collect())
+    monkeypatch.setattr(WM, "first_crossing", real)
+    w_clip = sorted(tuple(r) for r in L.windows_with_watermark(c, "url", ["seq"], 10000, 5000,
+                                                               width=4).collect())
+    assert w_clip == w_full
