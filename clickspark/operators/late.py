@@ -21,6 +21,15 @@ WINDOW_REPORT = ("窗口", " ~ ", "中共有", "个元素，窗口闭合计算
 # ---------------------------------------------------------------------------
 
 
+def _classified(df: DataFrame, order: Sequence[str], size_ms: int, delay_ms: int,
+                lateness_ms: int, ms: str, width: int | None) -> DataFrame:
+    """Classified rows, cheap to read several times: with range blocks the
+    scan already wrote its rows (the rest is a broadcast join); with width
+    blocks the result is written here."""
+    q = classify_late(df, order, size_ms, delay_ms, lateness_ms, ms, width)
+    return q if width is None else materialize(q)
+
+
 def windows_with_watermark(df: DataFrame, key: str, order: Sequence[str], size_ms: int,
                            delay_ms: int, ms: str = "ms",
                            width: int | None = None) -> DataFrame:
@@ -30,7 +39,7 @@ def windows_with_watermark(df: DataFrame, key: str, order: Sequence[str], size_m
 
     -> (key, windowStart, windowEnd, count, watermark, message)
     """
-    q = materialize(classify_late(df, order, size_ms, delay_ms, 0, ms, width))
+    q = _classified(df, order, size_ms, delay_ms, 0, ms, width)
     counts = (q.where(F.col("cls") == "on_time")
                 .groupBy(key, "windowStart", "windowEnd").agg(F.count(F.lit(1)).alias("count")))
     marks = close_watermarks(q, size_ms, delay_ms, "_wm")
@@ -48,9 +57,9 @@ def lateness_replay(df: DataFrame, key: str, order: Sequence[str], size_ms: int,
                     delay_ms: int, lateness_ms: int, ms: str = "ms",
                     width: int | None = None) -> DataFrame:
     """Classified rows of W7: ``cls`` in on_time / refire / late, with their
-    window.  Written once: firings, final counts and the side output all
-    read it."""
-    return materialize(classify_late(df, order, size_ms, delay_ms, lateness_ms, ms, width))
+    window.  Firings, final counts and the side output all read it; it is
+    never recomputed from the input (see ``_classified``)."""
+    return _classified(df, order, size_ms, delay_ms, lateness_ms, ms, width)
 
 
 def late_firings(replay: DataFrame, key: str, order: Sequence[str],

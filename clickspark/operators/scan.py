@@ -175,6 +175,45 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                            for n, (kind, _) in aggs.items()])
 
 
+def running_ranged(df: DataFrame, order: Sequence[str],
+                   aggs: Mapping[str, tuple[str, Column]], *, exclusive: bool = False,
+                   block: str = BLOCK, partitions: int | None = None) -> DataFrame:
+    """Keyless running aggregates with range blocks assigned and scanned in
+    one linear plan: range exchange on ``order`` -> block = partition index
+    -> one window pass giving each row its in-block prefix and its block's
+    total -> written once.  The result is that table joined with the
+    broadcast block carry (one row per block), so consumers re-read it
+    without recomputing any shuffle.  Returns ``df``'s columns, ``block``
+    and the aggregates.  ``partitions`` fixes the block count (default:
+    AQE sizes the blocks).
+    """
+    order = list(order)
+    base_cols = [c for c in df.columns if c != block]
+    cols = [F.col(c).asc_nulls_first() for c in order]
+    ranged = (df.repartitionByRange(partitions, *cols) if partitions
+              else df.repartitionByRange(*cols))
+    ranged = ranged.withColumn(block, F.spark_partition_id().cast("long"))
+    upper = -1 if exclusive else Window.currentRow
+    w_in = (Window.partitionBy(block).orderBy(*order)
+            .rowsBetween(Window.unboundedPreceding, upper))
+    w_all = Window.partitionBy(block)
+    # range-partitioning on the block id keeps one block per task; the
+    # sampling reads the first exchange's output, so ids stay consistent
+    staged = ranged.repartitionByRange(F.col(block)).select(
+        "*", *[_frame_agg(kind, e).over(w_in).alias(f"_in_{n}") for n, (kind, e) in aggs.items()],
+        *[_frame_agg(kind, e).over(w_all).alias(f"_tot_{n}") for n, (kind, e) in aggs.items()])
+    table = materialize(staged)
+    totals = table.groupBy(block).agg(*[F.max(f"_tot_{n}").alias(f"_tot_{n}") for n in aggs])
+    before = Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    carry = F.broadcast(totals.select(block, *[_merge_agg(kind, F.col(f"_tot_{n}")).over(before)
+                                               .alias(f"_pre_{n}")
+                                               for n, (kind, _) in aggs.items()]))
+    return table.join(carry, block).select(
+        *[F.col(c) for c in base_cols], F.col(block),
+        *[_combine(kind, F.col(f"_pre_{n}"), F.col(f"_in_{n}")).alias(n)
+          for n, (kind, _) in aggs.items()])
+
+
 def running_global_max(df: DataFrame, order: Sequence[str], value: str, out: str, *,
                        exclusive: bool = False, block: str = BLOCK) -> DataFrame:
     """Running max of ``value`` over the whole table in arrival order."""

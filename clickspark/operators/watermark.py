@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickspark.model import LONG_MIN
-from clickspark.operators.scan import BLOCK, add_blocks, running
+from clickspark.operators.scan import BLOCK, add_blocks, running, running_ranged
 
 
 def floor_div(x: Column, n: int) -> Column:
@@ -39,17 +39,25 @@ def blocked(df: DataFrame, order: Sequence[str], width: int | None = None) -> Da
     return df if BLOCK in df.columns else add_blocks(df, order, width)
 
 
+def _global_max(df: DataFrame, order: Sequence[str], ms: str, out: str,
+                width: int | None, exclusive: bool) -> DataFrame:
+    aggs = {out: ("max", F.col(ms))}
+    if width is None and BLOCK not in df.columns:
+        # range blocks: assigned and scanned in one pass, written once
+        return running_ranged(df, order, aggs, exclusive=exclusive)
+    return running(blocked(df, order, width), [], order, aggs, exclusive=exclusive)
+
+
 def with_prev_max(df: DataFrame, order: Sequence[str], ms: str = "ms",
                   out: str = "prevmax", width: int | None = None) -> DataFrame:
     """``max(ms)`` over the rows that arrived strictly before each row."""
-    return running(blocked(df, order, width), [], order, {out: ("max", F.col(ms))},
-                   exclusive=True)
+    return _global_max(df, order, ms, out, width, exclusive=True)
 
 
 def with_run_max(df: DataFrame, order: Sequence[str], ms: str = "ms",
                  out: str = "runmax", width: int | None = None) -> DataFrame:
     """``max(ms)`` over the rows up to and including each row."""
-    return running(blocked(df, order, width), [], order, {out: ("max", F.col(ms))})
+    return _global_max(df, order, ms, out, width, exclusive=False)
 
 
 def watermark_before(df: DataFrame, order: Sequence[str], delay_ms: int, ms: str = "ms",

@@ -100,3 +100,22 @@ def test_keyed_final_is_last_rolling_row(spark):
             assert (r.v, getattr(r, "url", None)) == last[(kind, r.k)], kind
     cnt = {r.k: r["count"] for r in R.keyed_final(df, "k", "seq", "count", "v").collect()}
     assert cnt == {k: sum(1 for x in rows if x[1] == k) for k in "abc"}
+
+
+def test_running_ranged_matches_loop_with_hot_arrival(spark):
+    from clickspark.operators.scan import running_ranged
+    rnd = random.Random(11)
+    n = 2000
+    # a third of the rows share one arrival instant (ties broken by id)
+    rows = [(i, None if rnd.random() < 0.05 else rnd.randrange(-100, 100),
+             5000 if i % 3 == 0 else rnd.randrange(0, 10_000)) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, v long, arr long")
+    exp, cur = {}, None
+    for i, v, _ in sorted(rows, key=lambda r: (r[2], r[0])):
+        exp[i] = cur
+        if v is not None:
+            cur = v if cur is None else max(cur, v)
+    for parts in (5, None):
+        got = running_ranged(df, ["arr", "id"], {"pm": ("max", F.col("v"))}, exclusive=True,
+                             partitions=parts)
+        assert {r.id: r.pm for r in got.collect()} == exp
