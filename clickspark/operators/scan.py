@@ -102,6 +102,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _one_block_per_task(df: DataFrame, block: str) -> DataFrame:
+    """Range-partition on the block id with spare partitions: sampled bounds
+    then separate every block (no two blocks share a task, none is split),
+    and the result satisfies a window clustered by the block.  Empty spare
+    tasks cost next to nothing."""
+    return df.repartitionByRange(2 * shuffle_partitions(df.sparkSession), F.col(block))
+
+
 def _frame_agg(kind: str, expr: Column) -> Column:
     if kind == "count":
         return F.sum(F.when(expr.isNotNull(), F.lit(1)).otherwise(F.lit(0)))
@@ -149,11 +157,9 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         scanned = keyed
     else:
         # one partition key per block would collide under hashing (several
-        # blocks in one task); range partitioning on the block id keeps
-        # blocks whole, puts about one block in each task and satisfies the
-        # window's clustering as is
+        # blocks in one task)
         in_block = Window.partitionBy(block)
-        scanned = keyed.repartitionByRange(F.col(block))
+        scanned = _one_block_per_task(keyed, block)
     in_block = in_block.orderBy(*order).rowsBetween(Window.unboundedPreceding, upper)
     rows = scanned.select("*", *[_frame_agg(kind, e).over(in_block).alias(f"_in_{n}")
                                for n, (kind, e) in aggs.items()])
@@ -197,9 +203,9 @@ def running_ranged(df: DataFrame, order: Sequence[str],
     w_in = (Window.partitionBy(block).orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, upper))
     w_all = Window.partitionBy(block)
-    # range-partitioning on the block id keeps one block per task; the
-    # sampling reads the first exchange's output, so ids stay consistent
-    staged = ranged.repartitionByRange(F.col(block)).select(
+    # one block per task; the sampling reads the first exchange's output,
+    # so block ids stay consistent
+    staged = _one_block_per_task(ranged, block).select(
         "*", *[_frame_agg(kind, e).over(w_in).alias(f"_in_{n}") for n, (kind, e) in aggs.items()],
         *[_frame_agg(kind, e).over(w_all).alias(f"_tot_{n}") for n, (kind, e) in aggs.items()])
     table = materialize(staged)
