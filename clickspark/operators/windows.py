@@ -68,9 +68,34 @@ def tumbling_count(df: DataFrame, key: str, size_ms: int, out: str = "count",
                       time_col=time_col, ts_col=ts_col)
 
 
+def sliding_count(df: DataFrame, keys: Sequence[str], size_ms: int, slide_ms: int,
+                  time_col: str = "ms", out: str = "count") -> DataFrame:
+    """Sliding-window count by panes: count per (key, slide-sized pane)
+    first, then copy each pane's count into the ``size/slide`` windows that
+    contain it and add up.  Only the aggregated panes are duplicated, never
+    the input rows (``F.window`` expands every row before aggregating).
+    Needs ``size`` to be a multiple of ``slide``."""
+    t = F.col(time_col)
+    pane = (t - F.pmod(t, F.lit(slide_ms))).alias("_pane")
+    per = df.groupBy(*keys, pane).agg(F.count(F.lit(1)).alias("_n"))
+    first = F.col("_pane") - F.lit(size_ms - slide_ms)
+    win = per.select(*keys, "_n", F.explode(F.sequence(first, F.col("_pane"),
+                                                       F.lit(slide_ms).cast("long")))
+                     .alias("windowStart"))
+    return (win.groupBy(*keys, "windowStart").agg(F.sum("_n").cast("long").alias(out))
+               .select(*keys, out, "windowStart",
+                       (F.col("windowStart") + F.lit(size_ms)).alias("windowEnd")))
+
+
 def url_view_count(df: DataFrame, size_ms: int, slide_ms: int, key: str = "url",
                    time_col: str = "ms", ts_col: str | None = None) -> DataFrame:
-    """Sliding window count per url -> (url, count, windowStart, windowEnd)."""
+    """Sliding window count per url -> (url, count, windowStart, windowEnd).
+
+    Batch input (epoch-ms column) is aggregated by panes; a stream (``ts_col``,
+    watermarked TIMESTAMP) uses ``F.window`` so Spark's state and watermark
+    handling apply."""
+    if ts_col is None and size_ms % slide_ms == 0:
+        return sliding_count(df, [key], size_ms, slide_ms, time_col)
     return window_agg(df, [key], size_ms, {"count": F.count(F.lit(1))},
                       slide_ms=slide_ms, time_col=time_col, ts_col=ts_col)
 
