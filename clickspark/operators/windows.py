@@ -104,13 +104,31 @@ def pv_uv(df: DataFrame, size_ms: int, slide_ms: int | None = None, user: str =
           time_col: str = "ms", ts_col: str | None = None) -> DataFrame:
     """Page views, unique visitors and PV/UV per window (all rows, no key).
 
-    ``count(distinct)`` is planned as an aggregation on (window, user)
-    first, so the distinct set is spread over the cluster by user and
-    never gathered in one task.
+    Batch: clicks are counted per (user, slide-sized pane) first; only those
+    pairs are copied into the windows containing them, then reduced per
+    (window, user) and per window.  Every stage is a partial aggregation
+    spread by user, so no window's users are gathered in one task.
+    Streams (``ts_col``) use ``F.window`` with ``count(distinct)``.
     """
-    res = window_agg(df, [], size_ms,
-                     {"pv": F.count(F.lit(1)), "uv": F.count_distinct(F.col(user))},
-                     slide_ms=slide_ms, time_col=time_col, ts_col=ts_col)
+    slide = slide_ms or size_ms
+    if ts_col is None and size_ms % slide == 0:
+        # batch: distinct (pane, user) first, then expand those into windows
+        t = F.col(time_col)
+        per = (df.groupBy(F.col(user).alias("_u"), (t - F.pmod(t, F.lit(slide))).alias("_pane"))
+                 .agg(F.count(F.lit(1)).alias("_n")))
+        first = F.col("_pane") - F.lit(size_ms - slide)
+        win = per.select("_u", "_n", F.explode(F.sequence(first, F.col("_pane"),
+                                                          F.lit(slide).cast("long")))
+                         .alias("windowStart"))
+        per_user = win.groupBy("windowStart", "_u").agg(F.sum("_n").alias("_n"))
+        res = (per_user.groupBy("windowStart")
+                       .agg(F.sum("_n").cast("long").alias("pv"), F.count(F.lit(1)).alias("uv"))
+                       .select("pv", "uv", "windowStart",
+                               (F.col("windowStart") + F.lit(size_ms)).alias("windowEnd")))
+    else:
+        res = window_agg(df, [], size_ms,
+                         {"pv": F.count(F.lit(1)), "uv": F.count_distinct(F.col(user))},
+                         slide_ms=slide_ms, time_col=time_col, ts_col=ts_col)
     return res.withColumn("avg_pv", F.col("pv").cast("double") / F.col("uv").cast("double"))
 
 
