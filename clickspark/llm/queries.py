@@ -47,3 +47,40 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document; the counts are of base spans,
+    ``n_added`` counts what the deobfuscation adds."""
+    from clickspark.llm.pii import KINDS, find
+    out = find(table(spark, sf_dir, "documents"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    ranked = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(
+        F.array_position(F.array(*[F.lit(k) for k in KINDS]), s["kind"]).alias("rank"),
+        s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    return out.select(
+        "doc_id",
+        *[F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
+          for k in KINDS],
+        F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        joined(ranked).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by compression distance."""
+    from clickspark.llm import toxicity
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op7_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by a byte-level convolutional network."""
+    from clickspark.llm import quality_cnn
+    docs = table(spark, sf_dir, "documents")
+    return quality_cnn.score(docs, quality_cnn.fit(docs, table(spark, sf_dir, "labels")))
