@@ -56,6 +56,9 @@ def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickspark.llm.pii import KINDS, find
     out = find(table(spark, sf_dir, "documents"))
 
+    def count_of(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(
             ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -64,8 +67,7 @@ def op8_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     return out.select(
         "doc_id",
-        *[F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
-          for k in KINDS],
+        *[count_of(k) for k in KINDS],
         F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         joined(ranked).alias("spans"), F.size("added").cast("long").alias("n_added"))
 
