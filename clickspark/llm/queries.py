@@ -86,3 +86,10 @@ def op7_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickspark.llm import quality_cnn
     docs = table(spark, sf_dir, "documents")
     return quality_cnn.score(docs, quality_cnn.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose shingle sets are 85 percent alike."""
+    from clickspark.llm.near_dup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), 85)
