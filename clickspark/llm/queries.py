@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clickspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
@@ -93,3 +93,26 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose shingle sets are 85 percent alike."""
     from clickspark.llm.near_dup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"), 85)
+
+
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it holds."""
+    from clickspark.llm.decontamination import contaminated
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of embeddings of one label, cosine 0.93 or more."""
+    from clickspark.llm.embedding_dup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def _oracles() -> dict[str, str]:
+    from clickspark.llm import decontamination, embedding_dup
+    return {"op2_decontamination": decontamination.ORACLE,
+            "op6_embedding_duplicates": embedding_dup.ORACLE}
+
+
+ORACLES = _oracles()
