@@ -195,17 +195,18 @@ def _read(path: str) -> bytes:
 
 
 def encode_decode(df: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """Encode every whole text and decode the ids again.
 
     Returns ``doc_id`` (as given, null too), ``ids`` (binary, little-endian
-    unsigned 32-bit) and ``decoded`` (binary).  The rank file (fixed size)
-    is read on the driver and broadcast.
+    unsigned 32-bit), ``decoded`` (binary) and, if asked for, ``text``.  The
+    rank file (fixed size) is read on the driver and broadcast.
     """
     data = df.sparkSession.sparkContext.broadcast(_read(rank_path))
     src = pick(df, doc_id=id_col, text=text_col)
     schema = T.StructType([src.schema["doc_id"], T.StructField("ids", T.BinaryType()),
-                           T.StructField("decoded", T.BinaryType())])
+                           T.StructField("decoded", T.BinaryType())]
+                          + [src.schema["text"]] * keep_text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(data.value, pattern)
@@ -215,6 +216,6 @@ def encode_decode(df: DataFrame, rank_path: str, pattern: str, id_col: str = "do
                 ids = [codec.encode(t or "") for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(ids, pa.binary()),
-                     pa.array([codec.decode(x) for x in ids], pa.binary())],
-                    names=["doc_id", "ids", "decoded"])
+                     pa.array([codec.decode(x) for x in ids], pa.binary())]
+                    + [part.column(1)] * keep_text, names=schema.names)
     return src.mapInArrow(run, schema)

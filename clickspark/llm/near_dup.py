@@ -345,3 +345,29 @@ def keep_one(df: DataFrame, percent: int = 80, id_col: str = "doc_id",
     nameless = done.where("fp is not null and component_id is null").dropDuplicates(["fp"])
     out = empty.union(named).union(nameless)
     return out.select(*[f"_p{i}" for i in range(len(names))]).toDF(*names)
+
+
+#: Exact set similarity by an inverted index in DuckDB, components by
+#: recursion.
+ORACLE = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+      lambda x: x <> '') AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+                                 lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+  FROM words WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+  FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * k >= 85 * (p.n + q.n - k)),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id,
+       d.doc_id = component_id AS kept
+FROM documents d JOIN least ON a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+"""

@@ -109,10 +109,19 @@ def op6_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page under its host's wrapper."""
+    from clickspark.llm.html_wrapper import main_text
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def _oracles() -> dict[str, str]:
-    from clickspark.llm import decontamination, embedding_dup
+    from clickspark.llm import decontamination, embedding_dup, near_dup, sharding
     return {"op2_decontamination": decontamination.ORACLE,
-            "op6_embedding_duplicates": embedding_dup.ORACLE}
+            "op3_near_duplicates": near_dup.ORACLE,
+            "op6_embedding_duplicates": embedding_dup.ORACLE,
+            "op9_jump_shards": sharding.oracle(8)}
 
 
 ORACLES = _oracles()

@@ -109,3 +109,42 @@ def write_shards(df: DataFrame, path: str, shards: int, id_col: str = "doc_id")
 
 def pick_key(df: DataFrame, id_col: str) -> Column:
     return df[f"`{id_col}`"]
+
+
+def _jump_sql(key: str, shards: int) -> str:
+    """The paper's loop, one nested query a step, in 128-bit integers."""
+    q = (f"SELECT rid, (CASE WHEN {key} < 0 THEN {key}::HUGEINT + 18446744073709551616::HUGEINT "
+         f"ELSE {key}::HUGEINT END) AS k, -1 AS b, 0::BIGINT AS j FROM docs")
+    for _ in range(shards):
+        # k * LCG modulo 2^64 in two halves, so that no product overflows
+        nxt = (f"((((k // 4294967296) * {LCG}::HUGEINT) % 4294967296) * 4294967296 "
+               f"+ (k % 4294967296) * {LCG}::HUGEINT + 1) % 18446744073709551616::HUGEINT")
+        q = (f"SELECT rid, n AS k, CASE WHEN j < {shards} THEN j ELSE b END AS b, CASE WHEN j < {shards} "
+             f"THEN floor((j + 1) * (2147483648.0::DOUBLE / ((n // 8589934592) + 1)::DOUBLE))::BIGINT "
+             f"ELSE j END AS j FROM (SELECT *, {nxt} AS n FROM ({q}))")
+    return f"SELECT rid, b AS shard FROM ({q})"
+
+
+def oracle(shards: int) -> str:
+    """DuckDB SQL of :func:`shard`; CRC-32 bit by bit over the bytes."""
+    body = "encode(coalesce(text, ''))"
+    table = ("list_transform(range(256), lambda c: list_reduce(list_prepend(c, range(8)), "
+             "lambda r, i: CASE WHEN r % 2 = 1 THEN xor(3988292384, r // 2) ELSE r // 2 END))")
+    crc = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, length(h) // 2), "
+           "lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::BIGINT)), "
+           "lambda r, v: xor(r // 256, t[(xor(r, v) % 256) + 1])), 4294967295)")
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 0) AS key,
+    octet_length({body}) + 1 AS size, lower(hex({body})) AS h FROM documents),
+tab AS (SELECT {table} AS t),
+crcs AS (SELECT rid, {crc} AS c FROM docs, tab),
+now AS ({_jump_sql("key", shards)}),
+grown AS ({_jump_sql("key", shards + 1)}),
+rows_ AS (
+  SELECT doc_id, size, c AS text_crc32, now.shard, grown.shard AS grown_shard,
+         ('0x' || md5(coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT % {PARTS} AS part
+  FROM docs JOIN crcs USING (rid) JOIN now USING (rid) JOIN grown USING (rid))
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law,
+       shard::INTEGER AS shard, row_number() OVER (PARTITION BY shard ORDER BY part,
+         doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard::INTEGER AS grown_shard
+FROM rows_"""
