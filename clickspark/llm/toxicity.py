@@ -138,7 +138,9 @@ class Model:
         self.distance = None
         if len(set(labels)) < 2:
             return
-        fold = np.arange(len(texts)) % 2
+        fold = np.zeros(len(y), int)  # halves with an equal share of each class
+        for c in (0, 1):
+            fold[y == c] = np.arange((y == c).sum()) % 2
         x = None
         for k in (0, 1):  # each half is scored by the dictionaries of the other
             d = self._train(texts, y, fold != k)
