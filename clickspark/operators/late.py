@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickspark.model import LONG_MAX
-from clickspark.operators.scan import materialize, running
+from clickspark.operators.scan import Cuts, materialize, running
 from clickspark.operators.watermark import classify_late, close_watermarks
 
 # ---- fixed values: the reference's window report text ---------------------
@@ -22,17 +22,15 @@ WINDOW_REPORT = ("窗口", " ~ ", "中共有", "个元素，窗口闭合计算
 
 
 def _classified(df: DataFrame, order: Sequence[str], size_ms: int, delay_ms: int,
-                lateness_ms: int, ms: str, width: int | None) -> DataFrame:
-    """Classified rows, cheap to read several times: with range blocks the
-    scan already wrote its rows (the rest is a broadcast join); with width
-    blocks the result is written here."""
-    q = classify_late(df, order, size_ms, delay_ms, lateness_ms, ms, width)
-    return q if width is None else materialize(q)
+                lateness_ms: int, ms: str, width: int | Cuts | None) -> DataFrame:
+    """Classified rows, written once: every caller reads them from several
+    branches."""
+    return materialize(classify_late(df, order, size_ms, delay_ms, lateness_ms, ms, width))
 
 
 def windows_with_watermark(df: DataFrame, key: str, order: Sequence[str], size_ms: int,
                            delay_ms: int, ms: str = "ms",
-                           width: int | None = None) -> DataFrame:
+                           width: int | Cuts | None = None) -> DataFrame:
     """Tumbling window count per key; late rows dropped; each window
     reports the watermark at which it closed (``Long.MAX`` if only the end
     of input closed it).
@@ -55,7 +53,7 @@ def windows_with_watermark(df: DataFrame, key: str, order: Sequence[str], size_m
 
 def lateness_replay(df: DataFrame, key: str, order: Sequence[str], size_ms: int,
                     delay_ms: int, lateness_ms: int, ms: str = "ms",
-                    width: int | None = None) -> DataFrame:
+                    width: int | Cuts | None = None) -> DataFrame:
     """Classified rows of W7: ``cls`` in on_time / refire / late, with their
     window.  Firings, final counts and the side output all read it; it is
     never recomputed from the input (see ``_classified``)."""
@@ -69,19 +67,22 @@ def late_firings(replay: DataFrame, key: str, order: Sequence[str],
     allowed lateness, reporting the window's rows so far.
     -> (key, windowStart, windowEnd, kind, seq, count)
 
-    A window's late rows all arrive after its kept rows (the running max
-    only grows), so counting kept rows in arrival order is the count each
-    re-firing reports.
+    A window's rows within the lateness all arrive after its on-time rows
+    (the running max only grows), so a re-firing reports the on-time count
+    plus its rank among the window's re-firings.  Only those few rows are
+    scanned, in blocks, so a hot window stays split.
     """
-    first = (replay.where(F.col("cls") == "on_time")
-                   .groupBy(key, "windowStart", "windowEnd")
-                   .agg(F.count(F.lit(1)).alias("count"))
-                   .select(key, "windowStart", "windowEnd", F.lit("first").alias("kind"),
-                           F.lit(None).cast("long").alias(seq), "count"))
-    kept = replay.where(F.col("cls") != "late")
-    counted = running(kept, [key, "windowStart"], order, {"count": ("count", F.lit(1))})
-    refire = counted.where(F.col("cls") == "refire").select(
-        key, "windowStart", "windowEnd", F.lit("refire").alias("kind"), F.col(seq), "count")
+    on_time = (replay.where(F.col("cls") == "on_time")
+                     .groupBy(key, "windowStart", "windowEnd")
+                     .agg(F.count(F.lit(1)).alias("count")))
+    first = on_time.select(key, "windowStart", "windowEnd", F.lit("first").alias("kind"),
+                           F.lit(None).cast("long").alias(seq), "count")
+    ranked = running(replay.where(F.col("cls") == "refire"), [key, "windowStart"], order,
+                     {"_rank": ("count", F.lit(1))})
+    before = on_time.select(F.struct(key, "windowStart").alias("_win"), F.col("count").alias("_n"))
+    refire = (ranked.withColumn("_win", F.struct(key, "windowStart")).join(before, "_win", "left")
+              .select(key, "windowStart", "windowEnd", F.lit("refire").alias("kind"), F.col(seq),
+                      (F.coalesce(F.col("_n"), F.lit(0)) + F.col("_rank")).alias("count")))
     return first.unionByName(refire)
 
 

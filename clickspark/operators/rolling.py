@@ -15,15 +15,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickspark.operators.scan import add_blocks, running
+from clickspark.operators.scan import Cuts, add_blocks, running
 
 
-def _prep(df: DataFrame, seq: str, width: int | None) -> DataFrame:
+def _prep(df: DataFrame, seq: str, width: int | Cuts | None) -> DataFrame:
     return df if "_blk" in df.columns else add_blocks(df, [seq], width)
 
 
 def rolling_sum(df: DataFrame, key: str, seq: str, field: str, out: str | None = None,
-                width: int | None = None) -> DataFrame:
+                width: int | Cuts | None = None) -> DataFrame:
     """A1: running ``sum(field)`` per key (``out`` defaults to ``field``)."""
     out = out or field
     res = running(_prep(df, seq, width), [key], [seq], {"_r": ("sum", F.col(field))})
@@ -31,7 +31,7 @@ def rolling_sum(df: DataFrame, key: str, seq: str, field: str, out: str | None =
 
 
 def rolling_count(df: DataFrame, key: str, seq: str, out: str = "count",
-                  width: int | None = None) -> DataFrame:
+                  width: int | Cuts | None = None) -> DataFrame:
     """Running count per key (``reduce((a, b) -> (a.f0, a.f1 + b.f1))``
     over ``(key, 1L)`` pairs)."""
     res = running(_prep(df, seq, width), [key], [seq], {out: ("count", F.lit(1))})
@@ -39,7 +39,7 @@ def rolling_count(df: DataFrame, key: str, seq: str, out: str = "count",
 
 
 def _rolling_extreme(df: DataFrame, kind: str, key: str, seq: str, field: str,
-                     others: Sequence[str], width: int | None) -> DataFrame:
+                     others: Sequence[str], width: int | Cuts | None) -> DataFrame:
     first = F.struct(F.col(seq).alias("s"), *[F.col(o) for o in others])
     res = running(_prep(df, seq, width), [key], [seq],
                   {"_first": ("min", first), "_ext": (kind, F.col(field))})
@@ -48,23 +48,24 @@ def _rolling_extreme(df: DataFrame, kind: str, key: str, seq: str, field: str,
 
 
 def rolling_max(df: DataFrame, key: str, seq: str, field: str, others: Sequence[str],
-                width: int | None = None) -> DataFrame:
+                width: int | Cuts | None = None) -> DataFrame:
     """A2: running ``max(field)``; ``others`` come from the key's first row."""
     return _rolling_extreme(df, "max", key, seq, field, others, width)
 
 
 def rolling_min(df: DataFrame, key: str, seq: str, field: str, others: Sequence[str],
-                width: int | None = None) -> DataFrame:
+                width: int | Cuts | None = None) -> DataFrame:
     """A3: running ``min(field)``; ``others`` come from the key's first row."""
     return _rolling_extreme(df, "min", key, seq, field, others, width)
 
 
 def _rolling_by(df: DataFrame, kind: str, key: str, seq: str, field: str,
-                others: Sequence[str], width: int | None) -> DataFrame:
-    # ties: the earlier row wins, so the tiebreak is -seq for max, seq for min
+                others: Sequence[str], width: int | Cuts | None) -> DataFrame:
+    # ties: the earlier row wins, so the tiebreak is -seq for max, seq for min;
+    # a row whose field is NULL never is the extreme
     tie = -F.col(seq) if kind == "max" else F.col(seq)
-    best = F.struct(F.col(field).alias("_f"), tie.alias("_t"),
-                    *[F.col(o) for o in [*others, seq]])
+    best = F.when(F.col(field).isNotNull(), F.struct(F.col(field).alias("_f"), tie.alias("_t"),
+                                                     *[F.col(o) for o in [*others, seq]]))
     res = running(_prep(df, seq, width), [key], [seq], {"_best": (kind, best)})
     return res.select(key, F.col(seq).alias("at_seq"),
                       *[F.col(f"_best.{o}").alias(o) for o in others],
@@ -72,20 +73,20 @@ def _rolling_by(df: DataFrame, kind: str, key: str, seq: str, field: str,
 
 
 def rolling_max_by(df: DataFrame, key: str, seq: str, field: str, others: Sequence[str],
-                   width: int | None = None) -> DataFrame:
+                   width: int | Cuts | None = None) -> DataFrame:
     """A4: the whole row with the largest ``field`` so far (first wins ties).
     ``at_seq`` is the input row, ``seq`` the row reported."""
     return _rolling_by(df, "max", key, seq, field, others, width)
 
 
 def rolling_min_by(df: DataFrame, key: str, seq: str, field: str, others: Sequence[str],
-                   width: int | None = None) -> DataFrame:
+                   width: int | Cuts | None = None) -> DataFrame:
     """A5: the whole row with the smallest ``field`` so far (first wins ties)."""
     return _rolling_by(df, "min", key, seq, field, others, width)
 
 
 def running_top(counts: DataFrame, key: str, seq: str, count: str = "count",
-                width: int | None = None) -> DataFrame:
+                width: int | Cuts | None = None) -> DataFrame:
     """Running top-1 over a stream of ``(key, count)`` updates, all keys
     together; on equal counts the newer update wins (``v1 > v2 ? v1 : v2``).
     -> (seq, top_<key>, top_count)"""
@@ -126,7 +127,8 @@ def keyed_final(df: DataFrame, key: str, seq: str, kind: str, field: str,
         return res.select(key, *[F.col(f"_first.{o}").alias(o) for o in others], field)
     if kind in ("max_by", "min_by"):
         tie = -s if kind == "max_by" else s
-        best = F.struct(f.alias("_f"), tie.alias("_t"), *[F.col(o) for o in others], s.alias(seq))
+        best = F.when(f.isNotNull(), F.struct(f.alias("_f"), tie.alias("_t"),
+                                              *[F.col(o) for o in others], s.alias(seq)))
         agg = (F.max if kind == "max_by" else F.min)(best).alias("_b")
         return df.groupBy(key).agg(agg).select(
             key, *[F.col(f"_b.{o}").alias(o) for o in others], F.col("_b._f").alias(field),

@@ -12,30 +12,26 @@ Supported kinds are those with an associative merge: ``sum``, ``count``,
 ``min``, ``max``.  ``min``/``max`` work on structs too, which gives
 ``min_by``/``max_by`` (order the struct fields by priority).
 
-Blocks:
-* ``width=w`` with an integral leading order column: ``block = floor(seq / w)``.
-  Deterministic, no sampling pass; at most ``w`` rows per block when the
-  sequence is unique (ingestion offsets, event ids).  :func:`block_width`
-  picks ``w`` from the sequence range so the block count stays bounded.
-* otherwise the rows are range-partitioned on the order columns (sampled
-  bounds split even a single hot order value, so blocks are about the same
-  size whatever the distribution; AQE sizes them from the data, or pass
-  ``partitions``) and the partition index is the block.  The blocked rows
-  are written once (shared checkpoint folder) so every branch sees the
-  same blocks.
-
-Keyless scans (watermarks, the running top-1) range-partition the rows on
-the block id, so each task scans about one block, and broadcast the block
-carry (one row per block).
+Blocks are cut at sampled quantiles of the arrival order
+(:func:`order_cuts`): one column-pruned pass gives at most MAX_BLOCKS bounds,
+tuples of the order columns, and the block of a row is a deterministic
+expression of them.  So sparse ids, an outlier id or one hot arrival instant
+give blocks of about the same size, every branch of a plan sees the same
+blocks without pinning them by a write, and the rows are exchanged once, by
+block.  (A fixed ``width`` of an integral sequence can be asked for instead.)
+
+Keyless scans (watermarks, the running top-1) send each block to its own task
+(``repartitionById``) and broadcast the block carry (one row per block, at
+most MAX_BLOCKS).
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from clickspark.session import shared_dir, shuffle_partitions
 
@@ -45,44 +41,63 @@ KEY = "_key"
 _AGG = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
-def add_blocks(df: DataFrame, order: Sequence[str], width: int | None = None,
+#: Most blocks of a scan: the size bound of the carry table and of the cuts.
+MAX_BLOCKS = 256
+#: Rows sampled for each bound.
+PER_CUT = 32
+
+Cuts = list[tuple]
+
+
+def order_cuts(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> Cuts:
+    """Bounds that cut ``df`` into about equal blocks in ``order``.
+
+    Default: two blocks per shuffle partition, MAX_BLOCKS at most, whatever
+    the size of the input.  Two small jobs read the order columns alone: a
+    count, and a hash sample of about PER_CUT rows per bound, which reaches
+    the driver.  The sample depends only on the rows, so the bounds do too.
+    """
+    order = list(order)
+    n_blocks = min(MAX_BLOCKS, blocks or 2 * shuffle_partitions(df.sparkSession))
+    keys = df.select(*order)
+    rows = keys.count()
+    every = max(1, rows // (PER_CUT * n_blocks))
+    drawn = keys.where(F.pmod(F.xxhash64(*order), F.lit(every)) == 0).distinct()
+    sample = sorted((tuple(r) for r in drawn.collect() if None not in tuple(r)))
+    bounds = [sample[len(sample) * i // n_blocks] for i in range(1, n_blocks)] if sample else []
+    return sorted(set(bounds))
+
+
+def block_of(order: Sequence[str], cuts: Cuts) -> Column:
+    """How many of the sorted ``cuts`` a row reaches, as a balanced tree of
+    comparisons; null order values come first."""
+    cols = [F.col(c) for c in order]
+
+    def before(bound: tuple) -> Column:
+        less = F.lit(False)
+        for c, v in reversed(list(zip(cols, bound))):
+            less = (c < F.lit(v)) | ((c == F.lit(v)) & less)
+        return F.coalesce(less, F.lit(True))
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(before(cuts[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+    return tree(0, len(cuts)).cast("int")
+
+
+def add_blocks(df: DataFrame, order: Sequence[str], width: int | Cuts | None = None,
                partitions: int | None = None, name: str = BLOCK) -> DataFrame:
-    """Attach a block id that is monotone in ``order``."""
+    """Attach a block id that is monotone in ``order``: by ``width`` of the
+    leading integral column, by given cuts (of as many leading columns as
+    they have), or by cuts drawn here (``partitions`` blocks)."""
     order = list(order)
-    if width is not None:
-        # blocks from the leading (integral) order column stay monotone in
-        # the lexicographic order of all order columns
+    if isinstance(width, int):
         from clickspark.operators.watermark import floor_div
         return df.withColumn(name, floor_div(F.col(order[0]), width))
-    cols = [F.col(c).asc_nulls_first() for c in order]
-    # Without an explicit count AQE sizes the blocks from the data (small
-    # inputs become a few blocks, large ones ~advisory size each); coalesced
-    # range partitions stay contiguous, so partition ids stay monotone.
-    ranged = (df.repartitionByRange(partitions, *cols) if partitions
-              else df.repartitionByRange(*cols))
-    ranged = ranged.withColumn(name, F.spark_partition_id().cast("long"))
-    # Range bounds are sampled: two copies of this exchange (e.g. after
-    # different column pruning in the two branches of a scan) could cut
-    # blocks differently.  Writing the blocked rows once pins one set of
-    # block ids for every consumer.
-    return materialize(ranged)
-
-
-def block_width(df: DataFrame, seq: str, min_width: int | None = None,
-                blocks: int | None = None) -> int:
-    """Width for :func:`add_blocks` on a unique integral sequence: about
-    ``blocks`` (default 2 x shuffle partitions) blocks over the sequence's
-    range, at least ``min_width`` wide (default 65536, or the environment
-    variable ``CLICKSPARK_BLOCK_ROWS``).  Both the number of blocks and the
-    rows per block (at most the width) stay bounded at any scale.  One
-    small aggregate job (two numbers reach the driver)."""
-    if min_width is None:
-        min_width = int(os.environ.get("CLICKSPARK_BLOCK_ROWS", 1 << 16))
-    target = blocks or 2 * shuffle_partitions(df.sparkSession)
-    lo, hi = df.agg(F.min(seq), F.max(seq)).first()
-    if lo is None:
-        return min_width
-    return max(min_width, -(-(hi - lo + 1) // target))
+    cuts = order_cuts(df, order, partitions) if width is None else width
+    return df.withColumn(name, block_of(order[:len(cuts[0])] if cuts else order, cuts))
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -103,10 +118,12 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def _one_block_per_task(df: DataFrame, block: str) -> DataFrame:
-    """Range-partition on the block id with spare partitions: sampled bounds
-    then separate every block (no two blocks share a task, none is split),
-    and the result satisfies a window clustered by the block.  Empty spare
-    tasks cost next to nothing."""
+    """Send every block to a task of its own; the result satisfies a window
+    clustered by the block, so this is the scan's only exchange of rows.
+    Blocks of a fixed width have no bound on their ids and are dealt by
+    range."""
+    if isinstance(df.schema[block].dataType, IntegerType):
+        return df.repartitionById(MAX_BLOCKS, F.col(block))
     return df.repartitionByRange(2 * shuffle_partitions(df.sparkSession), F.col(block))
 
 
@@ -171,57 +188,11 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     carry = totals.select(KEY, block, *[_merge_agg(kind, F.col(f"_tot_{n}")).over(before)
                                         .alias(f"_pre_{n}") for n, (kind, _) in aggs.items()])
 
-    if not keys:
-        # keyless: one carry row per block, a size bound that holds at any
-        # scale, so broadcast it and never reshuffle the scanned rows
+    if not keys and isinstance(df.schema[block].dataType, IntegerType):
+        # keyless, blocks from cuts: at most MAX_BLOCKS rows, whatever the
+        # input, so broadcast them and never reshuffle the scanned rows
         carry = F.broadcast(carry)
     joined = rows.join(carry, on=[KEY, block], how="inner")
     return joined.select(*[F.col(c) for c in base_cols],
                          *[_combine(kind, F.col(f"_pre_{n}"), F.col(f"_in_{n}")).alias(n)
                            for n, (kind, _) in aggs.items()])
-
-
-def running_ranged(df: DataFrame, order: Sequence[str],
-                   aggs: Mapping[str, tuple[str, Column]], *, exclusive: bool = False,
-                   block: str = BLOCK, partitions: int | None = None) -> DataFrame:
-    """Keyless running aggregates with range blocks assigned and scanned in
-    one linear plan: range exchange on ``order`` -> block = partition index
-    -> one window pass giving each row its in-block prefix and its block's
-    total -> written once.  The result is that table joined with the
-    broadcast block carry (one row per block), so consumers re-read it
-    without recomputing any shuffle.  Returns ``df``'s columns, ``block``
-    and the aggregates.  ``partitions`` fixes the block count (default:
-    AQE sizes the blocks).
-    """
-    order = list(order)
-    base_cols = [c for c in df.columns if c != block]
-    cols = [F.col(c).asc_nulls_first() for c in order]
-    ranged = (df.repartitionByRange(partitions, *cols) if partitions
-              else df.repartitionByRange(*cols))
-    ranged = ranged.withColumn(block, F.spark_partition_id().cast("long"))
-    upper = -1 if exclusive else Window.currentRow
-    w_in = (Window.partitionBy(block).orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, upper))
-    w_all = Window.partitionBy(block)
-    # one block per task; the sampling reads the first exchange's output,
-    # so block ids stay consistent
-    staged = _one_block_per_task(ranged, block).select(
-        "*", *[_frame_agg(kind, e).over(w_in).alias(f"_in_{n}") for n, (kind, e) in aggs.items()],
-        *[_frame_agg(kind, e).over(w_all).alias(f"_tot_{n}") for n, (kind, e) in aggs.items()])
-    table = materialize(staged)
-    totals = table.groupBy(block).agg(*[F.max(f"_tot_{n}").alias(f"_tot_{n}") for n in aggs])
-    before = Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    carry = F.broadcast(totals.select(block, *[_merge_agg(kind, F.col(f"_tot_{n}")).over(before)
-                                               .alias(f"_pre_{n}")
-                                               for n, (kind, _) in aggs.items()]))
-    return table.join(carry, block).select(
-        *[F.col(c) for c in base_cols], F.col(block),
-        *[_combine(kind, F.col(f"_pre_{n}"), F.col(f"_in_{n}")).alias(n)
-          for n, (kind, _) in aggs.items()])
-
-
-def running_global_max(df: DataFrame, order: Sequence[str], value: str, out: str, *,
-                       exclusive: bool = False, block: str = BLOCK) -> DataFrame:
-    """Running max of ``value`` over the whole table in arrival order."""
-    return running(df, [], order, {out: ("max", F.col(value))}, exclusive=exclusive,
-                   block=block)

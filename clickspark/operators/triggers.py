@@ -26,13 +26,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickspark.model import LONG_MAX
-from clickspark.operators.scan import add_blocks, materialize, running
+from clickspark.operators.scan import Cuts, add_blocks, materialize, running
 from clickspark.operators.watermark import (first_crossing, floor_div, records,
                                             window_start, with_prev_max)
 
 
 def early_firings(df: DataFrame, key: str, seq: str, size_ms: int, step_ms: int,
-                  delay_ms: int = 0, ms: str = "ms", width: int | None = None,
+                  delay_ms: int = 0, ms: str = "ms", width: int | Cuts | None = None,
                   purge: bool = False) -> DataFrame:
     """-> (key, windowStart, windowEnd, timer, fired_at, count) per timer firing;
     ``fired_at`` is the arrival ``seq`` after which the timer fired (NULL:
@@ -57,8 +57,9 @@ def early_firings(df: DataFrame, key: str, seq: str, size_ms: int, step_ms: int,
     wins = on_time.groupBy(key, "windowStart", "windowEnd").agg(F.min(seq).alias("first_seq"))
     grid = F.sequence(F.col("windowStart"), F.col("windowEnd") - F.lit(step_ms),
                       F.lit(step_ms).cast("long"))
-    timers = wins.select(key, "windowStart", "windowEnd", "first_seq",
-                         F.explode(F.array_append(grid, F.col("windowEnd") - 1)).alias("timer"))
+    named = [key, "windowStart", "windowEnd", "first_seq"]
+    on_step = wins.select(*named, F.explode(grid).alias("timer"))
+    on_close = wins.select(*named, (F.col("windowEnd") - 1).alias("timer"))
 
     # Thresholds: grid timer t fires once runmax >= t + d + 1; the close
     # timer (end - 1) once runmax >= end + d.
@@ -69,18 +70,18 @@ def early_firings(df: DataFrame, key: str, seq: str, size_ms: int, step_ms: int,
                              reach=reach)
     on_ends = first_crossing(recs, size_ms, d, pad, "_v", [F.col(seq).alias("_cs")],
                              reach=reach + size_ms)
-    is_close = F.col("timer") == F.col("windowEnd") - 1
-    timers = timers.withColumn("_gk", F.when(~is_close, floor_div(F.col("timer"), step_ms)))
-    timers = timers.withColumn("_ek", F.when(is_close, floor_div(F.col("windowEnd"), size_ms)))
-    timers = (timers
-              .join(on_grid.select(F.col("k").alias("_gk"), F.col("_cs").alias("_cg")), "_gk", "left")
-              .join(on_ends.select(F.col("k").alias("_ek"), F.col("_cs").alias("_ce")), "_ek", "left"))
-    cross = F.coalesce(F.col("_cg"), F.col("_ce"))
-    fire_seq = F.when(cross.isNotNull(), F.greatest(cross, F.col("first_seq")))
-    markers = timers.select(
+    # step and close timers look their crossing up apart, each on a key that
+    # is never null
+    on_step = on_step.withColumn("k", floor_div(F.col("timer"), step_ms)).join(
+        on_grid.select("k", "_cs"), "k", "left")
+    on_close = on_close.withColumn("k", floor_div(F.col("windowEnd"), size_ms)).join(
+        on_ends.select("k", "_cs"), "k", "left")
+    fire_seq = F.when(F.col("_cs").isNotNull(), F.greatest("_cs", "first_seq"))
+    # written once: the scan reads its input for the rows and for the totals
+    markers = materialize(on_step.unionByName(on_close).select(
         key, "windowStart", "windowEnd", "timer",
         F.coalesce(fire_seq, F.lit(LONG_MAX)).alias("_pos"),
-        F.lit(1).alias("_mark"), F.lit(0).alias("_real"))
+        F.lit(1).alias("_mark"), F.lit(0).alias("_real")))
 
     real = on_time.select(key, "windowStart", "windowEnd",
                           F.lit(None).cast("long").alias("timer"),
@@ -89,8 +90,8 @@ def early_firings(df: DataFrame, key: str, seq: str, size_ms: int, step_ms: int,
     both = real.unionByName(markers)
     order = ["_pos", "_mark", "timer"]
     both = add_blocks(both, order, width)
-    # ``both`` is cheap to read twice: the rows come from the written table
-    # and the markers are small (size/step + 1 per window)
+    # both parts come from written tables; there are size/step + 1 markers per
+    # window, so up to several per row
     counted = running(both, [key, "windowStart"], order, {"count": ("sum", F.col("_real"))})
     fired = counted.where(F.col("_mark") == 1).select(
         key, "windowStart", "windowEnd", "timer",

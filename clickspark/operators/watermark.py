@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickspark.model import LONG_MIN
-from clickspark.operators.scan import BLOCK, add_blocks, running, running_ranged
+from clickspark.operators.scan import BLOCK, Cuts, add_blocks, running
 
 
 def floor_div(x: Column, n: int) -> Column:
@@ -34,34 +34,31 @@ def window_start(ms: Column | str, size_ms: int) -> Column:
     return ms - F.pmod(ms, F.lit(size_ms))
 
 
-def blocked(df: DataFrame, order: Sequence[str], width: int | None = None) -> DataFrame:
+def blocked(df: DataFrame, order: Sequence[str], width: int | Cuts | None = None) -> DataFrame:
     """Attach arrival blocks unless the frame already has them."""
     return df if BLOCK in df.columns else add_blocks(df, order, width)
 
 
 def _global_max(df: DataFrame, order: Sequence[str], ms: str, out: str,
-                width: int | None, exclusive: bool) -> DataFrame:
-    aggs = {out: ("max", F.col(ms))}
-    if width is None and BLOCK not in df.columns:
-        # range blocks: assigned and scanned in one pass, written once
-        return running_ranged(df, order, aggs, exclusive=exclusive)
-    return running(blocked(df, order, width), [], order, aggs, exclusive=exclusive)
+                width: int | Cuts | None, exclusive: bool) -> DataFrame:
+    return running(blocked(df, order, width), [], order, {out: ("max", F.col(ms))},
+                   exclusive=exclusive)
 
 
 def with_prev_max(df: DataFrame, order: Sequence[str], ms: str = "ms",
-                  out: str = "prevmax", width: int | None = None) -> DataFrame:
+                  out: str = "prevmax", width: int | Cuts | None = None) -> DataFrame:
     """``max(ms)`` over the rows that arrived strictly before each row."""
     return _global_max(df, order, ms, out, width, exclusive=True)
 
 
 def with_run_max(df: DataFrame, order: Sequence[str], ms: str = "ms",
-                 out: str = "runmax", width: int | None = None) -> DataFrame:
+                 out: str = "runmax", width: int | Cuts | None = None) -> DataFrame:
     """``max(ms)`` over the rows up to and including each row."""
     return _global_max(df, order, ms, out, width, exclusive=False)
 
 
 def watermark_before(df: DataFrame, order: Sequence[str], delay_ms: int, ms: str = "ms",
-                     out: str = "watermark", width: int | None = None) -> DataFrame:
+                     out: str = "watermark", width: int | Cuts | None = None) -> DataFrame:
     """M1/M2/M3/M5: the watermark a row sees when it is processed."""
     res = with_prev_max(df, order, ms, "_prevmax", width)
     wm = F.coalesce(F.col("_prevmax") - F.lit(delay_ms + 1), F.lit(LONG_MIN))
@@ -69,7 +66,7 @@ def watermark_before(df: DataFrame, order: Sequence[str], delay_ms: int, ms: str
 
 
 def watermark_after(df: DataFrame, order: Sequence[str], delay_ms: int, ms: str = "ms",
-                    out: str = "watermark", width: int | None = None) -> DataFrame:
+                    out: str = "watermark", width: int | Cuts | None = None) -> DataFrame:
     """M4: the watermark emitted right after each row (punctuated
     ``emitWatermark(ts - 1)``; a lower value never moves it back)."""
     res = with_run_max(df, order, ms, "_runmax", width)
@@ -124,7 +121,7 @@ def first_crossing(recs: DataFrame, grid: int, offset: int, lower_pad: int,
 
 
 def classify_late(df: DataFrame, order: Sequence[str], size_ms: int, delay_ms: int,
-                  lateness_ms: int = 0, ms: str = "ms", width: int | None = None) -> DataFrame:
+                  lateness_ms: int = 0, ms: str = "ms", width: int | Cuts | None = None) -> DataFrame:
     """Tag each row with its tumbling window and its fate on arrival.
 
     ``cls`` = ``on_time`` (window not fired yet), ``refire`` (fired but within

@@ -13,18 +13,18 @@ def click_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clicks(load(spark, sf_dir, "events"))
 
 
-_WIDTHS: dict[tuple, int] = {}
+_CUTS: dict[tuple, list] = {}
 
 
-def event_width(spark: SparkSession, sf_dir: str) -> int:
-    """Arrival-block width for in-order scans keyed on ``event_id``
-    (computed once per input folder and partition setting)."""
-    from clickspark.operators.scan import block_width
+def event_cuts(spark: SparkSession, sf_dir: str) -> list[tuple]:
+    """Arrival-block bounds of ``event_id`` for in-order scans (drawn once per
+    input folder and partition setting)."""
+    from clickspark.operators.scan import order_cuts
     from clickspark.session import shuffle_partitions
     key = (spark.sparkContext.applicationId, sf_dir, shuffle_partitions(spark))
-    if key not in _WIDTHS:
-        _WIDTHS[key] = block_width(load(spark, sf_dir, "events").select("event_id"), "event_id")
-    return _WIDTHS[key]
+    if key not in _CUTS:
+        _CUTS[key] = order_cuts(load(spark, sf_dir, "events"), ["event_id"])
+    return _CUTS[key]
 
 
 def with_clicks(body: str, *ctes: str) -> str:

@@ -8,7 +8,7 @@ from clickspark.model import MS_SQL, epoch_ms, load
 from clickspark.operators import transforms as T
 from clickspark.operators.watermark import watermark_after
 from clickspark.plans import params as P
-from clickspark.plans.catalog.common import click_view, event_width, with_clicks
+from clickspark.plans.catalog.common import click_view, event_cuts, with_clicks
 from clickspark.plans.catalog.transforms import (CSV_LINES_SQL, ZONE, ZONE_MS, _parse_sql,
                                                   csv_lines, java_ts_sql)
 from clickspark.plans.registry import register
@@ -33,7 +33,7 @@ def wm_emit_in_source(spark, sf_dir):
     watermark after each row; the watermark never moves back."""
     ev = load(spark, sf_dir, "events")
     g = G.clicks_from_ids(ev, "event_id", epoch_ms("ts"), G.USERS_3, G.URLS_3)
-    return watermark_after(g, ["seq"], 0, width=event_width(spark, sf_dir))
+    return watermark_after(g, ["seq"], 0, width=event_cuts(spark, sf_dir))
 
 
 @register("src_text_lines", _parse_sql(CSV_LINES_SQL, ","))

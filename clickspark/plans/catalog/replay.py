@@ -2,7 +2,7 @@
 
 In-order queries use ``seq = event_id`` as the arrival order.  Late-data
 queries use the deterministic disorder of :func:`clickspark.model.disordered`
-(arrival order ``(arr, seq)``), with range-partitioned arrival blocks.
+(arrival order ``(arr, seq)``).
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from clickspark.operators.timers import ARRIVED_TEXT, FIRED_TEXT, timer_replay
 from clickspark.operators.triggers import early_firings
 from clickspark.operators.watermark import watermark_before
 from clickspark.plans import params as P
-from clickspark.plans.catalog.common import click_view, event_width, with_clicks
+from clickspark.plans.catalog.common import click_view, event_cuts, with_clicks
 from clickspark.plans.catalog.transforms import ZONE, java_ts_sql
 from clickspark.plans.registry import register
 
@@ -41,7 +41,7 @@ def wm_bounded(spark, sf_dir):
 def wm_monotonous(spark, sf_dir):
     """M2: monotonous timestamps watermark seen by each row."""
     c = click_view(spark, sf_dir).select("seq", "ms")
-    return watermark_before(c, ["seq"], 0, width=event_width(spark, sf_dir))
+    return watermark_before(c, ["seq"], 0, width=event_cuts(spark, sf_dir))
 
 
 def _classified_sql(size: int, delay: int, late: int) -> str:
@@ -141,7 +141,7 @@ def win_trigger_early(spark, sf_dir):
     """Tumbling 10 s per url with a trigger that fires every 1 s of
     event time (timers registered on the window's first row)."""
     c = click_view(spark, sf_dir)
-    return early_firings(c, "url", "seq", *_W6, width=event_width(spark, sf_dir))
+    return early_firings(c, "url", "seq", *_W6, width=event_cuts(spark, sf_dir))
 
 
 @register("win_trigger_purge",
@@ -152,7 +152,7 @@ def win_trigger_early(spark, sf_dir):
 def win_trigger_purge(spark, sf_dir):
     """ST2: the same trigger answering FIRE_AND_PURGE: rows since the last firing."""
     c = click_view(spark, sf_dir)
-    return early_firings(c, "url", "seq", *_W6, width=event_width(spark, sf_dir),
+    return early_firings(c, "url", "seq", *_W6, width=event_cuts(spark, sf_dir),
                          purge=True)
 
 

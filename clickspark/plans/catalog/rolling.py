@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickspark.operators import rolling as R
 from clickspark.plans import params as P
-from clickspark.plans.catalog.common import click_view, event_width, with_clicks
+from clickspark.plans.catalog.common import click_view, event_cuts, with_clicks
 from clickspark.plans.registry import register
 
 AMOUNT_SQL = "a AS (SELECT seq, \"user\", url, ms, CAST(round(value * 100) AS BIGINT) AS amount " \
@@ -28,7 +28,7 @@ def amounts(spark, sf_dir):
 def rolling_sum(spark, sf_dir):
     """A1: keyBy(user).sum(amount)."""
     a = amounts(spark, sf_dir).select("seq", "user", "amount")
-    return R.rolling_sum(a, "user", "seq", "amount", width=event_width(spark, sf_dir))
+    return R.rolling_sum(a, "user", "seq", "amount", width=event_cuts(spark, sf_dir))
 
 
 @register("rolling_max", with_clicks(
@@ -37,7 +37,7 @@ def rolling_sum(spark, sf_dir):
 def rolling_max(spark, sf_dir):
     """A2: keyBy(user).max(amount): other fields stay from the first row."""
     return R.rolling_max(amounts(spark, sf_dir), "user", "seq", "amount", ["url"],
-                         width=event_width(spark, sf_dir))
+                         width=event_cuts(spark, sf_dir))
 
 
 @register("rolling_min", with_clicks(
@@ -46,7 +46,7 @@ def rolling_max(spark, sf_dir):
 def rolling_min(spark, sf_dir):
     """A3: keyBy(user).min(amount): other fields stay from the first row."""
     return R.rolling_min(amounts(spark, sf_dir), "user", "seq", "amount", ["url"],
-                         width=event_width(spark, sf_dir))
+                         width=event_cuts(spark, sf_dir))
 
 
 def _by_sql(fn: str, tie: str) -> str:
@@ -60,14 +60,14 @@ def _by_sql(fn: str, tie: str) -> str:
 def rolling_max_by(spark, sf_dir):
     """A4: keyBy(user).maxBy(amount): the whole row of the max, first wins ties."""
     return R.rolling_max_by(amounts(spark, sf_dir), "user", "seq", "amount", ["url", "ms"],
-                            width=event_width(spark, sf_dir))
+                            width=event_cuts(spark, sf_dir))
 
 
 @register("rolling_min_by", _by_sql("min", "seq"))
 def rolling_min_by(spark, sf_dir):
     """A5: keyBy(user).minBy(amount): the whole row of the min, first wins ties."""
     return R.rolling_min_by(amounts(spark, sf_dir), "user", "seq", "amount", ["url", "ms"],
-                            width=event_width(spark, sf_dir))
+                            width=event_cuts(spark, sf_dir))
 
 
 @register("rolling_count_user", with_clicks(
@@ -75,7 +75,7 @@ def rolling_min_by(spark, sf_dir):
 def rolling_count_user(spark, sf_dir):
     """Map to (user, 1L), keyBy(user).reduce(sum): running clicks per user."""
     c = click_view(spark, sf_dir).select("seq", "user")
-    return R.rolling_count(c, "user", "seq", width=event_width(spark, sf_dir))
+    return R.rolling_count(c, "user", "seq", width=event_cuts(spark, sf_dir))
 
 
 @register("rolling_top_user", with_clicks(
@@ -85,7 +85,7 @@ def rolling_count_user(spark, sf_dir):
 def rolling_top_user(spark, sf_dir):
     """Running top user over A6's updates; ties go to the newer update."""
     c = click_view(spark, sf_dir).select("seq", "user")
-    w = event_width(spark, sf_dir)
+    w = event_cuts(spark, sf_dir)
     return R.running_top(R.rolling_count(c, "user", "seq", width=w), "user", "seq", width=w)
 
 

@@ -12,7 +12,7 @@ from clickspark.operators import transforms as T
 from clickspark.operators import windows as W
 from clickspark.operators.watermark import watermark_before
 from clickspark.plans import params as P
-from clickspark.plans.catalog.common import click_view, event_width, with_clicks
+from clickspark.plans.catalog.common import click_view, event_cuts, with_clicks
 from clickspark.plans.registry import register
 
 ZONE = "Asia/Shanghai"       # UTC+8 all year since 1991, as in the transcripts
@@ -125,7 +125,7 @@ def process_watermark(spark, sf_dir):
     """M5/PF1: the current watermark seen by a process function for each row
     (monotonous timestamps, in-order arrival)."""
     c = click_view(spark, sf_dir).select("seq", "user", "ms")
-    wm = watermark_before(c, ["seq"], 0, width=event_width(spark, sf_dir))
+    wm = watermark_before(c, ["seq"], 0, width=event_cuts(spark, sf_dir))
     return wm.select("seq", "user", "watermark")
 
 

@@ -102,8 +102,7 @@ def test_keyed_final_is_last_rolling_row(spark):
     assert cnt == {k: sum(1 for x in rows if x[1] == k) for k in "abc"}
 
 
-def test_running_ranged_matches_loop_with_hot_arrival(spark):
-    from clickspark.operators.scan import running_ranged
+def test_running_matches_loop_with_hot_arrival(spark):
     rnd = random.Random(11)
     n = 2000
     # a third of the rows share one arrival instant (ties broken by id)
@@ -116,6 +115,37 @@ def test_running_ranged_matches_loop_with_hot_arrival(spark):
         if v is not None:
             cur = v if cur is None else max(cur, v)
     for parts in (5, None):
-        got = running_ranged(df, ["arr", "id"], {"pm": ("max", F.col("v"))}, exclusive=True,
-                             partitions=parts)
+        cut = add_blocks(df, ["arr", "id"], partitions=parts)
+        got = running(cut, [], ["arr", "id"], {"pm": ("max", F.col("v"))}, exclusive=True)
         assert {r.id: r.pm for r in got.collect()} == exp
+        sizes = [r["count"] for r in cut.groupBy("_blk").count().collect()]
+        assert max(sizes) <= 2 * n / len(sizes)  # the hot instant is split
+
+
+def test_blocks_stay_even_under_sparse_and_outlier_ids(spark):
+    ids = [*range(4000), *range(10**12, 10**12 + 4000 * 977, 977), 2**60, -2**60]
+    df = spark.createDataFrame([(i,) for i in ids], "seq long")
+    for parts in (8, None):
+        sizes = [r["count"] for r in add_blocks(df, ["seq"], partitions=parts)
+                 .groupBy("_blk").count().collect()]
+        assert len(sizes) >= 8 and max(sizes) <= 2 * len(ids) / len(sizes)
+    rows = add_blocks(df, ["seq"]).orderBy("seq").collect()
+    assert [r._blk for r in rows] == sorted(r._blk for r in rows)
+
+
+def test_blocks_of_empty_and_null_orders(spark):
+    empty = spark.createDataFrame([], "seq long, v long")
+    assert running(add_blocks(empty, ["seq"]), [], ["seq"], {"s": ("sum", F.col("v"))}).count() == 0
+    df = spark.createDataFrame([(None, 1), (3, 2), (5, 4)], "seq long, v long")
+    got = running(add_blocks(df, ["seq"]), [], ["seq"], {"s": ("sum", F.col("v"))}).collect()
+    assert {r.seq: r.s for r in got} == {None: 1, 3: 3, 5: 7}
+
+
+def test_extremes_skip_null_fields(spark):
+    df = spark.createDataFrame([(1, "a", 5), (2, "a", None), (3, "a", 3), (4, "b", None), (5, "b", 7)],
+                               "seq long, k string, v long")
+    low = {r.at_seq: r.v for r in R.rolling_min_by(df, "k", "seq", "v", [], width=2).collect()}
+    assert low == {1: 5, 2: 5, 3: 3, 4: None, 5: 7}
+    high = {r.at_seq: r.v for r in R.rolling_max_by(df, "k", "seq", "v", []).collect()}
+    assert high == {1: 5, 2: 5, 3: 5, 4: None, 5: 7}
+    assert {r.k: r.v for r in R.keyed_final(df, "k", "seq", "min_by", "v").collect()} == {"a": 3, "b": 7}
