@@ -54,11 +54,11 @@ def src_text_lines(spark, sf_dir):
     "SELECT 'Event{user=''' || \"user\" || ''', url=''' || url || ''', ts=' || "
     f"{java_ts_sql('ms')} || '}}' AS value FROM c"))
 def sink_file_roundtrip(spark, sf_dir):
-    """K2: write Event.toString lines as UTF-8 text files (bounded file size)
+    """K2: write Event.toString lines as UTF-8 text files (rolled at 1 GiB)
     and read them back."""
     path = shared_dir(spark, "clickspark", "events-text")
     K.write_text(K.event_lines(click_view(spark, sf_dir), ZONE), path,
-                 max_records_per_file=100_000, mode="overwrite")
+                 max_bytes=K.ROLL_MAX_BYTES, mode="overwrite")
     return G.text_lines(spark, path)
 
 
@@ -85,47 +85,56 @@ def sink_index_route(spark, sf_dir):
     return K.routed_documents(click_view(spark, sf_dir), "clicks", P.NOW_MS, ZONE)
 
 
-# Failure cases derived from events: (exception class, cause chain, message)
+# Failure cases derived from events: (superclasses, cause chain, message).
+# The first name of each list is the exception's own class.
+_BASE = ["ElasticsearchException", "RuntimeException"]
 _CASES = [
-    ("ElasticsearchException", ["ElasticsearchException"],
+    (_BASE, ["ElasticsearchException"],
      "ElasticsearchException[type=circuit_breaking_exception, reason=Data too large]"),
-    ("ElasticsearchStatusException", ["ElasticsearchStatusException"],
+    (["ElasticsearchStatusException", *_BASE], ["ElasticsearchStatusException"],
      "type=mapper_parsing_exception, reason=failed to parse"),
-    ("ElasticsearchException", ["ElasticsearchException"],
+    (_BASE, ["ElasticsearchException"],
      "ElasticsearchException[type=index_not_found_exception, reason=no such index]"),
-    ("ElasticsearchException", ["ElasticsearchException", "EsRejectedExecutionException"],
-     "rejected execution of bulk"),
-    ("IOException", ["IOException", "SocketTimeoutException"], "30,000 milliseconds timeout"),
-    ("ElasticsearchParseException", ["ElasticsearchParseException"], "failed to parse date"),
-    ("ElasticsearchParseException", ["ElasticsearchParseException"],
+    (_BASE, ["ElasticsearchException", "EsRejectedExecutionException"], "rejected execution of bulk"),
+    (["IOException"], ["IOException", "java.net.SocketTimeoutException"], "30,000 milliseconds timeout"),
+    (["ElasticsearchParseException", *_BASE], ["ElasticsearchParseException"], "failed to parse date"),
+    (["ElasticsearchParseException", *_BASE], ["ElasticsearchParseException"],
      "parse failure type=mapper_parsing_exception"),
-    ("RuntimeException", ["RuntimeException"], "connection reset"),
+    (["RuntimeException"], ["RuntimeException"], "connection reset"),
+    (["CircuitBreakingException", *_BASE], ["CircuitBreakingException"],
+     "[parent] type=circuit_breaking_exception"),
+    (["org.elasticsearch.ElasticsearchException", "java.lang.RuntimeException"],
+     ["org.elasticsearch.ElasticsearchException"], "shard type=index_not_found_exception"),
 ]
 
 
 def _failures_sql() -> str:
     def arr(xs):
         return "[" + ", ".join(f"'{x}'" for x in xs) + "]"
-    cls = " ".join(f"WHEN {i} THEN '{c}'" for i, (c, _, _) in enumerate(_CASES))
-    chain = " ".join(f"WHEN {i} THEN {arr(ch)}" for i, (_, ch, _) in enumerate(_CASES))
-    msg = " ".join(f"WHEN {i} THEN '{m}'" for i, (_, _, m) in enumerate(_CASES))
     n = len(_CASES)
-    return (f"SELECT seq, CASE seq % {n} {cls} END AS exception_class, "
-            f"CASE seq % {n} {chain} END AS causes, "
-            f"(CASE seq % {n} {msg} END) || ' doc=' || CAST(seq AS VARCHAR) || ' ' || url AS message FROM c")
+
+    def case(show):
+        return f"CASE seq % {n} " + " ".join(
+            f"WHEN {i} THEN {show(c)}" for i, c in enumerate(_CASES)) + " END"
+    return (f"SELECT seq, {case(lambda c: repr(c[0][0]))} AS exception_class, "
+            f"{case(lambda c: arr(c[0]))} AS supers, {case(lambda c: arr(c[1]))} AS causes, "
+            f"({case(lambda c: repr(c[2]))}) || ' doc=' || CAST(seq AS VARCHAR) || ' ' || url "
+            "AS message FROM c")
 
 
 def _policy_sql() -> str:
-    base = ", ".join(f"'{b}'" for b in FP.BASE_EXCEPTIONS)
-    isb = f"exception_class IN ({base})"
+    def named(classes, name):
+        return (f"list_contains(list_transform({classes}, lambda x: string_split(x, '.')[-1]), "
+                f"'{name}')")
+    isb = named("supers", FP.BASE_EXCEPTION)
     return with_clicks(
         "SELECT seq, exception_class, message, reason, action FROM (SELECT *, "
         f"CASE WHEN {isb} AND instr(message, '{FP.CIRCUIT_BREAKING}') > 1 THEN 'circuit_breaking' "
         f"WHEN {isb} AND instr(message, '{FP.MAPPER_PARSING}') > 1 THEN 'mapper_parsing' "
         f"WHEN {isb} AND instr(message, '{FP.INDEX_NOT_FOUND}') > 1 THEN 'index_not_found' "
-        f"WHEN list_contains(causes, '{FP.REJECTED}') THEN 'rejected' "
-        f"WHEN list_contains(causes, '{FP.SOCKET_TIMEOUT}') THEN 'socket_timeout' "
-        f"WHEN list_contains(causes, '{FP.PARSE_ERROR}') THEN 'parse_error' ELSE 'other' END AS reason "
+        f"WHEN {named('causes', FP.REJECTED)} THEN 'rejected' "
+        f"WHEN {named('causes', FP.SOCKET_TIMEOUT)} THEN 'socket_timeout' "
+        f"WHEN {named('causes', FP.PARSE_ERROR)} THEN 'parse_error' ELSE 'other' END AS reason "
         "FROM f) x JOIN (VALUES " + ", ".join(f"('{r}', '{a}')" for r, a in FP.RULES)
         + ") AS r(reason, action) USING (reason)", f"f AS ({_failures_sql()})")
 
@@ -137,25 +146,32 @@ def sink_failure_policy(spark, sf_dir):
     n = len(_CASES)
     k = F.col("seq") % n
 
-    def pick(i: int):
+    def pick(value):
         expr = None
         for j, case in enumerate(_CASES):
-            v = F.array(*[F.lit(x) for x in case[1]]) if i == 1 else F.lit(case[i])
-            expr = (F.when(k == j, v) if expr is None else expr.when(k == j, v))
+            expr = (F if expr is None else expr).when(k == j, value(case))
         return expr
-    failures = c.select("seq", pick(0).alias("exception_class"), pick(1).alias("causes"),
-                        F.concat(pick(2), F.lit(" doc="), F.col("seq").cast("string"),
-                                 F.lit(" "), F.col("url")).alias("message"))
+
+    def names(classes):
+        return F.array(*[F.lit(x) for x in classes])
+    failures = c.select("seq", pick(lambda x: F.lit(x[0][0])).alias("exception_class"),
+                        pick(lambda x: names(x[0])).alias("supers"),
+                        pick(lambda x: names(x[1])).alias("causes"),
+                        F.concat(pick(lambda x: F.lit(x[2])), F.lit(" doc="),
+                                 F.col("seq").cast("string"), F.lit(" "),
+                                 F.col("url")).alias("message"))
     return FP.apply_policy(failures).select("seq", "exception_class", "message", "reason", "action")
 
 
 @register("sink_jdbc_rows", with_clicks(
-    'SELECT "user", url FROM j WHERE "user" IS NOT NULL AND url IS NOT NULL '
-    'AND length("user") <= 20 AND length(url) <= 100',
+    "SELECT \"user\", url, CASE WHEN \"user\" IS NULL THEN 'user is null' "
+    "WHEN length(\"user\") > 20 THEN 'user is longer than 20' WHEN url IS NULL THEN 'url is null' "
+    "WHEN length(url) > 100 THEN 'url is longer than 100' END AS reject_reason FROM j",
     "j AS (SELECT \"user\", CASE WHEN seq % 50 = 0 THEN repeat(url, 20) ELSE url END AS url FROM c)"))
 def sink_jdbc_rows(spark, sf_dir):
-    """K6: rows that fit ``clicks(user varchar(20) not null, url varchar(100)
-    not null)``; every 50th url is stretched so some are rejected."""
+    """K6: every row for ``clicks(user varchar(20) not null, url varchar(100)
+    not null)`` and why it does not fit; every 50th url is stretched so some
+    are rejected."""
     c = click_view(spark, sf_dir)
     j = c.select("user", F.when(F.col("seq") % 50 == 0, F.repeat(F.col("url"), 20))
                  .otherwise(F.col("url")).alias("url"))

@@ -1,9 +1,11 @@
-"""Failure policy of the bulk index sink, as a column rule.
+"""Failure policy of the bulk index sink, as a column rule and as the
+same rule on one failure.
 
-A failed request is described by its exception class, the classes of its
-cause chain (``causes``, the exception itself first) and its message.
-First matching rule wins.  The message tests mirror ``indexOf(..) > 0``:
-a match at the very start of the message does not count.
+A failed request is described by its exception class, the superclasses of
+that class (``supers``, the class itself first), the classes of its cause
+chain (``causes``, the exception itself first) and its message.  Names may be
+package-qualified.  First matching rule wins.  The message tests mirror
+``indexOf(..) > 0``: a match at the very start of the message does not count.
 """
 
 from __future__ import annotations
@@ -12,10 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---- fixed values -----------------------------------------------------------
-# Classes that are (subclasses of) the store's base exception.
-BASE_EXCEPTIONS = ["ElasticsearchException", "ElasticsearchStatusException",
-                   "ElasticsearchParseException", "ElasticsearchSecurityException",
-                   "ResourceNotFoundException", "IndexNotFoundException"]
+# The store's base exception; its subclasses have it among their supers.
+BASE_EXCEPTION = "ElasticsearchException"
 CIRCUIT_BREAKING = "type=circuit_breaking_exception"
 MAPPER_PARSING = "type=mapper_parsing_exception"
 INDEX_NOT_FOUND = "type=index_not_found_exception"
@@ -34,18 +34,20 @@ def _after_start(msg: Column, needle: str) -> Column:
     return F.coalesce(F.instr(msg, needle) > 1, F.lit(False))
 
 
-def failure_action(exception_class: str = "exception_class", causes: str = "causes",
+def _names(classes: str, name: str) -> Column:
+    """Whether a class list holds ``name``, package-qualified or not."""
+    simple = F.transform(F.col(classes), lambda c: F.substring_index(c, ".", -1))
+    return F.coalesce(F.array_contains(simple, name), F.lit(False))
+
+
+def failure_action(supers: str = "supers", causes: str = "causes",
                    message: str = "message") -> tuple[Column, Column]:
     """-> (reason, action) columns; action is retry / drop / log."""
-    base = F.col(exception_class).isin(BASE_EXCEPTIONS)
+    base = _names(supers, BASE_EXCEPTION)
     msg = F.col(message)
-
-    def in_chain(name: str) -> Column:
-        return F.coalesce(F.array_contains(F.col(causes), name), F.lit(False))
-
     tests = [base & _after_start(msg, CIRCUIT_BREAKING), base & _after_start(msg, MAPPER_PARSING),
-             base & _after_start(msg, INDEX_NOT_FOUND), in_chain(REJECTED),
-             in_chain(SOCKET_TIMEOUT), in_chain(PARSE_ERROR)]
+             base & _after_start(msg, INDEX_NOT_FOUND), _names(causes, REJECTED),
+             _names(causes, SOCKET_TIMEOUT), _names(causes, PARSE_ERROR)]
     reason = F.lit(RULES[-1][0])
     action = F.lit(RULES[-1][1])
     for test, (r, a) in reversed(list(zip(tests, RULES[:-1]))):
@@ -54,6 +56,20 @@ def failure_action(exception_class: str = "exception_class", causes: str = "caus
     return reason, action
 
 
+def decide(supers: list[str], causes: list[str], message: str | None) -> tuple[str, str]:
+    """The rule on one failure, inside a task."""
+    def named(classes, name):
+        return any(c.rpartition(".")[2] == name for c in classes or ())
+
+    def later(needle):
+        return (message or "").find(needle) > 0
+    base = named(supers, BASE_EXCEPTION)
+    tests = [base and later(CIRCUIT_BREAKING), base and later(MAPPER_PARSING),
+             base and later(INDEX_NOT_FOUND), named(causes, REJECTED),
+             named(causes, SOCKET_TIMEOUT), named(causes, PARSE_ERROR), True]
+    return RULES[tests.index(True)]
+
+
 def apply_policy(failures: DataFrame) -> DataFrame:
     reason, action = failure_action()
     return failures.withColumn("reason", reason).withColumn("action", action)

@@ -50,19 +50,26 @@ def test_hour_format_and_index_route(spark):
 
 
 def test_failure_policy_rules(spark):
+    base = [FP.BASE_EXCEPTION, "RuntimeException"]
+    parse = [FP.PARSE_ERROR, *base]
     rows = [
-        ("ElasticsearchException", ["ElasticsearchException"], "x type=circuit_breaking_exception"),
-        ("ElasticsearchException", ["ElasticsearchException"], "type=circuit_breaking_exception"),
-        ("ElasticsearchParseException", ["ElasticsearchParseException"], "a type=mapper_parsing_exception"),
-        ("ElasticsearchException", ["ElasticsearchException"], "a type=index_not_found_exception"),
-        ("X", ["X", "EsRejectedExecutionException"], "queue full"),
-        ("IOException", ["IOException", "SocketTimeoutException"], "timeout"),
-        ("ElasticsearchParseException", ["ElasticsearchParseException"], "bad"),
-        ("RuntimeException", ["RuntimeException"], None),
+        (base, [FP.BASE_EXCEPTION], f"x {FP.CIRCUIT_BREAKING}"),
+        (["CircuitBreakingException", *base], ["CircuitBreakingException"], f"x {FP.CIRCUIT_BREAKING}"),
+        (["org.store." + FP.BASE_EXCEPTION], ["org.store." + FP.BASE_EXCEPTION], f"x {FP.INDEX_NOT_FOUND}"),
+        (base, [FP.BASE_EXCEPTION], FP.CIRCUIT_BREAKING),
+        (parse, [FP.PARSE_ERROR], f"a {FP.MAPPER_PARSING}"),
+        (base, [FP.BASE_EXCEPTION], f"a {FP.INDEX_NOT_FOUND}"),
+        (["X"], ["X", FP.REJECTED], "queue full"),
+        (["IOException"], ["IOException", "java.net." + FP.SOCKET_TIMEOUT], "timeout"),
+        (parse, [FP.PARSE_ERROR], "bad"),
+        (["RuntimeException"], ["RuntimeException"], None),
+        (None, None, None),
     ]
-    df = spark.createDataFrame(rows, "exception_class string, causes array<string>, message string")
+    df = spark.createDataFrame(rows, "supers array<string>, causes array<string>, message string")
     got = [(r.reason, r.action) for r in FP.apply_policy(df).collect()]
-    assert got == [("circuit_breaking", "retry"), ("other", "drop"), ("mapper_parsing", "drop"),
+    assert got == [("circuit_breaking", "retry"), ("circuit_breaking", "retry"),
+                   ("index_not_found", "retry"), ("other", "drop"), ("mapper_parsing", "drop"),
                    ("index_not_found", "retry"), ("rejected", "retry"), ("socket_timeout", "log"),
-                   ("parse_error", "drop"), ("other", "drop")]
-    assert FP.dead_letters(FP.apply_policy(df)).count() == 4
+                   ("parse_error", "drop"), ("other", "drop"), ("other", "drop")]
+    assert [FP.decide(*r) for r in rows] == got
+    assert FP.dead_letters(FP.apply_policy(df)).count() == 5
