@@ -46,6 +46,17 @@ def parse_lines(df: DataFrame, sep: str = ",", value: str = "value",
               .select(*keep, "_e.user", "_e.url", "_e.ms"))
 
 
+def parse_or_reject(df: DataFrame, sep: str = ",", value: str = "value",
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """T5, permissive: clicks with ``bad_line``, the text of a line that does
+    not parse (NULL for good lines, which alone have fields)."""
+    c = parse_click(value, sep, strict=False)
+    parsed = df.select(*keep, F.col(value).alias("_line"), c.alias("_e"))
+    good = F.col("_e.ms").isNotNull() & F.col("_e.user").isNotNull() & F.col("_e.url").isNotNull()
+    return parsed.select(*keep, *[F.when(good, F.col(f"_e.{f}")).alias(f) for f in ("user", "url", "ms")],
+                         F.when(~good, F.coalesce("_line", F.lit(""))).alias("bad_line"))
+
+
 def repeat_by(df: DataFrame, counts: Column, value: Column | str = "user") -> DataFrame:
     """T7 ``ProcessFunction``: emit ``value`` ``counts`` times (0 = drop)."""
     v = F.col(value) if isinstance(value, str) else value

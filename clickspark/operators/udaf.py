@@ -8,10 +8,11 @@ Two forms:
   merges partial aggregates natively; this is the scalable default.
 * :class:`Accumulator` + :func:`aggregate_with` - arbitrary Python state.
   Phase 1 (``mapInPandas``) folds every input partition into one
-  accumulator per key (map-side combine); phase 2 hash-partitions the
-  partial states by key and merges them in one ``mapInPandas`` pass per
-  partition (at most one partial per input partition and key).  So a
-  hot key costs one small state per partition, never its rows.  A state
+  accumulator per key (map-side combine) and hands its states on whenever
+  they hold more than ``max_rows`` rows' worth; merging makes that exact.
+  Phase 2 hash-partitions the partial states by key, sorts them, and merges
+  key after key, holding one state at a time.  So a hot key costs small
+  states, never its rows.  A state
   that grows with distinct values (an exact user set) is salted first:
   :func:`salted` splits each group by ``hash(value) mod B`` into disjoint
   sub-groups whose results add up exactly.
@@ -63,12 +64,18 @@ class Accumulator:
         raise NotImplementedError
 
 
+#: Rows folded into a task's states before they are handed on.
+MAX_ROWS = 1_000_000
+
+
 def aggregate_with(df: DataFrame, keys: Sequence[str], acc: Accumulator,
-                   out: Mapping[str, str] | str, out_type: str | None = None) -> DataFrame:
+                   out: Mapping[str, str] | str, out_type: str | None = None,
+                   max_rows: int = MAX_ROWS) -> DataFrame:
     """Group by ``keys`` and aggregate with a Python :class:`Accumulator`.
 
     ``out`` is one output column (``out``, ``out_type``) or a mapping
     name -> type; with a mapping ``acc.result`` returns a dict.
+    ``max_rows`` bounds a task's states: they hold what that many rows add.
     -> (keys..., outputs...)
     """
     keys = list(keys)
@@ -79,30 +86,50 @@ def aggregate_with(df: DataFrame, keys: Sequence[str], acc: Accumulator,
 
     def partial(batches):
         states: dict[tuple, object] = {}
+        held = 0
         for pdf in batches:
-            for k, g in pdf.groupby(keys, sort=False, dropna=False):
-                k = k if isinstance(k, tuple) else (k,)
-                states[k] = acc.add_batch(states.get(k, acc.create()), g)
+            for at in range(0, len(pdf), max_rows):
+                part = pdf.iloc[at:at + max_rows]
+                if held + len(part) > max_rows and states:
+                    yield packed(states)
+                    states, held = {}, 0
+                held += len(part)
+                for k, g in part.groupby(keys, sort=False, dropna=False):
+                    k = k if isinstance(k, tuple) else (k,)
+                    states[k] = acc.add_batch(states.get(k, acc.create()), g)
+        if states:
+            yield packed(states)
+
+    def packed(states):
         rows = [(*k, pickle.dumps(s)) for k, s in states.items()]
-        yield pd.DataFrame(rows, columns=[*keys, "_state"])
+        return pd.DataFrame(rows, columns=[*keys, "_state"])
 
     def final(batches):
-        # every partial state of a key is in this task (hash-partitioned by
-        # key); at most one partial per input partition and key
-        states: dict[tuple, object] = {}
+        # every partial state of a key is in this task, one after the other
+        last, state, rows = None, None, []
         for pdf in batches:
             for row in pdf.itertuples(index=False):
-                k, blob = tuple(row[:-1]), row[-1]
-                s = pickle.loads(blob)
-                states[k] = acc.merge(states[k], s) if k in states else s
-        rows = []
-        for k, s in states.items():
-            res = acc.result(s)
-            rows.append([*k, *([res[n] for n in outs] if isinstance(out, Mapping) else [res])])
-        yield pd.DataFrame(rows, columns=[*keys, *outs])
+                k, s = tuple(row[:-1]), pickle.loads(row[-1])
+                # a missing key may arrive as NaN, which differs from itself
+                same = last is not None and all(a == b or (a != a and b != b) for a, b in zip(k, last))
+                if same:
+                    state = acc.merge(state, s)
+                    continue
+                if last is not None:
+                    rows.append(finished(last, state))
+                last, state = k, s
+            if rows:
+                yield pd.DataFrame(rows, columns=[*keys, *outs])
+                rows = []
+        if last is not None:
+            yield pd.DataFrame([finished(last, state)], columns=[*keys, *outs])
+
+    def finished(k, s):
+        res = acc.result(s)
+        return [*k, *([res[n] for n in outs] if isinstance(out, Mapping) else [res])]
 
     partials = df.mapInPandas(partial, f"{key_schema}, _state binary")
-    return (partials.repartition(*keys)
+    return (partials.repartition(*keys).sortWithinPartitions(*keys)
                     .mapInPandas(final, f"{key_schema}, {out_schema}"))
 
 
@@ -113,8 +140,10 @@ def salted(df: DataFrame, col: str, buckets: int, name: str = "_salt") -> DataFr
     return df.withColumn(name, F.pmod(F.hash(F.col(col)), F.lit(buckets)))
 
 
-class AvgPv(Accumulator):
-    """PV / UV: accumulator (set of users, click count) -> double."""
+class PvUv(Accumulator):
+    """PV / UV: accumulator (set of users, click count), reporting its parts so
+    that salted partial results can be added up: -> {"pv": clicks, "uv":
+    distinct users}."""
 
     def __init__(self, user: str = "user"):
         self.user = user
@@ -135,41 +164,13 @@ class AvgPv(Accumulator):
     def merge(self, a, b):
         return (a[0] | b[0], a[1] + b[1])
 
-    def result(self, acc):
-        users, n = acc
-        return float(n) / len(users) if users else None
-
-
-class PvUv(AvgPv):
-    """AvgPv's accumulator reporting its parts, so salted partial results
-    can be added up: -> {"pv": clicks, "uv": distinct users}."""
-
     def result(self, acc):
         users, n = acc
         return {"pv": int(n), "uv": len(users)}
 
 
-class CountAcc(Accumulator):
-    """The incremental count of the reference's url view aggregate."""
-
-    def create(self):
-        return 0
-
-    def add(self, acc, row):
-        return acc + 1
-
-    def add_batch(self, acc, pdf):
-        return acc + len(pdf)
-
-    def merge(self, a, b):
-        return a + b
-
-    def result(self, acc):
-        return int(acc)
-
-
 def avg_pv(user: str = "user") -> ColumnAggregate:
-    """AvgPv as built-in aggregates (the scalable form)."""
+    """PV / UV as built-in aggregates (the scalable form)."""
     return ColumnAggregate(
         parts={"pv": F.count(F.lit(1)), "uv": F.count_distinct(F.col(user))},
         result=lambda p: p["pv"].cast("double") / p["uv"].cast("double"))

@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickspark.model import click_sql, clicks, load
 
 CLICKS_CTE = f"c AS ({click_sql()})"
 
 
-def click_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clicks(load(spark, sf_dir, "events"))
+def click_view(spark: SparkSession, sf_dir: str, users: Sequence[str] | None = None) -> DataFrame:
+    """The click view of ``events``; ``users`` keeps those users' rows by a
+    predicate on the source column, which reaches the Parquet scan (one on
+    the cast to text would not)."""
+    events = load(spark, sf_dir, "events")
+    if users is not None:
+        events = events.where(F.col("user_id").isin([int(u) for u in users]))
+    return clicks(events)
 
 
 _CUTS: dict[tuple, list] = {}

@@ -58,7 +58,7 @@ def map_user(spark, sf_dir):
 @register("filter_user", with_clicks(f"SELECT * FROM c WHERE \"user\" = '{P.MARY}'"))
 def filter_user(spark, sf_dir):
     """Keep one user's clicks."""
-    return T.filter_user(click_view(spark, sf_dir), P.MARY)
+    return T.filter_user(click_view(spark, sf_dir, [P.MARY]), P.MARY)
 
 
 @register("flatmap_user_url", with_clicks(
@@ -66,7 +66,7 @@ def filter_user(spark, sf_dir):
     f"UNION ALL SELECT url FROM c WHERE \"user\" = '{P.BOB}'"))
 def flatmap_user_url(spark, sf_dir):
     """One user -> [user]; another -> [user, url]; others -> nothing."""
-    return T.flatmap_user_url(click_view(spark, sf_dir), P.MARY, P.BOB)
+    return T.flatmap_user_url(click_view(spark, sf_dir, [P.MARY, P.BOB]), P.MARY, P.BOB)
 
 
 @register("map_pair", with_clicks('SELECT "user" AS f0, CAST(1 AS BIGINT) AS f1 FROM c'))
@@ -113,7 +113,7 @@ def rich_map_timestamp(spark, sf_dir):
     f"UNION ALL SELECT \"user\" FROM c WHERE \"user\" = '{P.BOB}'"))
 def process_expand(spark, sf_dir):
     """T7/PF1: process function: one user once, another twice, others never."""
-    c = click_view(spark, sf_dir)
+    c = click_view(spark, sf_dir, [P.MARY, P.BOB])
     n = (F.when(F.col("user") == P.MARY, 1).when(F.col("user") == P.BOB, 2).otherwise(0))
     return T.repeat_by(c, n, "user")
 

@@ -52,13 +52,12 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` is read from the session.
-    Only when it is unset (local tests) do we set one ourselves.
+    Only a local master (tests), whose executors are this process, gets a
+    temporary folder when it is unset; on a cluster that would scatter the
+    files over machines, so it is refused.
     """
+    ensure_checkpoint_dir(spark)
     base = _checkpoint_dir(spark)
-    if not base:
-        base = tempfile.mkdtemp(prefix="clickspark-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = _checkpoint_dir(spark) or base
     return "/".join([base.rstrip("/"), *parts, uuid.uuid4().hex])
 
 
@@ -107,21 +106,26 @@ def drop_stage_tables(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable (sets a folder only if unset)."""
+    """Make ``DataFrame.checkpoint()`` usable.  Sets a folder only if none is
+    set and the master is local; raises on a cluster without one."""
+    sc = spark.sparkContext
     if not _checkpoint_dir(spark):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="clickspark-ckpt-"))
-    elif not (getattr(spark.sparkContext, "getCheckpointDir", lambda: None)()):
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="clickspark-ckpt-"))
+    elif not (getattr(sc, "getCheckpointDir", lambda: None)()):
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def is_local(master: str) -> bool:
+    """Whether the executors run in the driver's process."""
+    return master == "local" or master.startswith("local[")
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access in tests."""
-    return path[5:] if path.startswith("file:") else path
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 __all__ = ["get_spark", "shared_dir", "ship_package", "drop_stage_tables", "ensure_checkpoint_dir",
-           "shuffle_partitions", "local_path"]
+           "is_local", "shuffle_partitions"]

@@ -156,58 +156,101 @@ def lateness_stream(clicks: DataFrame, key: str, size_ms: int, delay_ms: int,
 
 class EarlyFiringProcessor(StatefulProcessor):
     """W6 twin, grouped by (key, window) so state is window-scoped like the
-    reference's trigger state: ``ValueState`` ``first_event`` (value /
-    update / clear, ST1) and the window's count.  On the first row register
-    a timer every ``step`` and at ``end - 1``; each timer emits the count;
-    the close timer clears the state.  (Monotonous watermark: Spark timers
-    are set one ms later so they fire when the reference watermark
-    ``max - 1`` reaches the timer.)"""
+    reference's trigger state (value / update / clear, ST1): the window's
+    count and the next timer to fire.
 
-    def __init__(self, size_ms: int, step_ms: int, purge: bool = False):
-        self.size, self.step, self.purge = size_ms, step_ms, purge
+    The query declares ``D = delay + size``, so no row of an open window is
+    removed before it gets here; rows of a closed window are dropped here.
+    The reference watermark is ``spark_wm + D - delay - 1``.  Timers are set
+    for every ``step`` and for ``end - 1``; those that the watermark has
+    passed fire before a batch's rows count, and those passed when the window
+    opens fire right after its first rows.  The close timer clears the state.
+    """
+
+    def __init__(self, size_ms: int, step_ms: int, purge: bool = False, delay_ms: int = 0):
+        self.size, self.step, self.purge, self.d = size_ms, step_ms, purge, delay_ms
+        self.spark_delay = delay_ms + size_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.first = handle.getValueState(
-            "first_event", T.StructType([T.StructField("v", T.BooleanType())]))
-        self.count = handle.getValueState("count", _LONG)
+        self.window = handle.getValueState("window", T.StructType([
+            T.StructField("count", T.LongType()), T.StructField("next", T.LongType())]))
+
+    def _ref_wm(self, tv) -> int | None:
+        wm = _spark_wm(tv)
+        return None if wm is None else wm + self.size - 1
+
+    def _timers(self, ws: int) -> list[int]:
+        return [*range(ws, ws + self.size, self.step), ws + self.size - 1]
+
+    def _fire(self, key, ws: int, count: int, nxt: int, ref: int | None) -> tuple[list, int, int]:
+        """Fire the timers from the ``nxt``-th on that ``ref`` has passed."""
+        out, timers = [], self._timers(ws)
+        while ref is not None and nxt < len(timers) and timers[nxt] <= ref:
+            if count or not self.purge:
+                out.append((key, ws, ws + self.size, timers[nxt], count))
+            if self.purge:
+                count = 0
+            nxt += 1
+        return out, count, nxt
+
+    def _keep(self, ws: int, count: int, nxt: int) -> None:
+        if nxt < len(self._timers(ws)):
+            self.window.update((count, nxt))
+        else:
+            self.window.clear()
+
+    def _frame(self, out: list) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=["key", "windowStart", "windowEnd", "timer", "count"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        ws = int(key[1])
-        n = sum(len(pdf) for pdf in rows)
-        if not self.first.exists():
-            for t in [*range(ws, ws + self.size, self.step), ws + self.size - 1]:
-                self.handle.registerTimer(t + 1)
-            self.first.update((True,))
-        (c,) = self.count.get() if self.count.exists() else (0,)
-        self.count.update((c + n,))
-        yield pd.DataFrame([], columns=["key", "windowStart", "windowEnd", "timer", "count"])
+        k, ws = key[0], int(key[1])
+        ref, n = self._ref_wm(timerValues), sum(len(pdf) for pdf in rows)
+        out: list = []
+        known = self.window.exists()
+        if known:
+            count, nxt = self.window.get()
+            out, count, nxt = self._fire(k, ws, count, nxt, ref)
+        else:
+            count, nxt = 0, 0
+        if ref is None or ref < ws + self.size - 1:      # the window is open
+            if not known:
+                for t in self._timers(ws):
+                    self.handle.registerTimer(t + 1 - self.size)
+                more, count, nxt = self._fire(k, ws, n, 0, ref)
+                out += more
+            else:
+                count += n
+            self._keep(ws, count, nxt)
+        elif known:
+            self._keep(ws, count, nxt)
+        yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         k, ws = key[0], int(key[1])
-        t = expiredTimerInfo.getExpiryTimeInMs() - 1
-        (c,) = self.count.get() if self.count.exists() else (0,)
-        out = [] if (self.purge and c == 0) else [(k, ws, ws + self.size, t, c)]
-        if t == ws + self.size - 1:           # window closes: clear()
-            self.first.clear()
-            self.count.clear()
-        elif self.purge:
-            self.count.update((0,))
-        yield pd.DataFrame(out, columns=["key", "windowStart", "windowEnd", "timer", "count"])
+        out: list = []
+        if self.window.exists():
+            count, nxt = self.window.get()
+            upto = expiredTimerInfo.getExpiryTimeInMs() - 1 + self.size
+            out, count, nxt = self._fire(k, ws, count, nxt, upto)
+            self._keep(ws, count, nxt)
+        yield self._frame(out)
 
     def close(self) -> None:
         pass
 
 
 def early_firings_stream(clicks: DataFrame, key: str, size_ms: int, step_ms: int,
-                         purge: bool = False, ts: str = "ts", ms: str = "ms") -> DataFrame:
+                         purge: bool = False, ts: str = "ts", ms: str = "ms",
+                         delay_ms: int = 0) -> DataFrame:
     from pyspark.sql import functions as F
     enable_state_store(clicks.sparkSession)
-    src = (clicks.withWatermark(ts, "0 milliseconds")
+    proc = EarlyFiringProcessor(size_ms, step_ms, purge, delay_ms)
+    src = (clicks.withWatermark(ts, f"{proc.spark_delay} milliseconds")
            .withColumn("_ws", F.col(ms) - F.pmod(F.col(ms), F.lit(size_ms))))
     return src.groupBy(key, "_ws").transformWithStateInPandas(
-        statefulProcessor=EarlyFiringProcessor(size_ms, step_ms, purge),
-        outputStructType=EARLY_SCHEMA, outputMode="Append", timeMode="EventTime")
+        statefulProcessor=proc, outputStructType=EARLY_SCHEMA, outputMode="Append",
+        timeMode="EventTime")
 
 
 class ProcessingTimerProcessor(StatefulProcessor):

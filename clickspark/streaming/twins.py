@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clickspark.model import event_time
 from clickspark.operators import windows as W
-from clickspark.operators.transforms import parse_lines
+from clickspark.operators.transforms import parse_lines, parse_or_reject
 from clickspark.sinks.writers import merge_upserts
 
 
@@ -24,15 +24,41 @@ def _dur(ms: int) -> str:
 
 
 def click_lines_stream(spark: SparkSession, path: str, sep: str = ",",
-                       files_per_trigger: int | None = None) -> DataFrame:
-    """Text lines from files landing in ``path`` -> clicks with ``ts``."""
+                       files_per_trigger: int | None = None, rejects: bool = False) -> DataFrame:
+    """Text lines from files landing in ``path`` -> clicks with ``ts``.
+
+    A line that does not parse fails the query.  With ``rejects`` it passes
+    with its text in ``bad_line`` (NULL for good lines); split the frame with
+    :func:`split_lines` in ``foreachBatch``, or filter it, before windows.
+    """
     r = spark.readStream.format("text")
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
-    clicks = parse_lines(r.load(path), sep, strict=False)
+    lines = r.load(path)
+    clicks = (parse_or_reject(lines, sep) if rejects else parse_lines(lines, sep))
     return clicks.withColumn("ts", event_time("ms"))
 
 
+def split_lines(clicks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Clicks and rejected lines of a frame with ``bad_line``."""
+    return (clicks.where("bad_line is null").drop("bad_line"),
+            clicks.where("bad_line is not null").select("bad_line"))
+
+
+def fan_out(outputs: dict[str, Callable[[DataFrame], DataFrame]],
+            write: Callable[[DataFrame, str, int], None]) -> Callable[[DataFrame, int], None]:
+    """K7: one job to several outputs, for ``foreachBatch``.  Each micro-batch
+    is written once to the shared folder; every named output is derived from
+    it and handed to ``write(frame, name, epoch)``."""
+    from clickspark.operators.scan import materialize
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        rows = materialize(batch)
+        for name, derive in outputs.items():
+            write(derive(rows), name, epoch)
+    return run
+
+
 def watermarked(clicks: DataFrame, delay_ms: int, ts: str = "ts") -> DataFrame:
     """M1/M2: ``withWatermark`` (``delay_ms = 0`` is the monotonous case)."""
     return clicks.withWatermark(ts, _dur(delay_ms))
@@ -57,38 +83,81 @@ def pv_uv_stream(clicks: DataFrame, size_ms: int, slide_ms: int, delay_ms: int =
 
 
 def unique_visitors_stream(clicks: DataFrame, size_ms: int, delay_ms: int = 0) -> DataFrame:
-    """W3 streaming (HyperLogLog++ is the streaming-safe distinct count)."""
-    return W.unique_visitors(watermarked(clicks, delay_ms), size_ms, ts_col="ts", approx=True)
+    """W3 streaming, exact: one row per (window, user) first, then a count
+    per window, so a window's users are spread over the cluster."""
+    res = W.pv_uv_two_stage(watermarked(clicks, delay_ms), size_ms, ts_col="ts")
+    return res.select("uv", "windowStart", "windowEnd")
 
 
-def upsert_batches(spark: SparkSession, table_path: str, key: str, value: str, seq: str
-                   ) -> Callable[[DataFrame, int], None]:
+def upsert_batches(spark: SparkSession, table_path: str, key: str, value: str, seq: str,
+                   buckets: int = 64) -> Callable[[DataFrame, int], None]:
     """K4 streaming: a ``foreachBatch`` function folding each micro-batch
-    into a keyed table (last write per key wins).  Each batch writes a new
-    version folder and a pointer file; readers use :func:`read_upserts`."""
+    into a keyed table (last write per key wins).
+
+    The table is cut into ``buckets`` by key hash.  A batch rewrites only the
+    buckets it touches, as a new version of each, and deletes the versions
+    before the previous one, so the table stays bounded and a reader of the
+    previous version is not disturbed.  A repeated epoch writes the same rows.
+    """
     def run(batch: DataFrame, epoch: int) -> None:
-        current = read_upserts(spark, table_path)
-        if current is None:
-            current = batch.sparkSession.createDataFrame(
-                [], batch.select(key, value, seq).schema)
-        merged = merge_upserts(current, batch, key, value, seq)
-        merged.write.mode("overwrite").parquet(f"{table_path}/v={epoch:012d}")
+        session = batch.sparkSession
+        part = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+        rows = batch.select(key, value, seq)
+        touched = sorted(r[0] for r in rows.select(part.alias("b")).distinct().collect())
+        if not touched:
+            return
+        old = _bucket_files(session, table_path, touched, before=epoch)
+        current = session.createDataFrame([], rows.schema)
+        if old:
+            current = session.read.schema(rows.schema).parquet(*[v[-1] for v in old.values()])
+        merged = merge_upserts(current, rows, key, value, seq).withColumn("b", part)
+        staging = f"{table_path}/_staging/{epoch:012d}"
+        merged.repartition("b").write.mode("overwrite").partitionBy("b").parquet(staging)
+        fs, path = _fs(session, table_path)
+        for b in touched:
+            target = path(f"{table_path}/bucket={b}/v={epoch:012d}")
+            fs.delete(target, True)
+            fs.mkdirs(target.getParent())
+            if not fs.rename(path(f"{staging}/b={b}"), target):
+                raise OSError(f"cannot publish bucket {b}")
+            for stale in old.get(b, [])[:-1]:
+                fs.delete(path(stale), True)
+        fs.delete(path(staging), True)
     return run
 
 
-def read_upserts(spark: SparkSession, table_path: str) -> DataFrame | None:
-    """The latest version written by :func:`upsert_batches` (None if empty)."""
+def _fs(spark: SparkSession, base: str):
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(table_path)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return None
-    versions = sorted(s.getPath().getName() for s in fs.listStatus(p)
-                      if s.getPath().getName().startswith("v="))
-    done = [v for v in versions
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{table_path}/{v}/_SUCCESS"))]
-    return spark.read.parquet(f"{table_path}/{done[-1]}") if done else None
+    path = jvm.org.apache.hadoop.fs.Path
+    return path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def _bucket_files(spark: SparkSession, table_path: str, only: list[int] | None = None,
+                  before: int | None = None) -> dict[int, list[str]]:
+    """Versions of each bucket, oldest first (two a bucket at most, besides
+    one being written)."""
+    fs, path = _fs(spark, table_path)
+    out: dict[int, list[str]] = {}
+    if not fs.exists(path(table_path)):
+        return out
+    if only is None:
+        names = [s.getPath().getName() for s in fs.listStatus(path(table_path))]
+        only = [int(n[7:]) for n in names if n.startswith("bucket=")]
+    for b in only:
+        folder = path(f"{table_path}/bucket={b}")
+        if fs.exists(folder):
+            found = sorted(s.getPath().getName() for s in fs.listStatus(folder))
+            kept = [f"{table_path}/bucket={b}/{v}" for v in found
+                    if before is None or int(v[2:]) < before]
+            if kept:
+                out[b] = kept
+    return out
+
+
+def read_upserts(spark: SparkSession, table_path: str) -> DataFrame | None:
+    """The latest version of every bucket (None if nothing was written)."""
+    found = _bucket_files(spark, table_path)
+    return spark.read.parquet(*[v[-1] for v in found.values()]) if found else None
 
 
 def console(df: DataFrame, prefix: str | None = None):
