@@ -18,13 +18,6 @@ CLICK_SCHEMA = T.StructType([
     T.StructField("ms", T.LongType()),
 ])
 
-URL_VIEW_SCHEMA = T.StructType([
-    T.StructField("url", T.StringType()),
-    T.StructField("count", T.LongType()),
-    T.StructField("windowStart", T.LongType()),
-    T.StructField("windowEnd", T.LongType()),
-])
-
 LONG_MIN = -(2 ** 63)
 LONG_MAX = 2 ** 63 - 1
 
@@ -70,10 +63,6 @@ def clicks(events: DataFrame) -> DataFrame:
     )
 
 
-def with_event_time(df: DataFrame, ms: str = "ms", out: str = "ts") -> DataFrame:
-    return df.withColumn(out, event_time(ms))
-
-
 def disordered(df: DataFrame, seq: str = "seq", ms: str = "ms", out: str = "arr",
                every: int = 10, hit: int = 3, mult: int = 7919, spread: int = 97,
                unit_ms: int = 300_000) -> DataFrame:

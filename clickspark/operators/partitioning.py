@@ -23,9 +23,18 @@ def key_by(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFram
 
 
 def custom_partition(df: DataFrame, n: int, partition_of: Column,
-                     out: str = "partition") -> DataFrame:
-    """P5: ``partitionCustom``: row goes to partition ``partition_of`` (0..n-1)."""
-    return _tag(df.repartitionById(n, F.pmod(partition_of, F.lit(n)).cast("int")), out)
+                     out: str = "partition", spread: int = 1) -> DataFrame:
+    """P5: ``partitionCustom``: row goes to partition ``partition_of`` (0..n-1).
+
+    ``spread`` gives every partition that many tasks (rows are dealt among
+    them by a hash of the row), so few logical partitions still use the whole
+    cluster; ``out`` is the logical partition."""
+    target = F.pmod(partition_of, F.lit(n)).cast("int")
+    if spread > 1:
+        dealt = F.pmod(F.xxhash64(*df.columns), F.lit(spread)).cast("int")
+        moved = df.repartitionById(n * spread, target * spread + dealt)
+        return moved.withColumn(out, F.floor(F.spark_partition_id() / spread).cast("int"))
+    return _tag(df.repartitionById(n, target), out)
 
 
 def rebalance(df: DataFrame, n: int, seq: str | None = None,

@@ -8,6 +8,7 @@ from clickspark.model import load
 from clickspark.operators import partitioning as PT
 from clickspark.plans.catalog.common import with_clicks
 from clickspark.plans.registry import register
+from clickspark.session import shuffle_partitions
 
 
 def _values(spark, sf_dir):
@@ -25,9 +26,11 @@ def src_parallel_share(spark, sf_dir):
 @register("part_custom",
           "SELECT event_id + 1 AS value, CAST((event_id + 2) % 2 AS INTEGER) AS partition FROM events")
 def part_custom(spark, sf_dir):
-    """P5: partitionCustom with (key + 1) % 2 over 2 partitions."""
+    """P5: partitionCustom with (key + 1) % 2 over 2 partitions, each spread
+    over its share of the cluster's tasks."""
     v = _values(spark, sf_dir)
-    return PT.custom_partition(v, 2, F.col("value") + 1)
+    return PT.custom_partition(v, 2, F.col("value") + 1,
+                               spread=max(1, shuffle_partitions(spark) // 2))
 
 
 @register("part_rebalance", with_clicks(

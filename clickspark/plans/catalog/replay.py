@@ -11,7 +11,7 @@ from clickspark.model import LONG_MAX, LONG_MIN, disordered, disordered_sql
 from clickspark.operators import late as L
 from clickspark.operators.timers import ARRIVED_TEXT, FIRED_TEXT, timer_replay
 from clickspark.operators.triggers import early_firings
-from clickspark.operators.watermark import watermark_before
+from clickspark.operators.watermark import watermark_after, watermark_before
 from clickspark.plans import params as P
 from clickspark.plans.catalog.common import click_view, event_cuts, with_clicks
 from clickspark.plans.catalog.transforms import ZONE, java_ts_sql
@@ -44,6 +44,15 @@ def wm_monotonous(spark, sf_dir):
     return watermark_before(c, ["seq"], 0, width=event_cuts(spark, sf_dir))
 
 
+@register("wm_punctuated", with_clicks(
+    "SELECT seq, ms, max(ms) OVER (ORDER BY seq) - 1 AS watermark FROM c"))
+def wm_punctuated(spark, sf_dir):
+    """M4: the watermark ``ms - 1`` emitted after each click; it never moves
+    back."""
+    c = click_view(spark, sf_dir).select("seq", "ms")
+    return watermark_after(c, ["seq"], 0, width=event_cuts(spark, sf_dir))
+
+
 def _classified_sql(size: int, delay: int, late: int) -> str:
     return (f"q AS (SELECT *, CASE WHEN prevmax IS NULL OR prevmax - {delay} < we THEN 'on_time' "
             f"WHEN prevmax - {delay} < we + {late} THEN 'refire' ELSE 'late' END AS cls FROM "

@@ -66,7 +66,7 @@ def click_stream(spark: SparkSession, rows_per_second: int = 1, start_ms: int |
     timestamp, or ``start_ms + value * 1000 / rows_per_second``."""
     rate = (spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load())
     ms = (F.unix_millis(F.col("timestamp")) if start_ms is None
-          else F.lit(start_ms) + F.col("value") * F.lit(1000 // max(rows_per_second, 1)))
+          else F.lit(start_ms) + F.floor(F.col("value") * 1000 / max(rows_per_second, 1)))
     return clicks_from_ids(rate, "value", ms, users, urls)
 
 
@@ -80,14 +80,6 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def text_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """S3/S4 streaming: new files in a folder, line by line."""
-    r = spark.readStream.format("text")
-    if files_per_trigger:
-        r = r.option("maxFilesPerTrigger", files_per_trigger)
-    return r.load(path)
-
-
 def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
     """Newline-delimited text from a socket (Spark's socket source)."""
     return (spark.readStream.format("socket").option("host", host)

@@ -93,3 +93,33 @@ def test_parse_lines_java_trim_and_errors(spark):
     import pytest
     with pytest.raises(Exception):
         T.parse_lines(bad, ",").collect()
+
+
+def test_key_by_keeps_a_key_in_one_partition(spark):
+    from pyspark.sql import functions as F
+
+    from clickspark.operators.partitioning import key_by
+    df = spark.range(500).withColumn("k", F.col("id") % 13)
+    for parts in (None, 6):
+        at = key_by(df, "k", partitions=parts).withColumn("p", F.spark_partition_id())
+        homes = at.groupBy("k").agg(F.count_distinct("p").alias("n")).collect()
+        assert len(homes) == 13 and all(r.n == 1 for r in homes)
+
+
+def test_spread_partitions_keep_their_rows(spark):
+    from pyspark.sql import functions as F
+
+    from clickspark.operators.partitioning import custom_partition
+    df = spark.range(400).select(F.col("id").alias("value"))
+    out = custom_partition(df, 2, F.col("value") + 1, spread=5)
+    assert all(r.partition == (r.value + 1) % 2 for r in out.collect())
+    tasks = out.select(F.spark_partition_id().alias("t")).distinct().count()
+    assert tasks > 2
+
+
+def test_user_filters_reach_the_scan(spark, sf_dir):
+    from clickspark.plans import queries
+    for name in ("filter_user", "flatmap_user_url", "process_expand"):
+        plan = queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        pushed = plan[plan.index("PushedFilters"):]
+        assert "user_id" in pushed[:200] and ("In(user_id" in pushed or "EqualTo(user_id" in pushed)

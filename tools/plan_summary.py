@@ -1,4 +1,4 @@
-"""Summarize the physical plan of every registered query (markdown table).
+"""Summarize the physical plan of every query of the library (markdown table).
 
 usage: python tools/plan_summary.py [sf_dir] > PLANS.md
 
@@ -20,13 +20,13 @@ def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     from clickspark.session import get_spark
     spark = get_spark("local[8]", shuffle_partitions=8)
-    import __spark_entry__ as E
+    from clickspark.plans import queries
     print("# Physical plans\n")
     print(f"Generated by `tools/plan_summary.py` on `{sf_dir}` (initial AQE plans; "
           "queries that write intermediate tables show the plan after them).\n")
-    print("| query | exchanges | joins | windows | python | scans (columns read) |")
-    print("|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    print("| query | exchanges | joins | windows | python | scans (columns read) | pushed filters |")
+    print("|---|---|---|---|---|---|---|")
+    for name, fn in queries().items():
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         ex = len(re.findall(r"Exchange (hash|range|single|round|shufflepart)", plan)) + \
@@ -39,8 +39,12 @@ def main(argv):
         scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
         cols = "; ".join(sorted({", ".join(f.split(":")[0] for f in s.split(","))
                                  for s in scans}))
+        filters = {f for x in re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
+                   for f in re.findall(r"\w+\([^()]*(?:\([^()]*\))?[^()]*\)", x)
+                   if not f.startswith("IsNotNull")}
+        pushed = "; ".join(sorted(filters)) or "-"
         jsum = ", ".join(f"{j} x{joins.count(j)}" for j in sorted(set(joins))) or "-"
-        print(f"| {name} | {ex} | {jsum} | {wins} | {py} | {cols} |")
+        print(f"| {name} | {ex} | {jsum} | {wins} | {py} | {cols} | {pushed} |")
 
 
 if __name__ == "__main__":
