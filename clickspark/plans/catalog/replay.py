@@ -79,6 +79,34 @@ def win_late_dropped(spark, sf_dir):
     return L.windows_with_watermark(arriving(spark, sf_dir), "user", ARRIVAL, *_W5)
 
 
+def _on_close(pdf):
+    """A window function in Python: the share of the window's clicks per
+    second of event time and how far the watermark had run past its end."""
+    size = (pdf["windowEnd"] - pdf["windowStart"]) / 1000
+    closed = pdf["watermark"] != LONG_MAX
+    behind = (pdf["watermark"] - pdf["windowEnd"] + 1).where(closed, -1)
+    return pdf.assign(per_second=pdf["count"] / size, behind_ms=behind.astype("int64"))[
+        ["url", "windowStart", "windowEnd", "count", "watermark", "per_second", "behind_ms"]]
+
+
+@register("win_apply_udf", with_clicks(
+    f'SELECT url, ws AS windowStart, we AS windowEnd, n AS "count", '
+    f"CAST(coalesce(wm, {LONG_MAX}) AS BIGINT) AS watermark, n / {P.WM_WINDOW_MS / 1000} AS per_second, "
+    "CAST(coalesce(wm - we + 1, -1) AS BIGINT) AS behind_ms FROM n LEFT JOIN m USING (we)",
+    A_CTE, _classified_sql(*_W5, 0),
+    "rm AS (SELECT max(ms) OVER (ORDER BY arr, seq) AS runmax FROM a)",
+    "n AS (SELECT url, ws, we, count(*) AS n FROM q WHERE cls = 'on_time' GROUP BY ALL)",
+    f"m AS (SELECT we, (SELECT min(runmax) FROM rm WHERE runmax >= we + {_W5[1]}) - {_W5[1] + 1} "
+    "AS wm FROM (SELECT DISTINCT we FROM n))"))
+def win_apply_udf(spark, sf_dir):
+    """A Python window function that gets each closed window's key,
+    bounds, incremental count and the watermark at its firing."""
+    from clickspark.operators.windows import process_windows
+    wins = L.windows_with_watermark(arriving(spark, sf_dir), "url", ARRIVAL, *_W5).drop("message")
+    return process_windows(wins, _on_close, "url string, windowStart long, windowEnd long, count long, "
+                                            "watermark long, per_second double, behind_ms long")
+
+
 _W7 = P.LATE_WINDOW_MS, P.LATE_DELAY_MS, P.LATE_LATENESS_MS
 _W7_CTES = (A_CTE, _classified_sql(*_W7))
 _FIRINGS_SQL = (

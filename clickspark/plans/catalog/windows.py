@@ -73,37 +73,6 @@ def win_uv(spark, sf_dir):
     return res.withColumn("message", W.uv_report("Asia/Shanghai"))
 
 
-def _url_view_report(pdf):
-    """The window function of W8: sees key, window bounds and the count."""
-    import pandas as pd
-
-    def jts(ms):
-        t = pd.to_datetime(ms, unit="ms", utc=True).dt.tz_convert("Asia/Shanghai")
-        frac = (t.dt.microsecond // 1000).map(lambda f: f"{f:03d}".rstrip("0") or "0")
-        return t.dt.strftime("%Y-%m-%d %H:%M:%S.") + frac
-
-    report = ("UrlViewCount{url='" + pdf["url"] + "', count=" + pdf["count"].astype(str)
-              + ", windowStart=" + jts(pdf["windowStart"]) + ", windowEnd="
-              + jts(pdf["windowEnd"]) + "}")
-    return pdf.assign(report=report)
-
-
-@register("win_apply_udf", with_clicks(
-    'SELECT url, count(*) AS "count", ms - ms % {s} AS windowStart, ms - ms % {s} + {s} AS windowEnd, '
-    "'UrlViewCount{{url=''' || url || ''', count=' || CAST(count(*) AS VARCHAR) || ', windowStart=' || "
-    "regexp_replace(strftime(make_timestamp((ms - ms % {s} + 28800000) * 1000), '%Y-%m-%d %H:%M:%S.%g'), "
-    "'0{{1,2}}$', '') || ', windowEnd=' || regexp_replace(strftime(make_timestamp((ms - ms % {s} + {s} "
-    "+ 28800000) * 1000), '%Y-%m-%d %H:%M:%S.%g'), '0{{1,2}}$', '') || '}}' AS report "
-    "FROM c GROUP BY url, ms - ms % {s}".format(s=P.URL_SIZE_MS)))
-def win_apply_udf(spark, sf_dir):
-    """Incremental count per url and tumbling 10 s window, then a Python
-    window function that gets the key, the bounds and the count."""
-    agg = W.url_view_count(click_view(spark, sf_dir), P.URL_SIZE_MS, P.URL_SIZE_MS)
-    return W.process_windows(agg, _url_view_report,
-                             "url string, count long, windowStart long, windowEnd long, "
-                             "report string")
-
-
 @register("udaf_pv_uv", with_clicks(
     "SELECT CAST(count(*) AS DOUBLE) / count(DISTINCT \"user\") AS avg_pv, "
     "ws AS windowStart, we AS windowEnd FROM p GROUP BY ws, we",
