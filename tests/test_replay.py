@@ -10,6 +10,9 @@ from clickspark.operators.triggers import early_firings
 from clickspark.operators.watermark import watermark_after, watermark_before
 from helpers import clicks, ms_of
 
+# Fixed values in the tests below: the transcripts' input rows and printed
+# results.
+
 
 def test_process_function_watermark(spark):
     ts = ["16:51:28.593", "16:51:29.594", "16:51:30.594", "16:51:31.594", "16:51:32.604",

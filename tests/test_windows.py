@@ -9,6 +9,7 @@ def _rows(day, spec):
     return [(u, url, ms_of(f"{day} {t}")) for t, u, url in spec]
 
 
+# Fixed values below: the transcripts' input rows and printed results.
 W1 = _rows("2022-05-11", [
     ("20:12:45.374", "Alice", "./home"), ("20:12:46.378", "Cary", "./cart"),
     ("20:12:47.388", "Mary", "./prod?id=1"), ("20:12:48.393", "Bob", "./home"),
