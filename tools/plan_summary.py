@@ -39,7 +39,7 @@ def main(argv):
         scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
         cols = "; ".join(sorted({", ".join(f.split(":")[0] for f in s.split(","))
                                  for s in scans}))
-        filters = {f for x in re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
+        filters = {f for x in re.findall(r"PushedFilters: \[(.*?)\](?:,|\n)", plan)
                    for f in re.findall(r"\w+\([^()]*(?:\([^()]*\))?[^()]*\)", x)
                    if not f.startswith("IsNotNull")}
         pushed = "; ".join(sorted(filters)) or "-"
