@@ -330,21 +330,26 @@ def keep_one(df: DataFrame, percent: int = 80, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """All columns of one row per component: the one whose doc_id names it.
 
-    Texts without words are kept.  Rows of one component that repeat the
-    doc_id are reduced to one, and so are rows without doc_id whose equal
-    sets link with nothing else.
+    Texts without words are kept.  Rows that repeat a doc_id are reduced to
+    one.  Of the rows without doc_id, one per set is kept, if no row with a
+    doc_id has that set.  Decisions are made on narrow tables; the rows
+    themselves are shuffled once, by doc_id.
     """
     flat, names = positional(df)
     ids, text = f"_p{names.index(id_col)}", f"_p{names.index(text_col)}"
-    rows = stage(fingerprints(flat.withColumn("doc_id", F.col(ids)).withColumn("text", F.col(text)),
-                              percent))
-    docs = flat.select(F.col(ids).alias("doc_id"), F.col(text).alias("text"))
-    done = _labelled(docs, rows, percent)
-    empty = done.where("fp is null")
-    named = done.where("fp is not null and doc_id = component_id").dropDuplicates(["doc_id"])
-    nameless = done.where("fp is not null and component_id is null").dropDuplicates(["fp"])
-    out = empty.union(named).union(nameless)
-    return out.select(*[f"_p{i}" for i in range(len(names))]).toDF(*names)
+    docs = flat.where(F.col(ids).isNotNull()).select(F.col(ids).alias("doc_id"), F.col(text).alias("text"))
+    prints = stage(fingerprints(docs, percent))
+    heads = stage(_labelled(docs, prints, percent).where("doc_id = component_id").select(
+        F.col("doc_id").alias("_head")).distinct())
+    named = (flat.withColumn("_head", F.col(ids)).join(heads.hint("shuffle_hash"), "_head", "left_semi")
+             .dropDuplicates(["_head"]).drop("_head"))
+    rest = stage(fingerprints(flat.where(F.col(ids).isNull()).withColumn("text", F.col(text)), percent)
+                 .drop("bands", "n_shingles"))
+    alone = rest.where("fp is not null").join(prints.select("fp").distinct(), "fp", "left_anti")
+    columns = [f"_p{i}" for i in range(len(names))]
+    out = named.select(*columns).union(alone.dropDuplicates(["fp"]).select(*columns)).union(
+        rest.where("fp is null").select(*columns))
+    return out.toDF(*names)
 
 
 #: Exact set similarity by an inverted index in DuckDB, components by
