@@ -33,9 +33,9 @@ from clickspark.llm.common import TwoGenerations, pick
 #: Space characters as the split pattern sees them: Unicode white space,
 #: which Python's \s equals but for the four separators 1C to 1F.
 SEGMENT = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
-MEMO_SEGMENTS = 600_000
-MEMO_PIECES = 300_000
-MEMO_PAIRS = 1_000_000
+MEMO_SEGMENTS = 250_000
+MEMO_PIECES = 100_000
+MEMO_PAIRS = 500_000
 MEMO_CHARS = 48
 
 
