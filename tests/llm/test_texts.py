@@ -154,6 +154,22 @@ def test_content_without_article_is_what_varies(spark):
         assert got[i] == prose(i, 50) + "\n" + prose(i + 50, 30)
 
 
+def test_pages_without_a_smaller_root(spark):
+    rows = [(i, "http://f.example/", f"<h1>{prose(i, 5)}</h1><p>{prose(i + 20, 30)}</p><p>{prose(i + 40, 30)}</p>")
+            for i in range(5)]
+    rows += [(i, "http://g.example/", f"<h1>{prose(i, 5)}</h1><p>{prose(i + 20, 30)}</p>") for i in range(10, 15)]
+    rows += [(i, "http://p.example/", prose(i, 20)) for i in range(20, 24)]
+    same = page(f"<div><p>{prose(1, 30)}</p><p>{prose(2, 30)}</p></div>")
+    rows += [(i, "http://s.example/", same) for i in range(30, 33)]
+    got = wrap_all(spark, rows)
+    for i in range(5):
+        assert got[i] == "\n".join([prose(i, 5), prose(i + 20, 30), prose(i + 40, 30)])
+    for i in range(10, 15):
+        assert got[i] == prose(i, 5) + "\n" + prose(i + 20, 30)
+    assert [got[i] for i in range(20, 24)] == [prose(i, 20) for i in range(20, 24)]
+    assert [got[i] for i in range(30, 33)] == [prose(1, 30) + "\n" + prose(2, 30)] * 3
+
+
 def test_wrapper_is_union_free():
     a = html_wrapper.shape(html_wrapper.parse("<div><h1>x</h1><p>a<p>b</div>"))
     b = html_wrapper.shape(html_wrapper.parse("<div><h1>x</h1><p>c<hr><table><tr><td>1</table></div>"))
