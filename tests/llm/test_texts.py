@@ -170,6 +170,26 @@ def test_pages_without_a_smaller_root(spark):
     assert [got[i] for i in range(30, 33)] == [prose(1, 30) + "\n" + prose(2, 30)] * 3
 
 
+def test_roots_are_chosen_page_by_page(spark):
+    def body(i):
+        return f"<p>{prose(i, 40)}</p><p>{prose(i + 100, 30)}</p>"
+
+    def text(i):
+        return prose(i, 40) + "\n" + prose(i + 100, 30)
+    rows = [(i, "http://mix.example/", page(f"<article>{body(i)}</article>")) for i in range(6)]
+    rows += [(6, "http://mix.example/", page(f"<main>{body(6)}</main>")),
+             (7, "http://mix.example/", page(f"<div class=old>{body(7)}</div>")),
+             (8, "http://mix.example/", page(f"<article></article><div class=old>{body(8)}</div>")),
+             (9, "http://mix.example/", "plain < text")]
+    rows += [(i, "http://two.example/", page(f"<div class={'story' if i % 3 == 0 else 'content'}>{body(i)}</div>"))
+             for i in range(20, 30)]
+    rows += [(i, None, page(f"<article>{body(i)}</article>" if i % 2 else f"<div>{body(i)}</div>"))
+             for i in range(40, 46)]
+    got = wrap_all(spark, rows)
+    assert got.pop(9) == "plain < text"
+    assert got == {i: text(i) for i in got} and len(got) == len(rows) - 1
+
+
 def test_wrapper_is_union_free():
     a = html_wrapper.shape(html_wrapper.parse("<div><h1>x</h1><p>a<p>b</div>"))
     b = html_wrapper.shape(html_wrapper.parse("<div><h1>x</h1><p>c<hr><table><tr><td>1</table></div>"))
