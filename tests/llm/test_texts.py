@@ -1,5 +1,6 @@
 """Tokenizers, personal data, wrappers and classifiers."""
 
+import functools
 import hashlib
 import random
 import re
@@ -190,6 +191,33 @@ def test_roots_are_chosen_page_by_page(spark):
     assert got == {i: text(i) for i in got} and len(got) == len(rows) - 1
 
 
+@pytest.mark.parametrize("before, after, roots", [
+    ("<body class='no-sidebar'>", "</body>", "article main div"),
+    ("<body class='page has-sidebar menu-open'>", "</body>", "article main div"),
+    ("<body class=sidebar>", "</body>", "article main div"),
+    ("<div class='content-sidebar-wrap'>", "</div>", "article main div"),
+    ("<div id='page-header-wrap'>", "</div>", "article main div"),
+    ("<div class=sidebar>", "</div>", "article main"), ("<form id=aspnetForm>", "</form>", "article main")])
+def test_content_inside_boilerplate_words(before, after, roots):
+    for root in roots.split():
+        pages = [html_wrapper.parse(
+            f"<html>{before}<div class='left-sidebar'>Side</div><div class='cookie-notice'>We use cookies</div>"
+            f"<{root}><p>{prose(i, 30)}</p><p>{prose(i + 9, 30)}</p></{root}>"
+            f"<div class=comments><article><p>first!</p></article></div>{after}<p>&copy;</p></html>") for i in range(6)]
+        wrapper = html_wrapper.weigh(functools.reduce(html_wrapper.merge, map(html_wrapper.shape, pages)))
+        for i, p in enumerate(pages):
+            assert html_wrapper.extract(p, wrapper) == prose(i, 30) + "\n" + prose(i + 9, 30)
+
+
+def test_boilerplate_names():
+    for name in ("ad", "cookie-notice", "left-sidebar", "site-header", "comment.comments", "x.nav", "post-comments",
+                 "footer_links", "main-nav", "breadcrumbs", "ad-box"):
+        assert html_wrapper.excluded("div." + name, "div")
+    for name in ("no-sidebar", "has-sidebar", "menu-open", "content-sidebar-wrap", "page-header-wrap", "main",
+                 "post", "article", "readme", "shared-space", "main-content"):
+        assert not html_wrapper.excluded("div." + name, "div")
+
+
 def test_wrapper_is_union_free():
     a = html_wrapper.shape(html_wrapper.parse("<div><h1>x</h1><p>a<p>b</div>"))
     b = html_wrapper.shape(html_wrapper.parse("<div><h1>x</h1><p>c<hr><table><tr><td>1</table></div>"))
