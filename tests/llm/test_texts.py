@@ -218,6 +218,27 @@ def test_boilerplate_names():
         assert not html_wrapper.excluded("div." + name, "div")
 
 
+def test_only_what_all_pages_have_is_template(spark):
+    def body(i, more=""):
+        return f"<div class=a><p>{prose(i, 30)}</p>{more}</div><div class=b><p>{prose(i + 500, 30)}</p></div>"
+
+    top = "<div class=top>Daily news</div>"
+    rows = [(i, "http://c.example/", page(top + body(i, "<h3>Summary</h3>"))) for i in range(20)]
+    copied = page(top + body(99) + "<div class=note>Only here</div>")
+    rows += [(i, "http://c.example/", copied) for i in range(20, 24)]
+    answers = "<div class=q>" + "".join(f"<h3>Answer</h3><p>{prose(i, 20)}</p>" for i in range(4)) + "</div>"
+    table = "<table>" + "<tr><td>yes</td></tr>" * 4 + "</table>"
+    rows += [(30, "http://q.example/", page(answers)), (31, "http://t.example/", page(f"<div>{table}</div>"))]
+    rows += [(i, "http://s.example/", page(body(7), str(i)).replace("var t", f"var t{i}")) for i in range(40, 50)]
+    got = wrap_all(spark, rows)
+    for i in range(20):
+        assert got[i] == "\n".join([prose(i, 30), "Summary", prose(i + 500, 30)])
+    for i in range(20, 24):
+        assert got[i] == "\n".join([prose(99, 30), prose(599, 30), "Only here"])
+    assert got[30] == "\n".join("Answer\n" + prose(i, 20) for i in range(4)) and got[31] == "\n".join(["yes"] * 4)
+    assert {got[i] for i in range(40, 50)} == {prose(7, 30) + "\n" + prose(507, 30)}
+
+
 def test_wrapper_is_union_free():
     a = html_wrapper.shape(html_wrapper.parse("<div><h1>x</h1><p>a<p>b</div>"))
     b = html_wrapper.shape(html_wrapper.parse("<div><h1>x</h1><p>c<hr><table><tr><td>1</table></div>"))
