@@ -99,6 +99,13 @@ SUSPECT = re.compile("[" + INVISIBLE + "".join(LOOKALIKE)
 AT = r"\s*[\[({<]\s*(?:at|arroba|@)\s*[\])}>]\s*"
 DOT = r"\s*[\[({<]\s*(?:dot|punto|point|punkt|\.)\s*[\])}>]\s*|\s+dot\s+"
 LABEL = r"[A-Za-z0-9-]+"
+# Words without brackets: "point" is also English ("at this point in"), so it
+# is a dot only after a word that is always an at sign.
+DOT_WORDS = rf"{DOT}|\s+(?:punto|punkt)\s+"
+BARE = re.compile(rf"(?:(?P<arroba>{AT}|\s+arroba\s+)|\s+at\s+)(?P<domain>{LABEL}"
+                  rf"(?:(?:\.|{DOT_WORDS}|(?(arroba)\s+point\s+|(?!)))(?:{LABEL}))+)", re.I)
+BARE_HINT = ("arroba", "punto", "punkt")
+BARE_DOT = re.compile(r"\s+(?:punto|punkt|point)\s+", re.I)
 DISGUISE = re.compile(
     rf"(?P<at>{AT}|\s+at\s+(?={LABEL}(?:\.{LABEL})*(?:{DOT}){LABEL})|\s*@\s+(?={LABEL}(?:\.|{DOT})"
     rf"{LABEL})|\s+@(?={LABEL}(?:\.|{DOT}){LABEL}))|(?P<dot>{DOT})", re.I)
@@ -144,10 +151,26 @@ def _spelled(text: str) -> list[Piece]:
 
 
 def _disguises(text: str) -> list[Piece]:
-    if not HINT.search(text):
-        return []
-    return [("@" if m.lastgroup == "at" else ".", m.start(), m.end())
-            for m in DISGUISE.finditer(text)]
+    out, hinted = [], HINT.search(text)
+    if hinted:
+        out = [("@" if m.lastgroup == "at" else ".", m.start(), m.end())
+               for m in DISGUISE.finditer(text)]
+    low = text.lower()
+    if hinted or any(w in low for w in BARE_HINT):
+        taken = [(a, b) for _, a, b in out]
+        out = sorted(out + [x for x in _bare(text) if not _touches(taken, x[1], x[2])],
+                     key=lambda x: x[1])
+    return out
+
+
+def _bare(text: str) -> list[Piece]:
+    """At and dot words of other languages, where a domain follows."""
+    out = []
+    for m in BARE.finditer(text):
+        dots = [(".", d.start(), d.end()) for d in BARE_DOT.finditer(text, m.start("domain"), m.end())]
+        if dots or m["arroba"]:
+            out += [("@", m.start(), m.start("domain")), *dots]
+    return out
 
 
 class Rewritten:

@@ -100,6 +100,24 @@ def test_clean_texts_have_no_spans(text):
     assert pii.redact_text(text) == text
 
 
+@pytest.mark.parametrize("text, found", [
+    ("soy juan arroba ejemplo punto com gracias", "juan arroba ejemplo punto com"),
+    ("juan arroba ejemplo.com", "juan arroba ejemplo.com"), ("max at beispiel punkt de", "max at beispiel punkt de"),
+    ("jean arroba exemple point fr", "jean arroba exemple point fr"),
+    ("ana (arroba) correo punto ejemplo punto es", "ana (arroba) correo punto ejemplo punto es"),
+    ("john at example dot com", "john at example dot com")])
+def test_words_of_other_languages_without_brackets(text, found):
+    base, added = pii.spans(text)
+    assert not any(base.values()) and [text[a:b] for a, b in added["email"]] == [found]
+
+
+@pytest.mark.parametrize("text", ["look at this point in time", "en este punto de la arroba", "der punkt ist da",
+                                  "una arroba de trigo", "at one point we stopped", "see us at example.com"])
+def test_the_same_words_in_prose(text):
+    base, added = pii.spans(text)
+    assert not any(base.values()) and not any(added.values())
+
+
 def test_base_spans_and_their_checks():
     t = "a@b.co 10.0.0.256 10.0.0.25 4111 1111 1111 1111 4111 1111 1111 1112 +44 (20) 7946-0958 +1 2"
     base, _ = pii.spans(t)
