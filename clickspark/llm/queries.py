@@ -116,9 +116,37 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-triggered piecewise hashes of every document and of its text
+    edited with its neighbour's."""
+    from clickspark.llm.piecewise import with_next
+    return with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    from clickspark.llm.prefix_trie import trie
+    return trie(table(spark, sf_dir, "conversations")).drop("src_conv", "src_pos")
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of every embedding and their errors."""
+    from clickspark.llm import vector_codes
+    rows = table(spark, sf_dir, "embeddings")
+    books = vector_codes.fit(rows)
+    out = vector_codes.with_label_error(vector_codes.encode(rows, books))
+    return out.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+                      F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
 def _oracles() -> dict[str, str]:
-    from clickspark.llm import decontamination, embedding_dup, near_dup, sharding
-    return {"op2_decontamination": decontamination.ORACLE,
+    from clickspark.llm import (decontamination, embedding_dup, near_dup, prefix_trie, sharding,
+                                vector_codes)
+    return {"op12_prefix_trie": prefix_trie.ORACLE, "op13_vector_codes": vector_codes.oracle(),
+            "op2_decontamination": decontamination.ORACLE,
             "op3_near_duplicates": near_dup.ORACLE,
             "op6_embedding_duplicates": embedding_dup.ORACLE,
             "op9_jump_shards": sharding.oracle(8)}
