@@ -13,16 +13,22 @@ Supported kinds are those with an associative merge: ``sum``, ``count``,
 ``min_by``/``max_by`` (order the struct fields by priority).
 
 Blocks are cut at sampled quantiles of the arrival order
-(:func:`order_cuts`): one column-pruned pass gives at most MAX_BLOCKS bounds,
-tuples of the order columns, and the block of a row is a deterministic
-expression of them.  So sparse ids, an outlier id or one hot arrival instant
-give blocks of about the same size, every branch of a plan sees the same
-blocks without pinning them by a write, and the rows are exchanged once, by
-block.  (A fixed ``width`` of an integral sequence can be asked for instead.)
+(:func:`order_cuts`): one column-pruned pass counts the rows, which gives the
+number of blocks (ROWS_PER_BLOCK rows each, and never fewer blocks than tasks
+the cluster runs), and a hash sample gives the bounds, tuples of the order
+columns.  A row finds its block by binary search, one projection a step.  The
+block of a row is a deterministic expression of it.  So sparse ids, an outlier
+id or one hot arrival instant give blocks of about the same size, every branch
+of a plan sees the same blocks without pinning them by a write, and the rows
+are exchanged once, by block.  (A fixed ``width`` of an integral sequence can
+be asked for instead.)
 
 Keyless scans (watermarks, the running top-1) send each block to its own task
-(``repartitionById``) and broadcast the block carry (one row per block, at
-most MAX_BLOCKS).
+(``repartitionById``).  Their block table is a prefix tree: blocks are summed
+by groups of FAN, groups by groups of FAN, and the prefixes come back down, so
+no task orders more than FAN rows of it.  The carry is broadcast while there
+are at most FAN blocks; beyond, it is dealt by block like the rows and joined
+in place.
 """
 
 from __future__ import annotations
@@ -31,7 +37,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 
 from clickspark.session import shared_dir, shuffle_partitions
 
@@ -41,50 +46,92 @@ KEY = "_key"
 _AGG = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
-#: Most blocks of a scan: the size bound of the carry table and of the cuts.
-MAX_BLOCKS = 256
+#: Rows of a block of a large table; smaller ones have two blocks a task.
+ROWS_PER_BLOCK = 4_000_000
 #: Rows sampled for each bound.
 PER_CUT = 32
+#: Children of a node of the prefix tree, entries of a search table, and most
+#: rows of a broadcast carry.
+FAN = 1024
+#: Most sampled rows that reach the driver; the bounds of more blocks are cut
+#: from a distributed sample.
+DRIVER_SAMPLE = 1 << 18
 
 Cuts = list[tuple]
 
 
 def order_cuts(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> Cuts:
-    """Bounds that cut ``df`` into about equal blocks in ``order``.
+    """Bounds that cut ``df`` into ``blocks`` about equal blocks in ``order``.
 
-    Default: two blocks per shuffle partition, MAX_BLOCKS at most, whatever
-    the size of the input.  Two small jobs read the order columns alone: a
-    count, and a hash sample of about PER_CUT rows per bound, which reaches
-    the driver.  The sample depends only on the rows, so the bounds do too.
+    Default: a block for every ROWS_PER_BLOCK rows, at least two per shuffle
+    partition.  Two small jobs read the order columns alone: a count, and a
+    hash sample of about PER_CUT rows per bound.  The sample depends only on
+    the rows, so the bounds do too.  What reaches the driver is at most
+    DRIVER_SAMPLE sampled tuples, or two a bound once those are more.
     """
     order = list(order)
-    n_blocks = min(MAX_BLOCKS, blocks or 2 * shuffle_partitions(df.sparkSession))
     keys = df.select(*order)
     rows = keys.count()
+    n_blocks = blocks or max(2 * shuffle_partitions(df.sparkSession), -(-rows // ROWS_PER_BLOCK))
     every = max(1, rows // (PER_CUT * n_blocks))
-    drawn = keys.where(F.pmod(F.xxhash64(*order), F.lit(every)) == 0).distinct()
-    sample = sorted((tuple(r) for r in drawn.collect() if None not in tuple(r)))
+    drawn = keys.where(F.pmod(F.xxhash64(*order), F.lit(every)) == 0).dropna().distinct()
+    if PER_CUT * n_blocks <= DRIVER_SAMPLE:
+        sample = sorted(tuple(r) for r in drawn.collect())
+    else:
+        drawn = materialize(drawn)
+        cells = add_blocks(drawn, order, order_cuts(drawn, order, DRIVER_SAMPLE // PER_CUT), name="_cell")
+        nth = F.row_number().over(Window.partitionBy("_cell").orderBy(*order))
+        some = max(1, PER_CUT // 2)  # every so many of a cell
+        sample = sorted(tuple(r) for r in cells.withColumn("_n", nth)
+                        .where(F.col("_n") % some == 0).select(*order).collect())
     bounds = [sample[len(sample) * i // n_blocks] for i in range(1, n_blocks)] if sample else []
     return sorted(set(bounds))
 
 
-def block_of(order: Sequence[str], cuts: Cuts) -> Column:
-    """How many of the sorted ``cuts`` a row reaches, as a balanced tree of
-    comparisons; null order values come first."""
-    cols = [F.col(c) for c in order]
-
-    def before(bound: tuple) -> Column:
-        less = F.lit(False)
-        for c, v in reversed(list(zip(cols, bound))):
-            less = (c < F.lit(v)) | ((c == F.lit(v)) & less)
-        return F.coalesce(less, F.lit(True))
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(before(cuts[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-    return tree(0, len(cuts)).cast("int")
+def _table(cuts: Cuts, types: Sequence[str]) -> Column:
+    """The cuts as an array of structs, a constant of the plan."""
+    if all(type(v) is int and abs(v) < 1 << 62 for c in cuts for v in c):
+        rows = ("named_struct(" + ",".join(f"'c{i}',cast({v}L as {t})" for i, (v, t) in
+                                           enumerate(zip(c, types))) + ")" for c in cuts)
+        return F.expr("array(" + ",".join(rows) + ")")
+    return F.array(*[F.struct(*[F.lit(v).cast(t).alias(f"c{i}") for i, (v, t) in
+                                enumerate(zip(c, types))]) for c in cuts])
+
+
+def _reached(df: DataFrame, table: Column, entries: int, name: str) -> DataFrame:
+    """Add ``name``: how many of the sorted entries of ``table`` are at most
+    ``_key``.  One projection a step of the search, so none is duplicated;
+    ``table`` may be shorter than ``entries``."""
+    step = 1 << max(0, entries.bit_length() - 1)
+    df = df.withColumn(name, F.lit(0))
+    while step:
+        entry = F.get(table, F.col(name) + F.lit(step - 1))
+        df = df.withColumn(name, F.col(name) + F.when(entry <= F.col("_key_of"), F.lit(step))
+                           .otherwise(F.lit(0)))
+        step //= 2
+    return df
+
+
+def _search(df: DataFrame, order: Sequence[str], cuts: Cuts, name: str) -> DataFrame:
+    """Attach the number of ``cuts`` that a row reaches (null order values
+    come first): in one table, or in the table of every FAN-th cut and then
+    in that part's own, broadcast by part."""
+    cols = df.columns
+    if not cuts:
+        return df.withColumn(name, F.lit(0))
+    types = [df.schema[c].dataType.simpleString() for c in order]
+    df = df.withColumn("_key_of", F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)]))
+    if len(cuts) <= FAN:
+        return _reached(df, _table(cuts, types), len(cuts), name).select(*cols, name)
+    parts = [cuts[i:i + FAN] for i in range(0, len(cuts), FAN)]
+    inner = ",".join(f"c{i}:{t}" for i, t in enumerate(types))
+    tables = df.sparkSession.createDataFrame(
+        [(i, [tuple(c) for c in p]) for i, p in enumerate(parts)], f"_part int, _cuts array<struct<{inner}>>")
+    tops = [p[0] for p in parts[1:]]
+    df = _reached(df, _table(tops, types), len(tops), "_part")
+    df = df.join(F.broadcast(tables), "_part")
+    df = _reached(df, F.col("_cuts"), FAN, "_in_part")
+    return df.select(*cols, (F.col("_part") * F.lit(FAN) + F.col("_in_part")).alias(name))
 
 
 def add_blocks(df: DataFrame, order: Sequence[str], width: int | Cuts | None = None,
@@ -97,7 +144,14 @@ def add_blocks(df: DataFrame, order: Sequence[str], width: int | Cuts | None = N
         from clickspark.operators.watermark import floor_div
         return df.withColumn(name, floor_div(F.col(order[0]), width))
     cuts = order_cuts(df, order, partitions) if width is None else width
-    return df.withColumn(name, block_of(order[:len(cuts[0])] if cuts else order, cuts))
+    found = _search(df, order[:len(cuts[0])] if cuts else order, cuts, name)
+    # the number of blocks travels with the column
+    return found.withMetadata(name, {"blocks": len(cuts) + 1})
+
+
+def block_count(df: DataFrame, block: str = BLOCK) -> int | None:
+    """Number of blocks of a block column; None for blocks of a fixed width."""
+    return df.schema[block].metadata.get("blocks")
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -122,8 +176,9 @@ def _one_block_per_task(df: DataFrame, block: str) -> DataFrame:
     clustered by the block, so this is the scan's only exchange of rows.
     Blocks of a fixed width have no bound on their ids and are dealt by
     range."""
-    if isinstance(df.schema[block].dataType, IntegerType):
-        return df.repartitionById(MAX_BLOCKS, F.col(block))
+    blocks = block_count(df, block)
+    if blocks:
+        return df.repartitionById(blocks, F.col(block))
     return df.repartitionByRange(2 * shuffle_partitions(df.sparkSession), F.col(block))
 
 
@@ -184,15 +239,41 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     totals = keyed.groupBy(KEY, block).agg(
         *[_frame_agg(kind, e).alias(f"_tot_{n}") for n, (kind, e) in aggs.items()])
     # Block table: at most (#keys x #blocks) rows, #blocks rows per key.
+    blocks = None if keys else block_count(df, block)
+    if blocks:
+        carry = _prefix(totals, block, {n: kind for n, (kind, _) in aggs.items()}, blocks)
+        # at most FAN rows: broadcast; else dealt as the rows are, and joined in place
+        carry = F.broadcast(carry) if blocks <= FAN else _one_block_per_task(
+            carry.withMetadata(block, {"blocks": blocks}), block)
+        joined = rows.join(carry, on=[block], how="inner")
+        return _carried(joined, base_cols, aggs)
     before = Window.partitionBy(KEY).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(KEY, block, *[_merge_agg(kind, F.col(f"_tot_{n}")).over(before)
                                         .alias(f"_pre_{n}") for n, (kind, _) in aggs.items()])
+    return _carried(rows.join(carry, on=[KEY, block], how="inner"), base_cols, aggs)
+
 
-    if not keys and isinstance(df.schema[block].dataType, IntegerType):
-        # keyless, blocks from cuts: at most MAX_BLOCKS rows, whatever the
-        # input, so broadcast them and never reshuffle the scanned rows
-        carry = F.broadcast(carry)
-    joined = rows.join(carry, on=[KEY, block], how="inner")
+def _carried(joined: DataFrame, base_cols: Sequence[str],
+             aggs: Mapping[str, tuple[str, Column]]) -> DataFrame:
     return joined.select(*[F.col(c) for c in base_cols],
                          *[_combine(kind, F.col(f"_pre_{n}"), F.col(f"_in_{n}")).alias(n)
                            for n, (kind, _) in aggs.items()])
+
+
+def _prefix(totals: DataFrame, block: str, kinds: Mapping[str, str], blocks: int) -> DataFrame:
+    """``block, _pre_<name>``: what the blocks before each one sum up to, by a
+    tree of FAN children a node."""
+    def before(by: list) -> list[Column]:
+        frame = Window.partitionBy(*by).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+        return [_merge_agg(kind, F.col(f"_tot_{n}")).over(frame).alias(f"_pre_{n}")
+                for n, kind in kinds.items()]
+    if blocks <= FAN:
+        return totals.select(block, *before([]))
+    named = totals.withColumn("_up", F.floor(F.col(block) / F.lit(FAN)).cast("int"))
+    above = _prefix(named.groupBy(F.col("_up").alias(block)).agg(
+        *[_merge_agg(kind, F.col(f"_tot_{n}")).alias(f"_tot_{n}") for n, kind in kinds.items()]),
+        block, kinds, -(-blocks // FAN))
+    above = above.select(F.col(block).alias("_up"), *[F.col(f"_pre_{n}").alias(f"_top_{n}") for n in kinds])
+    both = named.select(block, "_up", *before(["_up"])).join(above, "_up")
+    return both.select(block, *[_combine(kind, F.col(f"_top_{n}"), F.col(f"_pre_{n}")).alias(f"_pre_{n}")
+                                for n, kind in kinds.items()])

@@ -149,3 +149,38 @@ def test_extremes_skip_null_fields(spark):
     high = {r.at_seq: r.v for r in R.rolling_max_by(df, "k", "seq", "v", []).collect()}
     assert high == {1: 5, 2: 5, 3: 5, 4: None, 5: 7}
     assert {r.k: r.v for r in R.keyed_final(df, "k", "seq", "min_by", "v").collect()} == {"a": 3, "b": 7}
+
+
+def test_scan_over_more_blocks_than_a_table_holds(spark, monkeypatch):
+    """More than 2 x 256 blocks, with a tree and a search of several levels
+    and a carry that is dealt, not broadcast."""
+    from clickspark.operators import scan
+    monkeypatch.setattr(scan, "FAN", 8)
+    monkeypatch.setattr(scan, "DRIVER_SAMPLE", 2048)
+    rnd = random.Random(5)
+    n = 30_000
+    rows = [(i, rnd.randrange(n // 3), None if rnd.random() < 0.05 else rnd.randrange(10**6))
+            for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, arr long, v long")
+    cut = add_blocks(df, ["arr", "id"], partitions=600)
+    assert scan.block_count(cut) > 512
+    sizes = [r["count"] for r in cut.groupBy("_blk").count().collect()]
+    assert len(sizes) > 512 and max(sizes) <= 8 * n / len(sizes)
+    aggs = {"m": ("max", F.col("v")), "s": ("sum", F.col("v")), "c": ("count", F.col("v"))}
+    got = running(cut, [], ["arr", "id"], aggs)
+    exp, m, s, c = {}, None, None, 0
+    for i, _, v in sorted(rows, key=lambda r: (r[1], r[0])):
+        if v is not None:
+            m, s, c = max(v, m or 0), (s or 0) + v, c + 1
+        exp[i] = (m, s, c)
+    assert {r.id: (r.m, r.s, r.c) for r in got.collect()} == exp
+
+
+def test_rows_and_carry_of_many_blocks_meet_in_place(spark, monkeypatch):
+    from clickspark.operators import scan
+    monkeypatch.setattr(scan, "FAN", 4)
+    df = spark.range(1000).select(F.col("id").alias("seq"), F.col("id").alias("v"))
+    got = running(add_blocks(df, ["seq"], partitions=20), [], ["seq"], {"m": ("max", F.col("v"))})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    rows_side = plan.count("shufflepartitionidpassthrough") or plan.lower().count("repartition_by_num")
+    assert rows_side == 2, plan  # the rows once, the carry once, nothing for the join
