@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickspark.llm.common import pick, stage
-from clickspark.operators.scan import block_of, order_cuts
+from clickspark.operators.scan import add_blocks, order_cuts
 from clickspark.session import shuffle_partitions
 
 WINDOW, CHUNKS, REPEATS, SYMBOL, LEVELS = 7, 64, 4, 2, 3
@@ -198,7 +198,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     total = keys.agg(F.sum("size")).first()[0] or 0
     cuts = order_cuts(keys, names, max(2 * shuffle_partitions(docs.sparkSession),
                                        -(-total // BLOCK_BYTES)))
-    heads = (keys.groupBy(block_of(names, cuts).alias("block"))
+    heads = (add_blocks(keys, names, cuts, name="block").groupBy("block")
              .agg(F.min(F.struct(*names)).alias("head")).orderBy("block").collect())
     # (block, its first row's order): as many as there are blocks
     blocks = [r["block"] for r in heads]
@@ -207,7 +207,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         [(*r["head"], r["block"], blocks[i - 1]) for i, r in enumerate(heads)],
         "_o0 int, _o1 long, _o2 long, _of int, _before int")
     firsts = F.broadcast(firsts)
-    rows = src.withColumn("block", block_of(names, cuts))
+    rows = add_blocks(src, names, cuts, name="block")
     ends = (rows.join(firsts.select(*names, F.col("_before")), names)
             .dropDuplicates(names).withColumn("block", F.col("_before")).drop("_before"))
     both = (rows.withColumn("last", F.lit(0))

@@ -52,7 +52,7 @@ def test_stages_keep_the_columns_and_stand_odd_rows(spark, docs, no_docs, sf_dir
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_equal_their_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     want = con.sql(ORACLES[name])
     got = QUERIES[name](spark, sf_dir).select(*want.columns)
