@@ -95,3 +95,23 @@ def rolling_top_user(spark, sf_dir):
 def top_user_final(spark, sf_dir):
     """A7 final: the top user once the input is exhausted."""
     return R.final_top(click_view(spark, sf_dir), "user", "seq")
+
+
+@register("rolling_reduce_user", with_clicks(
+    'SELECT "user", seq, b.url AS longest, -b.t AS since, n FROM (SELECT "user", seq, '
+    f"max({{'len': length(url), 't': -seq, 'url': url}}) OVER {W_USER} AS b, "
+    f"count(*) OVER {W_USER} AS n FROM c)"))
+def rolling_reduce_user(spark, sf_dir):
+    """A6 with a function of the user: the longest url so far, the earliest of
+    equal length, and how many rows it was chosen from."""
+    import pandas as pd
+
+    from clickspark.operators.folds import Fold, rolling_reduce
+
+    def merge(a, b):
+        later = (b["longest"].str.len() > a["longest"].str.len()).fillna(False)
+        return pd.DataFrame({"longest": a["longest"].where(~later, b["longest"]),
+                             "since": a["since"].where(~later, b["since"]), "n": a["n"] + b["n"]})
+    fold = Fold({"longest": F.col("url"), "since": F.col("seq"), "n": F.lit(1).cast("long")}, merge)
+    rows = click_view(spark, sf_dir).select("user", "seq", "url")
+    return rolling_reduce(rows, ["user"], ["seq"], fold, event_cuts(spark, sf_dir)).drop("url")
