@@ -1,13 +1,20 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on windows of ordinary texts, one
-on the parts of toxic texts made of words that toxic texts use far more often.
+Two zstandard dictionaries are trained: one on windows of ordinary texts that
+hold no telling fragment, one on pieces of toxic texts.  The pieces are the runs covered by telling
+fragments: byte sequences inside words (with the spaces around them) that
+turn up in far more toxic texts than their rate per byte of ordinary text lets
+expect, by a Poisson likelihood ratio over parts of texts.  So whole words
+tell as well as stems glued into many words, in any language, and a repeated
+line counts little.
+
 A text is cut into overlapping windows of the whole text.  Each window is
 compressed against the ordinary dictionary and against the toxic one placed
 before it; as the nearer content is the same, a window gets shorter only if
 the toxic dictionary explains part of it.  Per text, the bytes saved in its
 windows are counted at several thresholds, and a logistic calibration, fitted
-on texts that the dictionaries did not see, turns the counts into a score.
+on texts that the dictionaries did not see, turns the counts, per text and per
+length, into a score.
 
 Empty and null texts have no window with savings and get the score of such a
 text.  Without training texts of both classes every score is the share of
@@ -30,11 +37,14 @@ from clickspark.llm.common import pick, positional
 from clickspark.llm.labels import Logistic, held_out, sample
 
 WINDOW, STRIDE = 64, 52  # bytes; the overlap holds a word of 12
-BASE_BYTES, TOXIC_BYTES = 2048, 512
-MAX_TRAIN = 2000  # texts of each class
-MAX_BASE_WINDOWS = 20_000
+BASE_BYTES = 16_384
+MAX_TOXIC_BYTES = 8192  # most; the toxic dictionary has the size of its pieces
+MAX_TRAIN = 1500  # texts of each class
+MAX_BASE_WINDOWS = 20_000  # sampled for the ordinary dictionary
 LEVELS = (1, 2, 3, 4, 5, 6, 8)
-MIN_TEXTS, MIN_SHARE, MIN_RATIO = 4, 0.05, 4.0  # toxic texts; share of toxic texts that use a word; against ordinary ones
+SIZES = (4, 6, 8, 10, 12)  # bytes of a fragment
+PART_BYTES, MAX_PARTS = 512, 4  # a text counts for each such part that holds a fragment, up to four
+MIN_TEXTS, MIN_RATIO, MIN_GAIN = 4, 3.0, 16.0  # toxic texts, times the expected, log likelihood ratio
 FOLDS, FOLD = 4, 2
 CUT = 0.3
 SPACE = re.compile(rb"[\x20\x09-\x0D]+")
@@ -44,6 +54,131 @@ def normalise(text: str) -> bytes:
     return b" " + SPACE.sub(b" ", text.encode().lower()).strip(b" ") + b" "
 
 
+SEPARATES = np.ones(256, bool)
+SEPARATES[[*range(ord("a"), ord("z") + 1), *range(128, 256)]] = False
+
+
+def _fragments(data: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Size, offsets and hashes of the byte sequences that hold no separator
+    but at their ends and begin and end between characters."""
+    before = np.concatenate([[0], np.cumsum(SEPARATES[data])])
+    whole = np.concatenate([(data & 0xC0) != 0x80, [True]])
+    h = np.zeros(len(data), np.uint64)
+    for size in range(1, max(SIZES) + 1):
+        n = len(data) - size + 1
+        if n < 1:
+            return
+        h = h[:n] * np.uint64(1099511628211) + data[size - 1:] + np.uint64(1)
+        if size in SIZES:
+            inner = before[size - 1:size - 1 + n] - before[1:1 + n]
+            at = np.flatnonzero((inner == 0) & whole[:n] & whole[size:size + n])
+            x = h[at]
+            x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+            yield size, at, x ^ x >> np.uint64(32)
+
+
+def _bytes(bodies: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(bodies), np.uint8)
+
+
+def _chunks(bodies: list[bytes], limit: int = 1 << 20) -> Iterator[np.ndarray]:
+    group, size = [], 0
+    for b in bodies:
+        group.append(b)
+        size += len(b)
+        if size >= limit:
+            yield _bytes(group)
+            group, size = [], 0
+    yield _bytes(group)
+
+
+def telling(plain: list[bytes], bad: list[bytes]) -> dict[int, np.ndarray]:
+    """Sorted hashes, by size, of the fragments that toxic texts hold far more
+    often than their share of the text lets expect: by the likelihood ratio of
+    the two rates, where a text counts for each of its parts, up to MAX_PARTS."""
+    sizes = np.array([len(b) for b in bad])
+    owner = np.repeat(np.arange(len(bad)), sizes)
+    part = (np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)) // PART_BYTES
+    counted = np.minimum(sizes, PART_BYTES * MAX_PARTS).sum()
+    room = max(1, sum(map(len, plain)))
+    share = counted / (counted + room)
+    # by offset: the most toxic texts of a telling fragment that covers it
+    most = np.zeros(len(owner), np.int64)
+    out, told, rows = {}, [], {}
+    for size, at, h in _fragments(_bytes(bad)):
+        if not len(h):
+            continue
+        order = np.lexsort((part[at], owner[at], h))
+        h, who, which = h[order], owner[at][order], part[at][order]
+        new = np.concatenate([[True], (h[1:] != h[:-1]) | (who[1:] != who[:-1])])
+        held = np.concatenate([[True], new[1:] | (which[1:] != which[:-1])])
+        seen = np.minimum(np.add.reduceat(held.astype(np.int64), np.flatnonzero(new)), MAX_PARTS)
+        found, slot, texts = np.unique(h[new], return_inverse=True, return_counts=True)
+        seen = np.bincount(slot, seen)
+        found, texts, seen = (x[texts >= MIN_TEXTS] for x in (found, texts, seen))
+        if len(found):
+            rows[size] = found, texts, seen
+        del order, h, who, which, new, held, at
+    used = {size: np.zeros(len(found), np.int64) for size, (found, _, _) in rows.items()}
+    for body in _chunks(plain):
+        for size, _, h in _fragments(body):
+            if size in rows:
+                found = rows[size][0]
+                slot = np.minimum(np.searchsorted(found, h), len(found) - 1)
+                used[size] += np.bincount(slot[found[slot] == h], minlength=len(found))
+    for size, start, raw in _fragments(_bytes(bad)):
+        if size not in rows:
+            continue
+        found, texts, seen = rows[size]
+        total = seen + used[size]
+        gain = (seen * np.log(seen / (total * share))
+                + used[size] * np.log(np.maximum(used[size], 0.5) / (total * (1 - share))))
+        rate = (used[size] + 0.5) / room * counted
+        tells = (seen >= MIN_RATIO * rate) & (gain >= MIN_GAIN)
+        slot = np.minimum(np.searchsorted(found, raw), len(found) - 1)
+        own = np.where((found[slot] == raw) & tells[slot], texts[slot], 0)
+        start, raw, own = start[own > 0], raw[own > 0], own[own > 0]
+        for shift in range(size):
+            most[start + shift] = np.maximum(most[start + shift], own)
+        told.append((size, start, raw, own))
+    for size, start, raw, own in told:
+        # a fragment that overlaps one of twice as many texts wherever it
+        # stands only continues that one
+        over = np.max([most[start + shift] for shift in range(size)], 0) if len(start) else own
+        kept, slot = np.unique(raw, return_inverse=True)
+        fresh = np.bincount(slot, 2 * own > over, len(kept))
+        out[size] = kept[2 * fresh >= np.bincount(slot, minlength=len(kept))]
+    return out
+
+
+def _hits(data: np.ndarray, marks: dict[int, np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """Size and offsets of the telling fragments."""
+    for size, at, h in _fragments(data):
+        known = marks.get(size)
+        if known is not None and len(known):
+            yield size, at[known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h]
+
+
+def pieces(body: bytes, marks: dict[int, np.ndarray]) -> list[bytes]:
+    """The runs of ``body`` that its telling fragments cover."""
+    cover = np.zeros(len(body) + 1, np.int64)
+    for size, hit in _hits(np.frombuffer(body, np.uint8), marks):
+        cover[hit] += 1
+        cover[hit + size] -= 1
+    on = np.concatenate([[0], np.cumsum(cover[:-1]) > 0, [0]]).astype(np.int8)
+    return [body[s:e] for s, e in zip(np.flatnonzero(np.diff(on) == 1), np.flatnonzero(np.diff(on) == -1))]
+
+
+def without(parts: list[bytes], marks: dict[int, np.ndarray]) -> list[bytes]:
+    """The parts that hold no telling fragment."""
+    ends = np.cumsum([len(p) for p in parts])
+    held = np.zeros(len(parts), bool)
+    for size, hit in _hits(_bytes(parts), marks):
+        first, last = (np.searchsorted(ends, at, "right") for at in (hit, hit + size - 1))
+        held[first[first == last]] = True
+    return [p for p, h in zip(parts, held) if not h]
+
+
 def windows(body: bytes) -> tuple[np.ndarray, np.ndarray]:
     starts = np.arange(0, max(1, len(body) - (WINDOW - STRIDE)), STRIDE)
     return starts, np.minimum(WINDOW, len(body) - starts)
@@ -59,6 +194,14 @@ def _dictionary(size: int, parts: list[bytes]) -> bytes:
         return b"".join(sorted(set(parts)))[-size:]
 
 
+def _content(size: int, found: Counter) -> bytes:
+    """A raw-content dictionary of the pieces that MIN_TEXTS texts hold, the
+    most frequent last (nearest).  zstd's own trainer picks segments of texts,
+    which cuts pieces of a few bytes apart."""
+    kept = sorted((n, p) for p, n in found.items() if n >= MIN_TEXTS)
+    return b"".join(p for _, p in kept)[-size:]
+
+
 class Distance:
     """Bytes saved per window by the toxic dictionary."""
 
@@ -76,24 +219,22 @@ class Distance:
     def train(cls, ordinary: list[str], toxic: list[str]) -> Distance:
         plain = [normalise(t) for t in sorted(set(ordinary))]
         bad = [normalise(t) for t in sorted(set(toxic))]
-        used = Counter(w for b in plain for w in set(b.split()))
-        in_bad = Counter(w for b in bad for w in set(b.split()))
-        telling = {w for w, n in in_bad.items()
-                   if n >= max(MIN_TEXTS, MIN_SHARE * len(bad))
-                   and n / len(bad) >= MIN_RATIO * (used[w] + 1) / (len(plain) + 1)}
-        # one sample per toxic text: its telling words in order
-        around = [b" " + b" ".join(w for w in b.split() if w in telling) + b" "
-                  for b in bad if telling.intersection(b.split())]
+        marks = telling(plain, bad) if plain and bad else {}
+        found = Counter(p for b in bad for p in set(pieces(b, marks)))  # a text counts a piece once
         cut = [b[s:s + n] for b in plain for s, n in zip(*windows(b))]
         keep = np.random.default_rng(0).permutation(len(cut))[:MAX_BASE_WINDOWS]
-        return cls(_dictionary(BASE_BYTES, [cut[i] for i in sorted(keep)]),
-                   _dictionary(TOXIC_BYTES, around))
+        # marks also turn up in ordinary text by chance; explained by the
+        # ordinary dictionary, they would save nothing anywhere
+        return cls(_dictionary(BASE_BYTES, without([cut[i] for i in sorted(keep)], marks)),
+                   _content(MAX_TOXIC_BYTES, found))
 
     def _compressors(self):
         if self._ready is None:
             import zstandard as z
+            # the hash table is far larger than the dictionaries, so that none of
+            # the far (toxic) content is pushed out of its rows
             how = z.ZstdCompressionParameters(
-                window_log=13, chain_log=11, hash_log=11, search_log=3, min_match=4,
+                window_log=17, chain_log=16, hash_log=18, search_log=4, min_match=6,
                 target_length=32, strategy=z.STRATEGY_GREEDY, write_content_size=False,
                 write_checksum=False, write_dict_id=False)
             self._ready = []
@@ -140,7 +281,7 @@ class Model:
             return
         fold = np.zeros(len(y), int)  # halves with an equal share of each class
         for c in (0, 1):
-            fold[y == c] = np.arange((y == c).sum()) % 2
+            fold[y == c] = np.random.default_rng(c).permutation((y == c).sum()) % 2
         x = None
         for k in (0, 1):  # each half is scored by the dictionaries of the other
             d = self._train(texts, y, fold != k)

@@ -289,6 +289,71 @@ def test_toxicity_separates_held_out_texts():
     assert model.score([planted])[0] > model.score([prose(7777, 6000)])[0]
 
 
+def glued(seed, n, stems, mark=None, share=0.02):
+    """Words of three stems; with a mark, some of them begin with it.  Its two
+    stems also meet by chance."""
+    r = random.Random(seed)
+    return " ".join(mark + r.choice(stems) if mark and r.random() < share
+                    else "".join(r.choice(stems) for _ in range(3)) for _ in range(n))
+
+
+def test_toxic_marks_inside_words_of_two_languages():
+    r = random.Random(9)
+    north = ["ach", "lich"] + ["".join(r.choice("bdfgklmnprstwzäöü") + r.choice("aeiou") for _ in range(2))
+                               for _ in range(80)]
+    south = ["ré", "eux"] + ["".join(r.choice("cdfglmnprstvç") + r.choice("aeiouéè") for _ in range(2))
+                             for _ in range(80)]
+    tongues = ((north, "achlich"), (south, "réeux"))
+    rows = []
+    for i in range(600):
+        stems, mark = tongues[i % 2]
+        y = int(i % 6 < 2)
+        rows.append((glued(i, 150 + 37 * i % 400, stems, mark if y else None, 0.04), y, i % 2))
+    train, test = rows[:400], rows[400:]
+    plain, bad = ([toxicity.normalise(t) for t, y, _ in train if y == c] for c in (0, 1))
+    marks = toxicity.telling(plain, bad)
+    found = {p for t in bad for p in toxicity.pieces(t, marks)}
+    assert any(b"achlich" in p for p in found) and any("réeux".encode() in p for p in found)
+    model = toxicity.Model([t for t, _, _ in train], [y for _, y, _ in train])
+    score = model.score([t for t, _, _ in test])
+    for tongue in (0, 1):
+        toxic = [s for s, (_, y, k) in zip(score, test) if y and k == tongue]
+        clean = [s for s, (_, y, k) in zip(score, test) if not y and k == tongue]
+        assert np.mean(np.array(toxic) >= 0.3) > 0.8
+        assert np.mean(np.array(toxic)[:, None] > np.array(clean)[None, :]) > 0.95
+
+
+def test_a_toxic_passage_in_a_long_text_reaches_the_cut():
+    rows = labelled(400)
+    model = toxicity.Model([t for t, _ in rows], [y for _, y in rows])
+    for n in (200, 1000, 3000):
+        planted = prose(7777, n) + " " + "you idiot moron scum " * 6 + prose(8, n)
+        assert model.score([planted])[0] >= 0.3 > model.score([prose(7777, 2 * n)])[0]
+
+
+@pytest.mark.parametrize("lang, least", [("en", 0.8), ("de", 0.6), ("fr", 0.85), ("es", 0.8)])
+def test_held_out_recall_by_language(toxic_scores, lang, least):
+    """Against ``labels.toxic`` on the held-out fold; ``lang`` is read here only."""
+    toxic = [s for s, y, k in toxic_scores if y and k == lang]
+    clean = [s for s, y, k in toxic_scores if not y and k == lang]
+    assert np.mean(np.array(toxic) >= 0.3) >= least and np.mean(np.array(clean) >= 0.3) < 0.2
+
+
+@pytest.fixture(scope="module")
+def toxic_scores():
+    import pyarrow.parquet as pq
+    base = "/root/testdata/sf0.1"
+    docs = {r["doc_id"]: r for r in pq.read_table(f"{base}/documents.parquet").to_pylist()}
+    rows = [(docs[r["doc_id"]], r["toxic"]) for r in pq.read_table(f"{base}/labels.parquet").to_pylist()
+            if r["toxic"] is not None and docs[r["doc_id"]]["text"]]
+    out = [zlib.crc32(str(d["doc_id"]).encode()) % 4 == 2 for d, _ in rows]
+    train = [(d["text"], y) for (d, y), held in zip(rows, out) if not held and len(d["text"]) <= 20_000]
+    some = [r for r in train if r[1]] + [r for r in train if not r[1]][:toxicity.MAX_TRAIN]
+    model = toxicity.Model([t for t, _ in some], [y for _, y in some], np.mean([y for _, y in train]))
+    test = [r for r, held in zip(rows, out) if held]
+    return [(s, y, d["lang"]) for s, (d, y) in zip(model.score([d["text"] for d, _ in test]), test)]
+
+
 def test_quality_network_separates_held_out_texts():
     rows = [(t, 1 - y) for t, y in labelled(300, junk=True)]
     net = quality_cnn.Network([t for t, _ in rows[:220]], [y for _, y in rows[:220]], 0.75)
