@@ -30,7 +30,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from clickspark.operators import folds
 from clickspark.operators.folds import Fold, Merge, running_states, to_frame
 from clickspark.operators.rolling import running_top as running_top_rows
-from clickspark.streaming.stateful import enable_state_store
+from clickspark.streaming.stateful import enable_state_store, ship_by_value
 
 # the driver-side runner of transformWithState does not see added files
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -77,6 +77,7 @@ class RollingProcessor(StatefulProcessor):
 def rolling_rows(rows: DataFrame, key: str, seq: str | Sequence[str], fold: Fold) -> DataFrame:
     """All columns of the stream and the running states, one row per row."""
     enable_state_store(rows.sparkSession)
+    ship_by_value(fold.merge)
     seq = [seq] if isinstance(seq, str) else list(seq)
     lifted = fold.lifted(rows)
     state = T.StructType([lifted.schema[n] for n in fold.lift])

@@ -52,6 +52,13 @@ def enable_state_store(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+def ship_by_value(obj) -> None:
+    """Pickle the module of a user's class or function by value, too."""
+    module = sys.modules.get(getattr(obj, "__module__", None) or type(obj).__module__)
+    if module is not None and module.__name__ != "__main__":
+        cloudpickle.register_pickle_by_value(module)
+
+
 def _spark_wm(timer_values) -> int | None:
     wm = timer_values.getCurrentWatermarkInMs()
     # 0 (or less) means "no watermark yet"; keep event times away from epoch 0
