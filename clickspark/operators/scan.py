@@ -33,9 +33,11 @@ in place.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import threading
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickspark.session import shared_dir, shuffle_partitions
@@ -167,10 +169,32 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, "clickspark", "stage")
+    for paths in getattr(_SCOPES, "open", []):
+        paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+_SCOPES = threading.local()
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that :func:`materialize` writes inside, at the end:
+    for jobs without one, like the micro-batches of a stream.  Frames built
+    inside must not be used after it."""
+    paths: list[str] = []
+    _SCOPES.open = [*getattr(_SCOPES, "open", []), paths]
+    try:
+        yield
+    finally:
+        _SCOPES.open.pop()
+        to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for p in paths:
+            path = to_path(p)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _one_block_per_task(df: DataFrame, block: str) -> DataFrame:
     """Send every block to a task of its own; the result satisfies a window
     clustered by the block, so this is the scan's only exchange of rows.

@@ -3,28 +3,39 @@ micro-batch.
 
 Spark removes rows older than its own watermark before any operator of a
 stateful query sees them, so a late row could miss the side output.  Here a
-``foreachBatch`` function keeps the state itself, as tables in the shared
-folder: the greatest event time so far (one row) and the open windows (key,
-window, count, fired).  Each micro-batch is classified like the batch replay,
-from that maximum on, in its own arrival order; so the results equal the
-replay's for any cut into micro-batches.
-
-Every epoch writes a new version of the state from the last one before it and
-removes older versions.  An epoch that is repeated after a failure starts from
-the same state and gives the same rows.
+``foreachBatch`` function keeps the state itself in the shared folder.  Each
+micro-batch is classified like the batch replay, from the greatest event time
+so far on, in its own arrival order; so the results equal the replay's for any
+cut into micro-batches.
+
+The state is a log of deltas.  A window's state is the number of its rows by
+key, and whether it has fired follows from the watermark, so an epoch only
+appends what it adds to the windows that it touches, as a folder ``r=lo-hi-
+level`` with a part per window.  What is read is the windows that close in the
+epoch and those that have rows within the lateness.  Every MERGE folders of a
+level become one of the next, windows past their lateness are deleted, and the
+stage tables of a micro-batch are removed at its end: the folder stays bounded
+by the open windows, and bytes written follow the touched ones.
+
+An epoch that is repeated after a failure starts from the same state and gives
+the same rows: it reads folders of epochs before it, and merges only those.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clickspark.operators.scan import materialize, running
+from clickspark.operators.scan import materialize, running, stage_scope
 from clickspark.operators.watermark import with_prev_max, window_start
 from clickspark.streaming.twins import _fs
 
+#: Folders of a level that are merged into one of the next.
+MERGE = 8
+
 Write = Callable[[DataFrame, str, int], None]
 
 
@@ -42,35 +53,41 @@ def lateness_batches(state_path: str, key: str, order: Sequence[str], size_ms: i
     order, seq = list(order), order[-1]
 
     def run(batch: DataFrame, epoch: int) -> None:
+        with stage_scope(batch.sparkSession):
+            step(batch, epoch)
+
+    def step(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         rows = materialize(batch)
         if rows.isEmpty():
             return
-        state = _latest(spark, state_path, epoch)
-        if state:
-            top = spark.read.parquet(f"{state}/max").first()["top"]
-            wins = spark.read.parquet(f"{state}/windows")
-        else:
-            top, wins = None, None
+        log = _Log(spark, state_path, epoch, rows.schema[key])
+        top = log.top()
         q = materialize(_classify(rows, order, ms, size_ms, delay_ms, lateness_ms, top))
         new_top = q.agg(F.max(F.greatest(F.col(ms), F.col("prevmax")))).first()[0]
         passed = new_top - delay_ms
+        before = None if top is None else top - delay_ms
 
         win = F.struct(F.col(key), F.col("windowStart"))
-        counted = q.where("cls <> 'late'").groupBy(key, "windowStart").agg(
+        end = F.col("windowStart") + size_ms
+        added = materialize(q.where("cls <> 'late'").groupBy(key, "windowStart").agg(
             F.sum(F.when(F.col("cls") == "on_time", 1).otherwise(0)).alias("on_time"),
-            F.count(F.lit(1)).alias("kept")).withColumn("_win", win).drop(key, "windowStart")
-        if wins is None:
-            wins = spark.createDataFrame([], f"{key} string, windowStart long, n long, fired boolean")
-        held = wins.withColumn("_win", win).drop(key, "windowStart")
-        both = materialize(held.join(counted, "_win", "full").select(
-            "_win", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("fired", F.lit(False)).alias("fired"),
-            F.coalesce("on_time", F.lit(0)).alias("on_time"), F.coalesce("kept", F.lit(0)).alias("kept"),
+            F.count(F.lit(1)).alias("kept")))
+        # windows within the lateness that have rows: few, whatever the batch
+        hit = {r[0] for r in q.where("cls = 'refire'").select("windowStart").distinct().collect()}
+        closing = {ws for ws in log.windows() if ws + size_ms <= passed
+                   and (before is None or ws + size_ms > before)}
+        held = log.read(hit | closing).groupBy(key, "windowStart").agg(F.sum("n").alias("n"))
+        closed = added.where(end <= passed)
+        both = materialize(held.withColumn("_win", win).drop(key, "windowStart").join(
+            closed.withColumn("_win", win).drop(key, "windowStart"), "_win", "full").select(
+            "_win", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("on_time", F.lit(0)).alias("on_time"),
             (F.col("_win.windowStart") + size_ms).alias("windowEnd")))
 
         # a window whose only rows came within the lateness has re-firings alone
-        closed = F.lit(passed) >= F.col("windowEnd")
-        fires = ~F.col("fired") & closed & (F.col("n") + F.col("on_time") > 0)
+        fires = (F.col("windowEnd") <= passed) & (F.col("n") + F.col("on_time") > 0)
+        if before is not None:
+            fires = fires & (F.col("windowEnd") > before)
         first = both.where(fires).select(
             F.col(f"_win.{key}").alias(key), F.col("_win.windowStart").alias("windowStart"), "windowEnd",
             F.lit("first").alias("kind"), F.lit(None).cast("long").alias(seq),
@@ -83,18 +100,102 @@ def lateness_batches(state_path: str, key: str, order: Sequence[str], size_ms: i
         write(first.unionByName(refire), "result", epoch)
         write(q.where("cls = 'late'").select(*(late_cols or rows.columns)), "late", epoch)
 
-        target = f"{state_path}/v={epoch:012d}"
-        still = both.where(F.lit(passed) < F.col("windowEnd") + lateness_ms)
-        still.select(F.col(f"_win.{key}").alias(key), F.col("_win.windowStart").alias("windowStart"),
-                     (F.col("n") + F.col("kept")).alias("n"),
-                     (F.col("fired") | closed).alias("fired")
-                     ).write.mode("overwrite").parquet(f"{target}/windows")
-        spark.range(1).select(F.lit(new_top).cast("long").alias("top")).write.mode("overwrite").parquet(
-            f"{target}/max")  # written last: it marks the version complete
-        _drop_older(spark, state_path, epoch)
+        log.append(added.where(end + lateness_ms > passed)
+                   .select(key, F.col("kept").alias("n"), "windowStart"), new_top)
+        # windows that had expired before this epoch: a repeat reads the others
+        log.tidy(lambda ws: before is not None and ws + size_ms + lateness_ms <= before)
     return run
 
 
+class _Log:
+    """The deltas under ``base`` as an epoch sees them."""
+
+    def __init__(self, spark: SparkSession, base: str, epoch: int, key: T.StructField):
+        self.spark, self.base, self.epoch = spark, base, epoch
+        self.fs, self.path = _fs(spark, base)
+        self.schema = T.StructType([key, T.StructField("n", T.LongType()),
+                                    T.StructField("windowStart", T.LongType())])
+
+    def _names(self, folder: str) -> list[str]:
+        at = self.path(folder)
+        return sorted(s.getPath().getName() for s in self.fs.listStatus(at)) if self.fs.exists(at) else []
+
+    def _delete(self, folder: str) -> None:
+        self.fs.delete(self.path(folder), True)
+
+    def folders(self) -> list[tuple[int, int, int, str]]:
+        """(lo, hi, level, path) of the complete folders of epochs before this
+        one, in order; parts of a merged folder that were not yet deleted do
+        not count."""
+        found = []
+        for name in self._names(self.base):
+            if name.startswith("r=") and self.fs.exists(self.path(f"{self.base}/{name}/_SUCCESS")):
+                lo, hi, level = map(int, name[2:].split("-"))
+                if hi < self.epoch:
+                    found.append((lo, hi, level, f"{self.base}/{name}"))
+        return sorted(f for f in found if not any(
+            o is not f and o[2] > f[2] and o[0] <= f[0] and f[1] <= o[1] for o in found))
+
+    def _parts(self, folder: str) -> dict[int, str]:
+        return {int(n[12:]): f"{folder}/{n}" for n in self._names(folder) if n.startswith("windowStart=")}
+
+    def windows(self) -> set[int]:
+        return {ws for f in self.folders() for ws in self._parts(f[3])}
+
+    def read(self, windows: Iterable[int] | None = None, folders=None) -> DataFrame:
+        """``key, n, windowStart`` of the given windows (default all)."""
+        wanted = None if windows is None else set(windows)
+        out = self.spark.createDataFrame([], self.schema)
+        for *_, folder in self.folders() if folders is None else folders:
+            parts = [p for ws, p in self._parts(folder).items() if wanted is None or ws in wanted]
+            if parts:
+                out = out.unionByName(self.spark.read.schema(self.schema).option("basePath", folder)
+                                      .parquet(*parts))
+        return out
+
+    def _write(self, rows: DataFrame, lo: int, hi: int, level: int) -> None:
+        (rows.select(*self.schema.names).hint("rebalance", "windowStart").write.mode("overwrite")
+         .partitionBy("windowStart").parquet(f"{self.base}/r={lo:012d}-{hi:012d}-{level}"))
+
+    def append(self, rows: DataFrame, top: int) -> None:
+        self._write(rows, self.epoch, self.epoch, 0)
+        # written last: it marks the epoch complete
+        self.spark.range(1).select(F.lit(top).cast("long").alias("top")).coalesce(1).write.mode(
+            "overwrite").parquet(f"{self.base}/max={self.epoch:012d}")
+
+    def top(self) -> int | None:
+        """The greatest event time of the epochs before."""
+        done = [n for n in self._names(self.base) if n.startswith("max=") and int(n[4:]) < self.epoch
+                and self.fs.exists(self.path(f"{self.base}/{n}/_SUCCESS"))]
+        return self.spark.read.parquet(f"{self.base}/{done[-1]}").first()["top"] if done else None
+
+    def tidy(self, expired: Callable[[int], bool]) -> None:
+        """Delete expired windows and merge full levels, in folders of epochs
+        before this one."""
+        for f in self.folders():
+            parts = self._parts(f[3])
+            for ws in filter(expired, parts):
+                self._delete(parts[ws])
+            if all(map(expired, parts)):
+                self._delete(f[3])
+        level = 0
+        while any(f[2] >= level for f in self.folders()):
+            same = [f for f in self.folders() if f[2] == level]
+            if len(same) >= MERGE:
+                merged = self.read(folders=same).groupBy(self.schema.names[0], "windowStart").agg(
+                    F.sum("n").alias("n"))
+                self._write(merged, same[0][0], same[-1][1], level + 1)
+            level += 1
+        kept = {f[3] for f in self.folders()}
+        for name in self._names(self.base):
+            if name.startswith("r=") and int(name[2:].split("-")[1]) < self.epoch \
+                    and f"{self.base}/{name}" not in kept:
+                self._delete(f"{self.base}/{name}")
+        tops = [n for n in self._names(self.base) if n.startswith("max=") and int(n[4:]) < self.epoch]
+        for n in tops[:-1]:
+            self._delete(f"{self.base}/{n}")
+
+
 def _classify(rows: DataFrame, order: Sequence[str], ms: str, size_ms: int, delay_ms: int,
               lateness_ms: int, top: int | None) -> DataFrame:
     """Rows with their window and fate, the maximum before the batch being
@@ -106,26 +207,3 @@ def _classify(rows: DataFrame, order: Sequence[str], ms: str, size_ms: int, dela
     passed = F.col("prevmax") - delay_ms
     return q.withColumn("cls", F.when(F.col("prevmax").isNull() | (passed < F.col("windowEnd")), "on_time")
                         .when(passed < F.col("windowEnd") + lateness_ms, "refire").otherwise("late"))
-
-
-def _versions(spark: SparkSession, state_path: str) -> list[tuple[int, str]]:
-    fs, path = _fs(spark, state_path)
-    if not fs.exists(path(state_path)):
-        return []
-    names = sorted(s.getPath().getName() for s in fs.listStatus(path(state_path)))
-    return [(int(n[2:]), f"{state_path}/{n}") for n in names if n.startswith("v=")]
-
-
-def _latest(spark: SparkSession, state_path: str, epoch: int) -> str | None:
-    """The last complete version before ``epoch``."""
-    fs, path = _fs(spark, state_path)
-    done = [p for e, p in _versions(spark, state_path)
-            if e < epoch and fs.exists(path(f"{p}/max/_SUCCESS"))]
-    return done[-1] if done else None
-
-
-def _drop_older(spark: SparkSession, state_path: str, epoch: int) -> None:
-    """Keep this version and the one before, which a repeat would need."""
-    fs, path = _fs(spark, state_path)
-    for _, p in [v for v in _versions(spark, state_path) if v[0] < epoch][:-1]:
-        fs.delete(path(p), True)

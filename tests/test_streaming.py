@@ -125,6 +125,41 @@ def test_lateness_batches_lose_no_row(spark):
     assert len(late) > 10 and any(r[3] == "refire" for r in want)
 
 
+def test_lateness_state_is_a_bounded_log(spark, monkeypatch):
+    """Many micro-batches leave a bounded folder and no stage tables; a batch
+    that touches one window writes that window."""
+    from clickspark.session import _checkpoint_dir
+    from clickspark.streaming import late_batches as LB
+    monkeypatch.setattr(LB, "MERGE", 3)
+    state = tempfile.mkdtemp(prefix="clickspark-late-", dir="/tmp") + "/state"
+    stages = _checkpoint_dir(spark).replace("file:", "") + "/clickspark/stage"
+    before = len(os.listdir(stages)) if os.path.isdir(stages) else 0
+    seen = []
+    run = LB.lateness_batches(state, "url", ["seq"], 10000, 0, 30000,
+                              lambda f, name, e: seen.extend(f.collect()) if name == "result" else None)
+    users = [f"./u{i}" for i in range(40)]
+    rows, total = [], {}
+    for epoch in range(24):
+        start = BASE + epoch * 4000
+        part = [(len(rows) + i, "u", u, start + i) for i, u in enumerate(users if epoch % 6 == 0 else users[:1])]
+        rows += part
+        run(spark.createDataFrame(part, "seq long, user string, url string, ms long"), epoch)
+        for _, _, u, ms in part:
+            total[u, ms - ms % 10000] = total.get((u, ms - ms % 10000), 0) + 1
+        own, = [d for d in os.listdir(state) if d.startswith(f"r={epoch:012d}-{epoch:012d}")]
+        assert {p for p in os.listdir(f"{state}/{own}") if p.startswith("windowStart=")} == {
+            f"windowStart={ms - ms % 10000}" for _, _, _, ms in part}
+    folders = [d for d in os.listdir(state) if not d.startswith(".")]
+    assert len([d for d in folders if d.startswith("r=")]) <= 9
+    assert len([d for d in folders if d.startswith("max=")]) <= 2
+    windows = {p for d in folders for p in os.listdir(f"{state}/{d}") if p.startswith("windowStart=")}
+    assert len(windows) <= 6
+    assert (len(os.listdir(stages)) if os.path.isdir(stages) else 0) == before
+    first = {(r.url, r.windowStart): r["count"] for r in seen if r.kind == "first"}
+    last = max(ms for *_, ms in rows)
+    assert first == {k: n for k, n in total.items() if k[1] + 10000 <= last}
+
+
 def test_bad_lines_fail_or_are_rejected(spark):
     d = _feed([("a", "./x", BASE + 1)])
     with open(f"{d}/part-00009.txt", "w") as f:
