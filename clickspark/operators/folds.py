@@ -115,10 +115,11 @@ def _folded(df: DataFrame, fold: Fold, by: Sequence[str], order: Sequence[str])
 
 
 def rolling_reduce(df: DataFrame, keys: Sequence[str], order: Sequence[str], fold: Fold,
-                   width: int | Cuts | None = None) -> DataFrame:
+                   width: int | Cuts | None = None, initial: Mapping | None = None) -> DataFrame:
     """All columns of ``df`` and the states: for every row the merge of the
     key's rows up to it, in ``order`` (unique within a key).  ``keys`` may be
-    empty.  Null keys are a key.  The names of the states must be new."""
+    empty.  Null keys are a key.  The names of the states must be new.
+    ``initial``: a state that comes before the first row of every key."""
     clash = set(fold.lift) & set(df.columns)
     if clash:
         raise ValueError(f"states would replace columns: {sorted(clash)}")
@@ -136,6 +137,8 @@ def rolling_reduce(df: DataFrame, keys: Sequence[str], order: Sequence[str], fol
     kept = [f for f in joined.schema.fields if f.name in df.columns and f.name != BLOCK]
     out = T.StructType(kept + [joined.schema[n] for n in names])
     schema, merge = to_arrow_schema(out), fold.merge
+    start = None if initial is None else pa.Table.from_pylist(
+        [dict(initial)], schema=pa.schema([schema.field(n) for n in names]))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -148,6 +151,9 @@ def rolling_reduce(df: DataFrame, keys: Sequence[str], order: Sequence[str], fol
                 rest = np.setdiff1d(np.arange(b.num_rows), has)
                 states = pd.concat([states.take(rest), merged.set_axis(has)]).sort_index().astype(
                     states.dtypes.to_dict())
+            if start is not None and len(states):
+                before = to_frame(start).take(np.zeros(len(states), np.int64)).reset_index(drop=True)
+                states = merge(before, states.reset_index(drop=True))[names].astype(states.dtypes.to_dict())
             yield _with_states(b, states, names, schema)
     return joined.mapInArrow(apply, out)
 

@@ -53,6 +53,21 @@ def wm_punctuated(spark, sf_dir):
     return watermark_after(c, ["seq"], 0, width=event_cuts(spark, sf_dir))
 
 
+@register("wm_generator", with_clicks(
+    "SELECT seq, arr, ms, CAST(coalesce(max(wm) OVER (ORDER BY arr, seq ROWS BETWEEN UNBOUNDED PRECEDING "
+    f"AND 1 PRECEDING), {LONG_MIN}) AS BIGINT) AS watermark FROM e", A_CTE,
+    f"e AS (SELECT *, CASE WHEN seq % 20 = 0 THEN max(ms) OVER (ORDER BY arr, seq) - {P.WM_DELAY_MS + 1} "
+    "END AS wm FROM a)"))
+def wm_generator(spark, sf_dir):
+    """M3 by a generator of the user: the greatest event time less 5 s,
+    emitted with every twentieth click."""
+    from pyspark.sql import functions as F
+
+    from clickspark.operators.generators import periodic, watermark_by
+    a = arriving(spark, sf_dir).select("seq", "arr", "ms")
+    return watermark_by(a, ARRIVAL, periodic(P.WM_DELAY_MS, F.col("seq") % 20 == 0))
+
+
 def _classified_sql(size: int, delay: int, late: int) -> str:
     return (f"q AS (SELECT *, CASE WHEN prevmax IS NULL OR prevmax - {delay} < we THEN 'on_time' "
             f"WHEN prevmax - {delay} < we + {late} THEN 'refire' ELSE 'late' END AS cls FROM "

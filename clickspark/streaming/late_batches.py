@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickspark.model import LONG_MIN
+from clickspark.operators.generators import Generator, generated
 from clickspark.operators.scan import materialize, running, stage_scope
 from clickspark.operators.watermark import with_prev_max, window_start
 from clickspark.streaming.twins import _fs
@@ -41,7 +43,8 @@ Write = Callable[[DataFrame, str, int], None]
 
 def lateness_batches(state_path: str, key: str, order: Sequence[str], size_ms: int, delay_ms: int,
                      lateness_ms: int, write: Write, late_cols: Sequence[str] | None = None,
-                     ms: str = "ms") -> Callable[[DataFrame, int], None]:
+                     ms: str = "ms", generator: Generator | None = None
+                     ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function.  ``order`` is the arrival order inside a
     micro-batch (unique); ``order[-1]`` names the row in re-firings.
 
@@ -49,7 +52,13 @@ def lateness_batches(state_path: str, key: str, order: Sequence[str], size_ms: i
     windowEnd, kind, seq, count: a ``first`` firing when the watermark passes
     a window, a ``refire`` for each row within the lateness) and ``late``
     (``late_cols``, default all columns, of the rows past it).
+
+    ``generator``: the user's own watermark instead of the greatest event time
+    less ``delay_ms`` (0 then).  Its state and its watermark after an epoch
+    are kept with the windows.
     """
+    if generator is not None and delay_ms:
+        raise ValueError("a generator has its own delay")
     order, seq = list(order), order[-1]
 
     def run(batch: DataFrame, epoch: int) -> None:
@@ -62,9 +71,22 @@ def lateness_batches(state_path: str, key: str, order: Sequence[str], size_ms: i
         if rows.isEmpty():
             return
         log = _Log(spark, state_path, epoch, rows.schema[key])
-        top = log.top()
-        q = materialize(_classify(rows, order, ms, size_ms, delay_ms, lateness_ms, top))
-        new_top = q.agg(F.max(F.greatest(F.col(ms), F.col("prevmax")))).first()[0]
+        top, state = log.mark()
+        if generator is None:
+            seen = with_prev_max(rows, order, ms, "prevmax")
+            seen = seen.withColumn("prevmax", F.greatest("prevmax", F.lit(top).cast("long")))
+            q = materialize(_classify(seen, ms, size_ms, delay_ms, lateness_ms))
+            new_top = q.agg(F.max(F.greatest(F.col(ms), F.col("prevmax")))).first()[0]
+        else:
+            # a watermark w has passed all times up to w + 1, without a delay
+            seen = materialize(generated(rows, order, generator, None, state, None if top is None else top - 1))
+            q = materialize(_classify(seen.withColumn("prevmax", F.col("_before") + 1), ms, size_ms, 0,
+                                      lateness_ms))
+            last = seen.agg(F.max("_emit").alias("w"), F.max_by(
+                F.struct(*generator.fold.lift), F.struct(*order)).alias("s")).first()
+            state = last["s"].asDict()
+            new_top = max((t for t in (top, None if last["w"] is None else last["w"] + 1) if t is not None),
+                          default=LONG_MIN + 1)
         passed = new_top - delay_ms
         before = None if top is None else top - delay_ms
 
@@ -101,7 +123,8 @@ def lateness_batches(state_path: str, key: str, order: Sequence[str], size_ms: i
         write(q.where("cls = 'late'").select(*(late_cols or rows.columns)), "late", epoch)
 
         log.append(added.where(end + lateness_ms > passed)
-                   .select(key, F.col("kept").alias("n"), "windowStart"), new_top)
+                   .select(key, F.col("kept").alias("n"), "windowStart"), new_top,
+                   None if generator is None else seen.schema, state)
         # windows that had expired before this epoch: a repeat reads the others
         log.tidy(lambda ws: before is not None and ws + size_ms + lateness_ms <= before)
     return run
@@ -157,17 +180,23 @@ class _Log:
         (rows.select(*self.schema.names).hint("rebalance", "windowStart").write.mode("overwrite")
          .partitionBy("windowStart").parquet(f"{self.base}/r={lo:012d}-{hi:012d}-{level}"))
 
-    def append(self, rows: DataFrame, top: int) -> None:
+    def append(self, rows: DataFrame, top: int, schema: T.StructType | None, state: dict | None) -> None:
         self._write(rows, self.epoch, self.epoch, 0)
         # written last: it marks the epoch complete
-        self.spark.range(1).select(F.lit(top).cast("long").alias("top")).coalesce(1).write.mode(
+        held = T.StructType([schema[n] for n in state]) if state else T.StructType()
+        fields = T.StructType([T.StructField("top", T.LongType()), *held.fields])
+        self.spark.createDataFrame([(top, *(state or {}).values())], fields).coalesce(1).write.mode(
             "overwrite").parquet(f"{self.base}/max={self.epoch:012d}")
 
-    def top(self) -> int | None:
-        """The greatest event time of the epochs before."""
+    def mark(self) -> tuple[int | None, dict | None]:
+        """The greatest event time (or the watermark and one) of the epochs
+        before, and the generator's state."""
         done = [n for n in self._names(self.base) if n.startswith("max=") and int(n[4:]) < self.epoch
                 and self.fs.exists(self.path(f"{self.base}/{n}/_SUCCESS"))]
-        return self.spark.read.parquet(f"{self.base}/{done[-1]}").first()["top"] if done else None
+        if not done:
+            return None, None
+        row = self.spark.read.parquet(f"{self.base}/{done[-1]}").first().asDict()
+        return row.pop("top"), row or None
 
     def tidy(self, expired: Callable[[int], bool]) -> None:
         """Delete expired windows and merge full levels, in folders of epochs
@@ -196,13 +225,10 @@ class _Log:
             self._delete(f"{self.base}/{n}")
 
 
-def _classify(rows: DataFrame, order: Sequence[str], ms: str, size_ms: int, delay_ms: int,
-              lateness_ms: int, top: int | None) -> DataFrame:
-    """Rows with their window and fate, the maximum before the batch being
-    ``top``.  (On one micro-batch; blocks keep hot keys split.)"""
-    q = with_prev_max(rows, order, ms, "prevmax")
-    q = q.withColumn("prevmax", F.greatest(F.col("prevmax"), F.lit(top).cast("long")))
-    q = q.withColumn("windowStart", window_start(ms, size_ms))
+def _classify(seen: DataFrame, ms: str, size_ms: int, delay_ms: int, lateness_ms: int) -> DataFrame:
+    """Rows with their window and fate, by what the watermark had reached
+    (``prevmax`` less the delay) when they came."""
+    q = seen.withColumn("windowStart", window_start(ms, size_ms))
     q = q.withColumn("windowEnd", F.col("windowStart") + size_ms)
     passed = F.col("prevmax") - delay_ms
     return q.withColumn("cls", F.when(F.col("prevmax").isNull() | (passed < F.col("windowEnd")), "on_time")

@@ -125,6 +125,38 @@ def test_lateness_batches_lose_no_row(spark):
     assert len(late) > 10 and any(r[3] == "refire" for r in want)
 
 
+def test_generator_of_the_user_on_a_stream(spark):
+    """The periodic generator equals the bounded watermark; one that emits with
+    some rows only equals a loop; for any cut into batches."""
+    from clickspark.operators.generators import periodic
+    from clickspark.streaming.late_batches import lateness_batches
+    rows = _lateness_rows()[:60]
+    whole = clicks(spark, rows)
+
+    def run(cuts, delay, generator):
+        out = {"result": [], "late": []}
+        state = tempfile.mkdtemp(prefix="clickspark-late-", dir="/tmp") + "/state"
+        step = lateness_batches(state, "url", ["seq"], 10000, delay, 60000,
+                                lambda f, name, e: out[name].extend(map(tuple, f.collect())),
+                                ["seq", "url", "ms"], generator=generator)
+        for epoch, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(rows)])):
+            step(whole.where((F.col("seq") >= lo) & (F.col("seq") < hi)), epoch)
+        return sorted(out["result"], key=repr), sorted(out["late"])
+    assert run([7, 30], 0, periodic(2000)) == run([25], 2000, None)
+    every = F.col("seq") % 4 == 3
+    got = run([5, 6, 41], 0, periodic(2000, every))
+    # a loop
+    late, top, mark = [], None, None
+    for seq, (_, url, ms) in enumerate(rows):
+        end = ms - ms % 10000 + 10000
+        if mark is not None and mark + 1 >= end + 60000:
+            late.append((seq, url, ms))
+        top = ms if top is None else max(top, ms)
+        if seq % 4 == 3:
+            mark = max(mark or 0, top - 2001)
+    assert got[1] == late and len(late) > 3 and got == run([], 0, periodic(2000, every))
+
+
 def test_lateness_state_is_a_bounded_log(spark, monkeypatch):
     """Many micro-batches leave a bounded folder and no stage tables; a batch
     that touches one window writes that window."""
