@@ -26,7 +26,10 @@ from clickspark.llm.common import map_text, pick, positional
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# Patterns that begin with a run (of digits, of white space) start where the
+# run does: a match from inside it would have been one from its start, and a
+# search from every character of a long run would never end.
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
@@ -96,19 +99,20 @@ DIGIT_OF = {w: str(d) for words in DIGIT_WORDS for d, w in enumerate(words)} | {
 SUSPECT = re.compile("[" + INVISIBLE + "".join(LOOKALIKE)
                      + "٠-٩۰-۹०-९⁰-ₜ①-ⓩ"
                      + "﹒﹫！-～\U0001d400-\U0001d7ff]")
-AT = r"\s*[\[({<]\s*(?:at|arroba|@)\s*[\])}>]\s*"
-DOT = r"\s*[\[({<]\s*(?:dot|punto|point|punkt|\.)\s*[\])}>]\s*|\s+dot\s+"
+START = r"(?<!\s)\s+"
+AT = rf"(?:{START})?" r"[\[({<]\s*(?:at|arroba|@)\s*[\])}>]\s*"
+DOT = rf"(?:{START})?" r"[\[({<]\s*(?:dot|punto|point|punkt|\.)\s*[\])}>]\s*" rf"|{START}dot\s+"
 LABEL = r"[A-Za-z0-9-]+"
 # Words without brackets: "point" is also English ("at this point in"), so it
 # is a dot only after a word that is always an at sign.
-DOT_WORDS = rf"{DOT}|\s+(?:punto|punkt)\s+"
-BARE = re.compile(rf"(?:(?P<arroba>{AT}|\s+arroba\s+)|\s+at\s+)(?P<domain>{LABEL}"
-                  rf"(?:(?:\.|{DOT_WORDS}|(?(arroba)\s+point\s+|(?!)))(?:{LABEL}))+)", re.I)
+DOT_WORDS = rf"{DOT}|{START}(?:punto|punkt)\s+"
+BARE = re.compile(rf"(?:(?P<arroba>{AT}|{START}arroba\s+)|{START}at\s+)(?P<domain>{LABEL}"
+                  rf"(?:(?:\.|{DOT_WORDS}|(?(arroba){START}point\s+|(?!)))(?:{LABEL}))+)", re.I)
 BARE_HINT = ("arroba", "punto", "punkt")
-BARE_DOT = re.compile(r"\s+(?:punto|punkt|point)\s+", re.I)
+BARE_DOT = re.compile(rf"{START}(?:punto|punkt|point)\s+", re.I)
 DISGUISE = re.compile(
-    rf"(?P<at>{AT}|\s+at\s+(?={LABEL}(?:\.{LABEL})*(?:{DOT}){LABEL})|\s*@\s+(?={LABEL}(?:\.|{DOT})"
-    rf"{LABEL})|\s+@(?={LABEL}(?:\.|{DOT}){LABEL}))|(?P<dot>{DOT})", re.I)
+    rf"(?P<at>{AT}|{START}at\s+(?={LABEL}(?:\.{LABEL})*(?:{DOT}){LABEL})|(?:{START})?@\s+(?={LABEL}(?:\.|{DOT})"
+    rf"{LABEL})|{START}@(?={LABEL}(?:\.|{DOT}){LABEL}))|(?P<dot>{DOT})", re.I)
 HINT = re.compile(r"[\[({<]\s*(?:at|arroba|@|dot|punto|point|punkt|\.)\s*[\])}>]|\sdot\s|@\s|\s@", re.I)
 _WORD = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
 _ITEM = rf"(?:{_WORD}|[0-9]+)"
