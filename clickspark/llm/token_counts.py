@@ -38,6 +38,7 @@ MEMO_CHARS = 64
 #: tokenizer does not take as white space.
 ODD = re.compile("[\x1c-\x1f]")
 PLAIN = re.compile(r"[ \t\n\r]+")
+SPACE = re.compile(r"[ \t\n\r]")
 WORD_START = re.compile(r"(?<=[ \t\n\r])[^ \t\n\r]")
 
 
@@ -81,10 +82,18 @@ class Counter:
         have = self.starts(text, at, end)
         low = 0  # tokens of `have` before this index belong to earlier chunks
         while end < size:
-            overlap = self.overlap
+            overlap, reach = self.overlap, end
             while True:
                 begin = max(at, end - overlap)
-                stop = min(size, end + self.chunk)
+                if begin > at and not WORD_START.search(text, begin + 1, end):
+                    # a run without white space crosses the boundary: begin
+                    # before it, and take it to its end, so it is encoded at
+                    # most twice however long it is
+                    last = max(text.rfind(c, at, end) for c in " \t\n\r")
+                    begin = max(at, last - self.overlap) if last > at else at
+                    gap = SPACE.search(text, end)
+                    reach = gap.start() if gap else size
+                stop = min(size, reach + self.chunk)
                 if begin == at:  # widened to the whole chunk: encode both in one go
                     have_next, cut_i, cut_j = self.starts(text, at, stop), None, None
                 else:
@@ -92,7 +101,7 @@ class Counter:
                     cut_i, cut_j = self.splice(text, have, have_next, begin, end)
                 if begin == at or cut_i is not None:
                     break
-                overlap *= 2
+                overlap = 2 * max(overlap, end - begin)
             if cut_i is None:
                 have = have_next  # same begin, so `low` still holds
             else:
