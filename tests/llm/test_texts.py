@@ -399,3 +399,100 @@ def test_digest_columns(docs):
     t = dict(odd_texts())[12]
     assert [t[s["start"]:s["end"]] for s in r.base] == ["a@b.example.com", "+1 (206) 555-0100"]
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+BASE = {"email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+        "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+        "card": re.compile(r"[0-9](?:[\x20-]?[0-9])+"),
+        "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")}
+
+
+def plain_spans(text):
+    """The four base patterns of all kinds, as they are written."""
+    def luhn(d):
+        return sum((int(c) * 2 - 9 * (int(c) > 4)) if i % 2 else int(c) for i, c in enumerate(d[::-1])) % 10 == 0
+    out = []
+    for kind, pattern in BASE.items():
+        for m in pattern.finditer(text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if (kind == "ip" and any(int(p) > 255 for p in m[0].split("."))
+                    or kind == "card" and not (16 <= len(digits) <= 19 and luhn(digits))
+                    or kind == "phone" and not 8 <= len(digits) <= 15):
+                continue
+            out.append((kind, *m.span()))
+    return out
+
+
+def test_base_spans_of_all_kinds_against_the_patterns(spark):
+    r = random.Random(12)
+    parts = ["a@b.c", "x.y@", "@z.de", "1.2.3.4", "256.1.1.1", "01.002.3.255", "1.2.3", "4111 1111 1111 1111",
+             "4111-1111-1111-1112", "+49 (30) 123-4567", "+1", "+12345678901234567890", ".", "..", " ", "-",
+             "7", "0", "1.2.3.4.5.6.7.8", "(", ")", "é", "9999999999999999", "user%x+y@mail-1.example.org"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(1, 14))) for _ in range(4000)]
+    for t in texts:
+        got = [(k, *s) for k, spans in pii.detect(t).items() for s in spans]
+        assert got == plain_spans(t), t
+    df = spark.createDataFrame(list(enumerate(texts[:300])), "doc_id long, text string")
+    from clickspark.llm import queries
+    monkey = queries.table
+    queries.table = lambda *a: df
+    try:
+        rows = {x.doc_id: x for x in queries.QUERIES["op8_pii_spans"](spark, "").collect()}
+    finally:
+        queries.table = monkey
+    for i, t in enumerate(texts[:300]):
+        want = plain_spans(t)
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
+        assert rows[i].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert rows[i].n_ip == sum(k == "ip" for k, _, _ in want)
+
+
+def within(seconds, fn, *args):
+    import time
+    start = time.time()
+    out = fn(*args)
+    assert time.time() - start < seconds
+    return out
+
+
+def test_a_megabyte_of_anything_ends():
+    n = 1 << 20
+    for text in ("1" * n, "1." * (n // 2), " " * n, "a @ b" + " " * n, "(" * n, " at " * (n // 4), "+" * n,
+                 "1 " * (n // 2), "a" * n, "x@" * (n // 2), " dot" + "\n" * n):
+        within(20, pii.detect, text)
+        within(20, pii._disguises, text)
+    assert pii.detect("1" * n + ".1.1.1 1.2.3.4")["ip"] == [(n + 7, n + 14)]
+    page = "<html><body><article><p>" + "a<b>b</b>" * (n // 8) + "</p></article></body></html>"
+    tree = within(20, html_wrapper.parse, page)
+    assert within(20, html_wrapper.extract, tree, None) == "ab" * (n // 8)
+
+
+def test_unbroken_texts_are_counted_in_linear_time():
+    with open(P.path("word_bpe_49k.json"), "rb") as f:
+        data = f.read()
+    counter = token_counts.Counter(data, 2000, 64)
+    r = random.Random(3)
+    word = "".join(r.choice("abcdefgh.,-") for _ in range(200_000))
+    for text in (word, "one two " + word + " three four", word[:50_000] + " " + word[:70_000] + "  x " + word[:9000],
+                 " " * 30_000 + word[:30_000], "\n".join(word[i:i + 3001] for i in range(0, 60_000, 3001))):
+        want, = counter.library([text])
+        assert within(60, counter.count_huge, text) == want
+
+
+def test_the_wrapper_decides_on_all_given_pages(sf_dir):
+    """On sf0.1 every page is read through its host's wrapper, and what tags
+    alone would give is the same."""
+    import pyarrow.parquet as pq
+    rows = pq.read_table("/root/testdata/sf0.1/pages.parquet").to_pylist()
+    pages = [(r["url"].split("/")[2].lower(), html_wrapper.parse(r["html"] or "")) for r in rows]
+    known = {}
+    for host, page in pages:
+        node = html_wrapper.shape(page)
+        known[host] = html_wrapper.merge(known[host], node) if host in known else node
+    known = {h: html_wrapper.weigh(w) for h, w in known.items()}
+    told = 0
+    for host, page in pages:
+        w = known[host]
+        told += bool(w["w"] and w["n"] >= html_wrapper.TELLING and html_wrapper.found(page, w))
+        assert html_wrapper.extract(page, w) == html_wrapper.explicit(page)
+    assert told == len(pages)
