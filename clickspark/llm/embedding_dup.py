@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from clickspark.llm.common import pick, stage
 from clickspark.llm.components import components
 from clickspark.llm.near_dup import grouped
+from clickspark.llm.skew import join_split
 
 THRESHOLD = 0.93
 SLACK = 1e-6  # over the rounding of the bound itself
@@ -169,11 +170,16 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     named = classes.join(groups.withColumnRenamed("node", "cid"), "cid", "left").select(
         "cid", "label", "digest", "copies", "least", F.coalesce("component", "cid").alias("group"))
     least = named.groupBy("group").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "group").join(counts, "cid", "left").select(
-        "label", "digest", "component_id",
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = coded.select("vec_id", "label", "digest").join(named, ["label", "digest"], "left")
-    component = F.when(F.col("digest").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
+    named = stage(named.join(least, "group").join(counts, "cid", "left").select(
+        F.struct("label", "digest").alias("class"), "component_id", "copies",
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    # vectors that link with nothing join nothing; many copies stay where they are
+    narrow = coded.select("vec_id", F.struct("label", "digest").alias("class"))
+    some = join_split(narrow.where("class.digest is not null"), named, "class", "copies")
+    none = narrow.where("class.digest is null").select(
+        "*", F.col("vec_id").alias("component_id"), F.lit(1).cast("long").alias("copies"),
+        F.lit(0).cast("long").alias("n_links"))
+    out, component = some.unionByName(none), F.col("component_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       component.alias("component_id"),
                       F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))

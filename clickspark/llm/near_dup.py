@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 from clickspark.llm.common import pick, positional, stage
 from clickspark.llm.components import components
 from clickspark.llm.shingles import U, common, mix, shingle_set
+from clickspark.llm.skew import join_split
 
 ROWS = 5  # MinHash rows of a band
 MISS = 1e-6  # chosen miss probability: of the bands, and of each batch
@@ -318,12 +319,15 @@ def near_duplicates(df: DataFrame, percent: int = 85, id_col: str = "doc_id",
 
 def _labelled(docs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
     linked = links(docs, prints, percent)
-    classes = prints.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("cid"))
-    named = classes.join(linked.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "fp", F.coalesce("component", "cid").alias("component_id"))
-    return (prints.drop("bands").join(named, "fp", "left")
-            .withColumn("component_id", F.when(F.col("fp").isNull(), F.col("doc_id"))
-                        .otherwise(F.col("component_id"))))
+    classes = prints.where("fp is not null").groupBy("fp").agg(
+        F.min("doc_id").alias("cid"), F.count(F.lit(1)).alias("copies"))
+    named = stage(classes.join(linked.withColumnRenamed("node", "cid"), "cid", "left").select(
+        "fp", "copies", F.coalesce("component", "cid").alias("component_id")))
+    # large groups of copies stay where they are; texts without a set join nothing
+    narrow = prints.drop("bands")
+    some = join_split(narrow.where("fp is not null"), named, "fp", "copies").drop("copies")
+    none = narrow.where("fp is null").withColumn("component_id", F.col("doc_id"))
+    return some.unionByName(none)
 
 
 def keep_one(df: DataFrame, percent: int = 80, id_col: str = "doc_id",
