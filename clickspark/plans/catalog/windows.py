@@ -56,6 +56,13 @@ def win_slide_pv_uv_two_stage(spark, sf_dir):
                              P.SLIDE_PVUV_STEP_MS)
 
 
+@register("win_slide_pv_uv_panes", _PVUV_SQL)
+def win_slide_pv_uv_panes(spark, sf_dir):
+    """W2 by panes: distinct users as bitmaps that windows merge."""
+    from clickspark.operators.distinct import pv_uv_panes
+    return pv_uv_panes(click_view(spark, sf_dir), P.SLIDE_PVUV_SIZE_MS, P.SLIDE_PVUV_STEP_MS)
+
+
 def _jts_sql(ms: str) -> str:
     return (f"regexp_replace(strftime(make_timestamp(({ms} + 28800000) * 1000), "
             "'%Y-%m-%d %H:%M:%S.%g'), '0{1,2}$', '')")

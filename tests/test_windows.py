@@ -120,3 +120,25 @@ def test_uv_report_text(spark):
     res = W.unique_visitors(clicks(spark, W3), 10000).withColumn("m", W.uv_report("Asia/Shanghai"))
     first = res.orderBy("windowStart").collect()[0].m
     assert first == "窗口: 2022-05-12 09:49:10.0 ~ 2022-05-12 09:49:20.0 的独立访客数量是：3"
+
+
+def test_panes_with_bitmaps_of_more_users_than_a_bucket(spark):
+    """Null users, a hot user, more users than one bitmap holds."""
+    from pyspark.sql import functions as F
+
+    from clickspark.operators.distinct import dense_numbers, pv_uv_panes
+    n = 90_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 50 == 1, F.lit(None))
+        .otherwise(F.concat(F.lit("u"), (F.col("id") % 40_000).cast("string"))).alias("user"),
+        (F.col("id") * 7 % 60_000).alias("ms"))
+    numbers = [r.number for r in dense_numbers(df, "user").collect()]
+    assert sorted(numbers) == list(range(1, len(numbers) + 1)) and len(numbers) > 32_768 / 2
+    for size, slide in ((10_000, 2_000), (10_000, None)):
+        got = {tuple(r) for r in pv_uv_panes(df, size, slide).select("pv", "uv", "windowStart").collect()}
+        want = {tuple(r) for r in W.pv_uv(df, size, slide).select("pv", "uv", "windowStart").collect()}
+        assert got == want
+    nobody = df.where("user is null")
+    row = pv_uv_panes(nobody, 60_000).first()
+    assert row.uv == 0 and row.avg_pv is None and row.pv == nobody.count()
+    assert pv_uv_panes(df.limit(0), 10_000, 2_000).count() == 0
