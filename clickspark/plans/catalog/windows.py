@@ -85,19 +85,12 @@ def win_uv(spark, sf_dir):
     "ws AS windowStart, we AS windowEnd FROM p GROUP BY ws, we",
     f"p AS ({panes_sql(P.SLIDE_PVUV_SIZE_MS, P.SLIDE_PVUV_STEP_MS)})"))
 def udaf_pv_uv(spark, sf_dir):
-    """PV/UV with a Python accumulator (create/add/merge/result) over
-    sliding 10 s / 2 s windows.  The accumulator holds a user set, so each
-    window is salted by user hash into disjoint sub-groups (merged
-    partially per input partition); their PV and UV add up exactly."""
-    from clickspark.operators.udaf import PvUv, aggregate_with, salted
-    from clickspark.session import shuffle_partitions
+    """PV/UV with a Python accumulator over sliding 10 s / 2 s windows: a
+    fold over each window's sorted users, no set in memory."""
+    from clickspark.operators.runs import PvUvRuns, aggregate_runs
     c = click_view(spark, sf_dir)
     win = W.window_col("ms", P.SLIDE_PVUV_SIZE_MS, P.SLIDE_PVUV_STEP_MS)
     panes = c.select(win.alias("w"), "user").select(*W.window_bounds("w"), "user")
-    parts = aggregate_with(salted(panes, "user", shuffle_partitions(spark)),
-                           ["windowStart", "windowEnd", "_salt"], PvUv(),
-                           {"pv": "long", "uv": "long"})
-    tot = parts.groupBy("windowStart", "windowEnd").agg(F.sum("pv").alias("pv"),
-                                                        F.sum("uv").alias("uv"))
+    tot = aggregate_runs(panes, ["windowStart", "windowEnd"], "user", PvUvRuns())
     return tot.select((F.col("pv").cast("double") / F.col("uv").cast("double")).alias("avg_pv"),
                       "windowStart", "windowEnd")

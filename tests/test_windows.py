@@ -142,3 +142,40 @@ def test_panes_with_bitmaps_of_more_users_than_a_bucket(spark):
     row = pv_uv_panes(nobody, 60_000).first()
     assert row.uv == 0 and row.avg_pv is None and row.pv == nobody.count()
     assert pv_uv_panes(df.limit(0), 10_000, 2_000).count() == 0
+
+
+def test_runs_fold_sorted_elements_in_bounded_pieces(spark):
+    """A user's aggregate that needs the order of the distinct elements, over
+    Arrow batches far smaller than a group; null keys and elements."""
+    from clickspark.operators.runs import PvUvRuns, RunAggregate, aggregate_runs
+
+    class Gaps(RunAggregate):
+        """Least and greatest element, how many, and the most rows of one."""
+
+        state = "low long, high long, n long, most long"
+
+        def fold(self, elements, counts):
+            known = elements.dropna()
+            assert known.is_monotonic_increasing and known.is_unique and len(elements) <= 16
+            return {"low": known.min() if len(known) else None, "high": known.max() if len(known) else None,
+                    "n": len(known), "most": int(counts.max())}
+
+        def merge(self, a, b):
+            low, high = ([x for x in (a[k], b[k]) if x is not None] for k in ("low", "high"))
+            return {"low": min(low, default=None), "high": max(high, default=None), "n": a["n"] + b["n"],
+                    "most": max(a["most"], b["most"])}
+    rows = [(None if i % 11 == 0 else "hot" if i % 3 else "b", None if i % 17 == 0 else i * 7 % 400)
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        got = {r.k: (r.low, r.high, r.n, r.most) for r in aggregate_runs(df, ["k"], "v", Gaps(), 3).collect()}
+        pv = {r.k: (r.pv, r.uv) for r in aggregate_runs(df, ["k"], "v", PvUvRuns()).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for k in (None, "hot", "b"):
+        own = [v for key, v in rows if key == k]
+        some = [v for v in own if v is not None]
+        assert got[k] == (min(some), max(some), len(set(some)), max(own.count(v) for v in set(own)))
+        assert pv[k] == (len(own), len(set(some)))
+    assert aggregate_runs(df.limit(0), ["k"], "v", PvUvRuns()).count() == 0
