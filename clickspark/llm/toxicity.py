@@ -44,7 +44,8 @@ MAX_BASE_WINDOWS = 20_000  # sampled for the ordinary dictionary
 LEVELS = (1, 2, 3, 4, 5, 6, 8)
 SIZES = (4, 6, 8, 10, 12)  # bytes of a fragment
 PART_BYTES, MAX_PARTS = 512, 4  # a text counts for each such part that holds a fragment, up to four
-MIN_TEXTS, MIN_RATIO, MIN_GAIN = 4, 3.0, 16.0  # toxic texts, times the expected, log likelihood ratio
+MIN_TEXTS, MIN_RATIO = 4, 3.0  # toxic texts that hold a telling fragment, times the expected
+MIN_GAIN = 6.0  # of its log likelihood ratio over the logarithm of the number of candidates
 FOLDS, FOLD = 4, 2
 CUT = 0.3
 SPACE = re.compile(rb"[\x20\x09-\x0D]+")
@@ -61,7 +62,7 @@ SEPARATES[[*range(ord("a"), ord("z") + 1), *range(128, 256)]] = False
 def _fragments(data: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Size, offsets and hashes of the byte sequences that hold no separator
     but at their ends and begin and end between characters."""
-    before = np.concatenate([[0], np.cumsum(SEPARATES[data])])
+    before = np.concatenate([[0], np.cumsum(SEPARATES[data])]).astype(np.int32)
     whole = np.concatenate([(data & 0xC0) != 0x80, [True]])
     h = np.zeros(len(data), np.uint64)
     for size in range(1, max(SIZES) + 1):
@@ -71,7 +72,7 @@ def _fragments(data: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
         h = h[:n] * np.uint64(1099511628211) + data[size - 1:] + np.uint64(1)
         if size in SIZES:
             inner = before[size - 1:size - 1 + n] - before[1:1 + n]
-            at = np.flatnonzero((inner == 0) & whole[:n] & whole[size:size + n])
+            at = np.flatnonzero((inner == 0) & whole[:n] & whole[size:size + n]).astype(np.int32)
             x = h[at]
             x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
             yield size, at, x ^ x >> np.uint64(32)
@@ -97,19 +98,23 @@ def telling(plain: list[bytes], bad: list[bytes]) -> dict[int, np.ndarray]:
     often than their share of the text lets expect: by the likelihood ratio of
     the two rates, where a text counts for each of its parts, up to MAX_PARTS."""
     sizes = np.array([len(b) for b in bad])
-    owner = np.repeat(np.arange(len(bad)), sizes)
-    part = (np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)) // PART_BYTES
+    # which text a byte is in, and which of its parts
+    owner = np.repeat(np.arange(len(bad), dtype=np.int32), sizes)
+    cell = np.concatenate([np.zeros(0, np.int32)] + [
+        np.arange(n, dtype=np.int32) // PART_BYTES + at for n, at in
+        zip(sizes, np.cumsum(-(-sizes // PART_BYTES)) - -(-sizes // PART_BYTES))]).astype(np.int32)
     counted = np.minimum(sizes, PART_BYTES * MAX_PARTS).sum()
     room = max(1, sum(map(len, plain)))
     share = counted / (counted + room)
     # by offset: the most toxic texts of a telling fragment that covers it
-    most = np.zeros(len(owner), np.int64)
+    most = np.zeros(len(owner), np.int32)
     out, told, rows = {}, [], {}
     for size, at, h in _fragments(_bytes(bad)):
         if not len(h):
             continue
-        order = np.lexsort((part[at], owner[at], h))
-        h, who, which = h[order], owner[at][order], part[at][order]
+        order = np.lexsort((cell[at], h))
+        at = at[order]
+        h, who, which = h[order], owner[at], cell[at]
         new = np.concatenate([[True], (h[1:] != h[:-1]) | (who[1:] != who[:-1])])
         held = np.concatenate([[True], new[1:] | (which[1:] != which[:-1])])
         seen = np.minimum(np.add.reduceat(held.astype(np.int64), np.flatnonzero(new)), MAX_PARTS)
@@ -119,6 +124,8 @@ def telling(plain: list[bytes], bad: list[bytes]) -> dict[int, np.ndarray]:
         if len(found):
             rows[size] = found, texts, seen
         del order, h, who, which, new, held, at
+    # the more candidates, the more chance makes one look telling
+    least = MIN_GAIN + np.log(max(1, sum(len(found) for found, _, _ in rows.values())))
     used = {size: np.zeros(len(found), np.int64) for size, (found, _, _) in rows.items()}
     for body in _chunks(plain):
         for size, _, h in _fragments(body):
@@ -134,9 +141,9 @@ def telling(plain: list[bytes], bad: list[bytes]) -> dict[int, np.ndarray]:
         gain = (seen * np.log(seen / (total * share))
                 + used[size] * np.log(np.maximum(used[size], 0.5) / (total * (1 - share))))
         rate = (used[size] + 0.5) / room * counted
-        tells = (seen >= MIN_RATIO * rate) & (gain >= MIN_GAIN)
+        tells = (seen >= MIN_RATIO * rate) & (gain >= least)
         slot = np.minimum(np.searchsorted(found, raw), len(found) - 1)
-        own = np.where((found[slot] == raw) & tells[slot], texts[slot], 0)
+        own = np.where((found[slot] == raw) & tells[slot], texts[slot], 0).astype(np.int32)
         start, raw, own = start[own > 0], raw[own > 0], own[own > 0]
         for shift in range(size):
             most[start + shift] = np.maximum(most[start + shift], own)
@@ -288,6 +295,8 @@ class Model:
             f = d.features([texts[i] for i in np.flatnonzero(fold == k)])
             x = np.zeros((len(texts), f.shape[1])) if x is None else x
             x[fold == k] = f
+        # a text shorter than all of them counts as the shortest
+        self.least = x[:, -1].min()
         self.calibration = Logistic(x, y, share=self.share)
         self.distance = self._train(texts, y, np.ones(len(y), bool))
 
@@ -299,7 +308,9 @@ class Model:
     def score(self, texts: list[str]) -> np.ndarray:
         if not texts or self.distance is None:
             return np.full(len(texts), self.share)
-        return self.calibration.predict(self.distance.features(texts))
+        x = self.distance.features(texts)
+        x[:, -1] = np.maximum(x[:, -1], self.least)
+        return self.calibration.predict(x)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
