@@ -171,7 +171,7 @@ def test_lateness_state_is_a_bounded_log(spark, monkeypatch):
                               lambda f, name, e: seen.extend(f.collect()) if name == "result" else None)
     users = [f"./u{i}" for i in range(40)]
     rows, total = [], {}
-    for epoch in range(24):
+    for epoch in range(13):
         start = BASE + epoch * 4000
         part = [(len(rows) + i, "u", u, start + i) for i, u in enumerate(users if epoch % 6 == 0 else users[:1])]
         rows += part
