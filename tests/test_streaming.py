@@ -347,3 +347,14 @@ def test_tumbling_and_uv_streams(spark):
     src3 = TW.click_lines_stream(spark, _feed(W3), files_per_trigger=1)
     uv = sorted((r.windowStart, r.uv) for r in _run(TW.unique_visitors_stream(src3, 10000), "w3"))
     assert [n for _, n in uv] == [3, 4]
+
+
+def test_console_takes_every_row(spark):
+    """The console is the JVM's own output, so its progress is read."""
+    src = TW.click_lines_stream(spark, _feed([("Mary", "./console", BASE), ("Bob", "./x", BASE + 1)]))
+    q = (TW.console(src.select("user", "url"), "late")
+         .option("checkpointLocation", tempfile.mkdtemp(prefix="clickspark-ck-", dir="/tmp"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    assert q.exception() is None and sum(p["numInputRows"] for p in q.recentProgress) == 2
+    assert "onsole" in q.recentProgress[-1]["sink"]["description"]
