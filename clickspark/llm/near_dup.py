@@ -14,10 +14,14 @@ No bucket's pairs are emitted.  First each bucket's members are compared with
 its least member (a star), and links are joined to components.  Then only
 buckets that still hold several components are searched, for pairs of
 different components: members are cut into blocks, pairs of blocks are the
-tasks, the largest component of a bucket is never compared with itself, a
-pair is looked at in its first common band only, and only posterior survivors
-leave a task.  That search is exact: nothing is capped, and links lost are
-those of the chosen miss probability.
+tasks, the largest component of a bucket is never compared with itself, and a
+pair is looked at in its first common band only.  Pairs stay inside a task: a
+member gets its signature before it is dealt to the tasks, a bucket has at most
+2 BLOCKS blocks, which grow with it, what leaves a task is a row per member
+with its posterior survivors, and what leaves the verification a spanning
+forest of the links.  So rows grow with a bucket, not with its square.  That
+search is exact: nothing is capped, and links lost are those of the chosen miss
+probability.
 
 Results: texts without words link with nothing and are their own component.
 Rows that repeat a doc_id are one document for linking.  A row without doc_id
@@ -28,7 +32,7 @@ linked by similarity).
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +48,9 @@ from clickspark.llm.skew import join_split
 ROWS = 5  # MinHash rows of a band
 MISS = 1e-6  # chosen miss probability: of the bands, and of each batch
 HASHES, BATCH = 512, 32  # of the verification signature
-TILE = 128  # classes of a block
+TILE = 128  # classes of a block, in buckets of up to BLOCKS blocks
+BLOCKS = 16  # of a bucket's largest component, and of its others
+CELLS = 1 << 16  # pairs looked at at a time
 
 
 def bands_for(percent: int) -> int:
@@ -137,18 +143,23 @@ def fingerprints(df: DataFrame, percent: int) -> DataFrame:
     return df.mapInArrow(run, out)
 
 
-def _profiles(texts: DataFrame) -> DataFrame:
-    """``cid, text`` -> ``cid, signature, shingles``."""
-    out = T.StructType([texts.schema["cid"], T.StructField("signature", T.BinaryType()),
-                        T.StructField("shingles", T.BinaryType())])
+def _profiles(texts: DataFrame, percent: int) -> DataFrame:
+    """``cid, text`` -> ``cid, bands, signature, shingles`` of the texts with words."""
+    mult = _multipliers(bands_for(percent) * ROWS, 1)
+    out = T.StructType([texts.schema["cid"], T.StructField("bands", T.ArrayType(T.LongType())),
+                        T.StructField("signature", T.BinaryType()), T.StructField("shingles", T.BinaryType())])
 
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
                 sets = [shingle_set(t or "") for t in part.column("text").to_pylist()]
+                part = part.filter(pa.array([len(s) > 0 for s in sets], pa.bool_()))
+                sets = [s for s in sets if len(s)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("cid"), pa.array([_signature(s) for s in sets], pa.binary()),
+                    [part.column("cid"),
+                     pa.array([_band_keys(s, mult) for s in sets], pa.list_(pa.int64())),
+                     pa.array([_signature(s) for s in sets], pa.binary()),
                      pa.array([s.tobytes() for s in sets], pa.binary())], names=out.names)
     return texts.mapInArrow(run, out)
 
@@ -174,35 +185,40 @@ def _pruned(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     return _with_both(pairs, profiles, "signature").mapInArrow(run, "a long, b long")
 
 
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two full sets reach the threshold."""
+    both = 0 if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)) else common(x, y)
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _verified(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets reach the threshold."""
     def run(batches):
         for b in batches:
-            keep = []
-            for x, y in zip(b.column("shingles_a").to_pylist(), b.column("shingles_b").to_pylist()):
-                x, y = np.frombuffer(x, U), np.frombuffer(y, U)
-                both = 0 if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)) else common(x, y)
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            keep = [_alike(np.frombuffer(x, U), np.frombuffer(y, U), percent)
+                    for x, y in zip(b.column("shingles_a").to_pylist(), b.column("shingles_b").to_pylist())]
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return _with_both(pairs, profiles, "shingles").mapInArrow(run, "a long, b long")
 
 
-def _tiles(entries: DataFrame) -> DataFrame:
+def _tiles(entries: DataFrame, profiles: DataFrame) -> DataFrame:
     """Cut buckets that hold several components into pairs of blocks.
 
-    ``entries(key, cid, comp)`` -> ``(tile, cid, side)``; every pair of
-    different components of a bucket meets in one tile.  The bucket's largest
-    component is cut into blocks of its own, which are only paired with
-    blocks of the others.
+    ``entries(key, cid, comp)`` -> ``(tile, key, cid, comp, first, second,
+    bands, signature)``; every pair of different components of a bucket meets
+    in one tile.  The bucket's largest component is cut into blocks of its own,
+    which are only paired with blocks of the others.
     """
     by_comp = entries.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+
+    def blocks(n):
+        return F.least(F.ceil(n / TILE), F.lit(BLOCKS)).cast("int")
     buckets = (by_comp.groupBy("key").agg(
         F.count(F.lit(1)).alias("comps"), F.sum("n").alias("n"),
         F.max(F.struct("n", "comp")).alias("top")).where("comps > 1")
-        .select("key", F.col("top.comp").alias("major"),
-                F.ceil(F.col("top.n") / TILE).cast("int").alias("majors"),
-                F.ceil((F.col("n") - F.col("top.n")) / TILE).cast("int").alias("minors")))
-    rows = entries.join(buckets, "key")
+        .select("key", F.col("top.comp").alias("major"), blocks(F.col("top.n")).alias("majors"),
+                blocks(F.col("n") - F.col("top.n")).alias("minors")))
+    rows = entries.join(buckets, "key").join(profiles.select("cid", "bands", "signature"), "cid")
     is_major = F.col("comp") == F.col("major")
     spread = F.xxhash64("cid", "key")
     block = F.when(is_major, F.col("minors") + F.pmod(spread, "majors")).otherwise(
@@ -211,16 +227,26 @@ def _tiles(entries: DataFrame) -> DataFrame:
     # a minor block meets all blocks, a major block the minor ones
     others = F.when(is_major, F.sequence(F.lit(0), F.col("minors") - 1)).otherwise(
         F.sequence(F.lit(0), F.col("minors") + F.col("majors") - 1))
-    rows = rows.select("key", "cid", "comp", "block", F.explode(others).alias("other"))
+    rows = rows.select("key", "cid", "comp", "block", "bands", "signature", F.explode(others).alias("other"))
     return rows.select(
         F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("tile"),
         "key", "cid", "comp", (F.col("block") <= F.col("other")).alias("first"),
-        (F.col("block") >= F.col("other")).alias("second"))
+        (F.col("block") >= F.col("other")).alias("second"), "bands", "signature")
+
+
+def _by_tile(rows: DataFrame, fn: Callable[[pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
+    """``fn`` of all rows of a tile."""
+    def run(batches):
+        for tile in grouped(batches, "tile"):
+            if tile.num_rows > 1:
+                yield fn(tile)
+    return rows.repartition("tile").sortWithinPartitions("tile", "cid").mapInArrow(run, schema)
 
 
 def _searched(tiles: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different components within each tile that pass the
-    sequential test; rows of a tile arrive together."""
+    """``tile, cid, partners``: the candidate pairs of different components
+    within each tile that pass the sequential test, as the greater ids beside
+    the least one.  Every id of a pair has a row."""
     least = least_matches(percent)
 
     def search(rows: pa.Table) -> pa.RecordBatch:
@@ -228,35 +254,61 @@ def _searched(tiles: DataFrame, percent: int) -> DataFrame:
         cid = rows.column("cid").to_numpy()
         comp = rows.column("comp").to_numpy()
         key = rows.column("key").to_numpy()
-        bands = np.array(rows.column("bands").to_pylist(), np.int64)
-        left = np.flatnonzero(rows.column("first").to_numpy())
-        right = np.flatnonzero(rows.column("second").to_numpy())
-        # within one block every pair appears in both orders
-        apart = comp[left][:, None] != comp[right][None, :]
-        apart &= key[left][:, None] == key[right][None, :]  # tile ids may collide
-        if np.array_equal(left, right):
-            apart &= left[:, None] < right[None, :]
-        i, j = np.nonzero(apart)
-        i, j = left[i], right[j]
-        band = np.argmax(bands == key[:, None], axis=1)
-        out_i, out_j = [], []
-        for at in range(0, len(i), 1 << 16):
-            x, y = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
-            x, y = survivors(sig, sig, x, y, least)
-            first = (bands[x] == bands[y]).argmax(1) == band[x]
-            out_i.append(cid[x[first]])
-            out_j.append(cid[y[first]])
-        a = np.concatenate(out_i) if out_i else np.zeros(0, np.int64)
-        b = np.concatenate(out_j) if out_j else np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))],
+        bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(cid), -1)
+        mine = bands == key[:, None]
+        band, own = mine.argmax(1), mine.any(1)  # a repeated id has the buckets of other texts too
+        left = np.flatnonzero(rows.column("first").to_numpy() & own)
+        right = np.flatnonzero(rows.column("second").to_numpy() & own)
+        same = np.array_equal(left, right)  # within one block every pair appears in both orders
+        found = [(left[:0], left[:0])]
+        step = max(1, CELLS // max(1, len(right)))
+        for at in range(0, len(left), step):
+            some = left[at:at + step]
+            apart = comp[some][:, None] != comp[right][None, :]
+            apart &= key[some][:, None] == key[right][None, :]  # tile ids may collide
+            if same:
+                apart &= some[:, None] < right[None, :]
+            i, j = np.nonzero(apart)
+            i, j = survivors(sig, sig, some[i], right[j], least)
+            first = (bands[i] == bands[j]).argmax(1) == band[i]
+            found.append((i[first], j[first]))
+        i, j = (cid[np.concatenate(side)] for side in zip(*found))
+        low, high = np.minimum(i, j), np.maximum(i, j)
+        order = np.argsort(low, kind="stable")
+        members = np.unique(np.concatenate([low, high]))
+        ends = np.append(np.searchsorted(low[order], members), len(low)).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(members), rows.column("tile")[0].as_py(), np.int64)), pa.array(members),
+             pa.ListArray.from_arrays(pa.array(ends), pa.array(high[order]))], names=["tile", "cid", "partners"])
+    return _by_tile(tiles, search, "tile long, cid long, partners array<long>")
+
+
+def _confirmed(found: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join within each tile of ``found`` what its pairs
+    whose full sets reach the threshold join."""
+    def confirm(rows: pa.Table) -> pa.RecordBatch:
+        ids = rows.column("cid").to_pylist()
+        partners = rows.column("partners").combine_chunks()
+        ends, others = partners.offsets.to_numpy(), partners.values.to_numpy()
+        sets: dict[int, list[np.ndarray]] = {}  # a repeated id has several
+        for c, raw in zip(ids, rows.column("shingles").to_pylist()):
+            sets.setdefault(c, []).append(np.frombuffer(raw, U))
+        root = {c: c for c in sets}
+
+        def top(c):
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+        links = []
+        for a, lo, hi in zip(ids, ends, ends[1:]):
+            for b in others[lo:hi].tolist():
+                x, y = top(a), top(b)
+                if x != y and any(_alike(s, t, percent) for s in sets[a] for t in sets[b]):
+                    root[x] = y
+                    links.append((a, b))
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)],
                                           names=["a", "b"])
-
-    def run(batches):
-        for rows in grouped(batches, "tile"):
-            if rows.num_rows > 1:
-                yield search(rows)
-    return (tiles.repartition("tile").sortWithinPartitions("tile", "cid")
-            .mapInArrow(run, "a long, b long"))
+    return _by_tile(found.join(profiles.select("cid", "shingles"), "cid"), confirm, "a long, b long")
 
 
 def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -291,7 +343,7 @@ def links(docs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
     members = entries.select("cid").distinct()
     texts = docs.where("doc_id is not null").select(F.col("doc_id").alias("cid"), "text").join(
         members.hint("shuffle_hash"), "cid", "left_semi")
-    profiles = stage(_profiles(texts))
+    profiles = stage(_profiles(texts, percent))
 
     star = entries.where("cid <> rep").select(F.col("rep").alias("a"), F.col("cid").alias("b")).distinct()
     found = stage(_verified(_pruned(star, profiles, percent), profiles, percent))
@@ -299,10 +351,7 @@ def links(docs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
 
     labelled = entries.join(joined.withColumnRenamed("node", "cid"), "cid", "left").select(
         "key", "cid", F.coalesce("component", "cid").alias("comp"))
-    tiles = (_tiles(stage(labelled))
-             .join(classes.select("cid", "bands"), "cid")
-             .join(profiles.select("cid", "signature"), "cid"))
-    more = _verified(stage(_searched(tiles, percent)), profiles, percent)
+    more = _confirmed(stage(_searched(_tiles(stage(labelled), profiles), percent)), profiles, percent)
     return components(found.union(more))
 
 

@@ -83,6 +83,37 @@ def test_near_duplicates_against_all_pairs(spark, docs, clashing, no_docs):
     assert near_dup.near_duplicates(no_docs, 85).count() == 0
 
 
+def test_rows_grow_with_a_group_of_near_copies_not_with_its_square(spark, monkeypatch):
+    n, base = 150, prose(4, 310).split()
+    rows = []
+    for k in range(n):  # pairs share one of four edits at most: alike by 77 or 79 percent
+        x, y = k % 15, k // 15
+        w = list(base)
+        for group, place in enumerate((x, y, (x + y) % 15, (x + 2 * y) % 15)):
+            w[75 * group + 5 * place + 7] = f"edit{k}"
+        rows.append((k, " ".join(w)))
+    rows += [(n + k, rows[7 * k][1] + " tail") for k in range(10)]
+    sets = {i: shingles(t) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b
+             and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = least_reachable(sets, links)
+    assert len(set(want.values())) == n
+    staged, sizes = near_dup.stage, []
+
+    def counted(df):
+        out = staged(df)
+        sizes.append(out.count())
+        return out
+    monkeypatch.setattr(near_dup, "stage", counted)
+    for tile, blocks in ((128, 16), (4, 2)):
+        monkeypatch.setattr(near_dup, "TILE", tile)
+        monkeypatch.setattr(near_dup, "BLOCKS", blocks, raising=False)
+        got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 80).collect()
+        assert {x.doc_id: x.component_id for x in got} == want
+        if tile == 128:
+            assert max(sizes) <= len(rows) * near_dup.bands_for(80)
+
+
 def test_keep_one_of_each_group(clashing, no_docs):
     kept = near_dup.keep_one(clashing[0], 80)
     assert kept.columns == clashing[0].columns
