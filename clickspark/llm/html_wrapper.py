@@ -12,13 +12,15 @@ text that varies between pages, among those that the page has.  Elements whose
 tag, class, id or role names a menu, header, footer, sidebar, notice, advert,
 form or comment list are boilerplate.  The text under the root is returned; a
 text is left out as template where it is outside a main block and the same on
-nearly all of enough distinct pages of the host.  Hosts of fewer than TELLING
-pages tell nothing of that kind; there article and main elements are the roots.
-
-Wrappers are merged map-side, then by (host, salt), then by host, always
-streaming: a task holds one wrapper per host it is reading, never a host's
-pages.  Null or empty pages have an empty text; pages without a url form a
-group of their own; repeated rows each get their own row.
+nearly all of enough distinct pages of the host, all of which are counted.
+Hosts of fewer than TELLING distinct pages tell nothing of that kind; there
+article and main elements are the roots.
+
+Wrappers of pages are merged by (host, page), map-side and then where a page's
+copies meet, so that copies count as one; then by (host, salt), then by host,
+always streaming: a task holds one wrapper of the host it is reading, never a
+host's pages.  Null or empty pages have an empty text; pages without a url form
+a group of their own; repeated rows each get their own row.
 """
 
 from __future__ import annotations
@@ -38,9 +40,8 @@ from pyspark.sql import types as T
 from clickspark.llm.common import pick, stage
 
 SALTS = 32
-HELD_HOSTS = 500  # wrappers a map task holds before it hands them on
+HELD = 1 << 21  # characters of pages whose wrappers a map task holds before it hands them on
 READ_HOSTS = 16  # wrappers a reading task keeps unpacked
-SAMPLE = 32  # distinct pages of a host, and of a slot, that are told apart
 TELLING = 5  # distinct pages of a host from which on a text can be told as template
 EVERYWHERE = 0.9  # of a host's distinct pages hold a template text
 MAX_DEPTH = 150  # elements nested deeper add their text to the one at this depth
@@ -163,30 +164,29 @@ def excluded(signature: str, tag: str) -> bool:
 # A wrapper node is a dictionary: s signature, t tag, k children, r repeated,
 # o optional, n pages, and for text slots (s "#"): c the text if it is the
 # same everywhere, v its characters, l those in links.  The root and slots
-# with a c have p, the least SAMPLE hashes of the distinct pages that hold
-# them.  As a slot's pages are among its host's, the hashes of the root that
-# the slot also has tell on which share of a sample of the host's pages it is.
+# with a c have d, the number of distinct pages that hold them.
 
 
-def shape(element: list, page: list[int] | None = None) -> dict:
+def shape(element: list) -> dict:
     """A page element as a folded wrapper."""
-    root = page is None
-    if page is None:
-        page = [hash_of("\n".join(_texts(element)))]
+    return _shape(element) | {"d": 1}
+
+
+def _shape(element: list) -> dict:
     kids: list[dict] = []
     for child in element[2]:
         if len(child) == 2:
             text = " ".join(child[0].split())
             if not text:
                 continue
-            node = {"s": "#", "c": hash_of(text), "v": len(text), "l": child[1], "n": 1, "p": page}
+            node = {"s": "#", "c": hash_of(text), "v": len(text), "l": child[1], "n": 1, "d": 1}
         else:
-            node = shape(child, page)
+            node = _shape(child)
         if kids and kids[-1]["s"] == node["s"]:
-            kids[-1] = merge(kids[-1], node, True) | {"r": 1}
+            kids[-1] = merge(kids[-1], node, inside=True) | {"r": 1}
         else:
             kids.append(node)
-    return {"s": element[0], "t": element[1], "k": fold_pairs(kids), "n": 1} | ({"p": page} if root else {})
+    return {"s": element[0], "t": element[1], "k": fold_pairs(kids), "n": 1}
 
 
 def hash_of(text: str) -> int:
@@ -194,6 +194,12 @@ def hash_of(text: str) -> int:
     return xxhash.xxh32_intdigest(text)
 
 
+def page_of(element: list) -> bytes:
+    """What copies of a page have in common."""
+    import xxhash
+    return xxhash.xxh3_128_digest("\n".join(_texts(element)))
+
+
 def _texts(element: list) -> Iterator[str]:
     """The texts of a page outside boilerplate: pages that differ elsewhere
     only are copies."""
@@ -211,35 +217,40 @@ def fold_pairs(kids: list[dict]) -> list[dict]:
     for node in kids:
         if len(out) >= 3 and out[-2]["s"] == node["s"] and out[-3]["s"] == out[-1]["s"]:
             last = out.pop()
-            out[-2] = merge(out[-2], last, True) | {"r": 1}
-            out[-1] = merge(out[-1], node, True) | {"r": 1}
+            out[-2] = merge(out[-2], last, inside=True) | {"r": 1}
+            out[-1] = merge(out[-1], node, inside=True) | {"r": 1}
         else:
             out.append(node)
     return out
 
 
-def merge(a: dict, b: dict, inside: bool = False) -> dict:
-    """Two aligned nodes as one; ``inside``: both are of one page."""
+def merge(a: dict, b: dict, inside: bool = False, copies: bool = False) -> dict:
+    """Two aligned nodes as one; ``inside``: both are of one page; ``copies``:
+    of copies of one page, which are one distinct page."""
     node = {"s": a["s"], "n": max(a["n"], b["n"]) if inside else a["n"] + b["n"]}
     node |= {f: 1 for f in ("r", "o") if a.get(f) or b.get(f)}
     if a["s"] == "#":
         node |= {"c": a["c"] if a["c"] == b["c"] else None, "v": a["v"] + b["v"], "l": a["l"] + b["l"]}
     else:
-        node |= {"t": a["t"], "k": align(a["k"], b["k"], inside)}
-    if "p" in a and "p" in b and node.get("c", 0) is not None:
-        node["p"] = a["p"] if a["p"] == b["p"] else sorted({*a["p"], *b["p"]})[:SAMPLE]
+        node |= {"t": a["t"], "k": align(a["k"], b["k"], inside, copies)}
+    if "d" in a and "d" in b and node.get("c", 0) is not None:
+        node["d"] = max(a["d"], b["d"]) if inside or copies else a["d"] + b["d"]
     return node
 
 
-def align(a: list[dict], b: list[dict], inside: bool = False) -> list[dict]:
+def align(a: list[dict], b: list[dict], inside: bool = False, copies: bool = False) -> list[dict]:
     """Align two sequences by signature; what only one has is optional."""
     sa, sb = [x["s"] for x in a], [x["s"] for x in b]
     if sa == sb:
-        return [merge(x, y, inside) for x, y in zip(a, b)]
+        return [merge(x, y, inside, copies) for x, y in zip(a, b)]
     if max(len(a), len(b)) > WIDE:  # a bag: each signature once, repeated
         bag: dict[str, dict] = {}
-        for x in a + b:
-            bag[x["s"]] = (merge(bag[x["s"]], x, inside) if x["s"] in bag else x) | {"r": 1, "o": 1}
+        for side in (a, b):  # one side's nodes are of the same pages
+            of_side: dict[str, dict] = {}
+            for x in side:
+                of_side[x["s"]] = merge(of_side[x["s"]], x, inside, True) if x["s"] in of_side else x
+            for sig, x in of_side.items():
+                bag[sig] = (merge(bag[sig], x, inside, copies) if sig in bag else x) | {"r": 1, "o": 1}
         return list(bag.values())
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
@@ -249,7 +260,7 @@ def align(a: list[dict], b: list[dict], inside: bool = False) -> list[dict]:
     out, i, j = [], 0, 0
     while i < len(a) or j < len(b):
         if i < len(a) and j < len(b) and sa[i] == sb[j]:
-            out.append(merge(a[i], b[j], inside))
+            out.append(merge(a[i], b[j], inside, copies))
             i, j = i + 1, j + 1
         elif j >= len(b) or (i < len(a) and best[i + 1][j] >= best[i][j + 1]):
             out.append(a[i] | {"o": 1})
@@ -268,19 +279,17 @@ def expression(node: dict) -> str:
     return f"({inner}){mark}" if mark else inner
 
 
-def weigh(node: dict, pages: list[int] | None = None) -> dict:
+def weigh(node: dict, pages: int | None = None) -> dict:
     """Note at every node how much text varies under it (key ``w``), whether
     a text is template (``x``), and whether an element holds varying text
     itself or in text-level children, so that it is a main block (``b``)."""
-    pages = node.get("p", []) if pages is None else pages
+    pages = node.get("d", 0) if pages is None else pages
     if node["s"] == "#":
-        if node["c"] is not None and len(pages) >= TELLING:
-            if len(set(pages).intersection(node.get("p", []))) >= EVERYWHERE * len(pages):
-                node["x"] = 1
+        if node["c"] is not None and TELLING <= pages and node.get("d", 0) >= EVERYWHERE * pages:
+            node["x"] = 1
     else:
         for k in node["k"]:
             weigh(k, pages)
-    node.pop("p", None)
     if node["s"] == "#":
         node["w"] = 0 if node.get("x") else max(0, node["v"] - 2 * node["l"])
     elif excluded(node["s"], node["t"]) or node["t"] == "header":
@@ -294,13 +303,13 @@ def weigh(node: dict, pages: list[int] | None = None) -> dict:
 
 def extract(element: list, wrapper: dict | None) -> str:
     """Text of a page under its content roots, one block a line.  The wrapper
-    decides where its host has enough pages to tell varying text from
+    decides where its host has enough distinct pages to tell varying text from
     template.  On other hosts, and where it finds nothing, tags do: what holds
     an article or main element is no boilerplate, whatever its name; without
     one outside of boilerplate, those inside count if they hold more than the
     rest."""
     text = found(element, wrapper)
-    if text and wrapper and wrapper["w"] and wrapper["n"] >= TELLING:
+    if text and wrapper and wrapper["w"] and wrapper["d"] >= TELLING:
         return text
     return explicit(element) or max(text, explicit(element, inside=True), key=len)
 
@@ -390,13 +399,12 @@ def _walk(element: list, node: dict | None, mode: int, blocks: list[str]) -> Non
             _walk(child, slot, mode if child[1] in BLOCKS else inner, blocks)
 
 
-def _merge_stream(rows: Iterator[tuple[tuple, str]]) -> Iterator[tuple[tuple, dict]]:
+def _merge_stream(rows: Iterator[tuple[tuple, dict]], copies: bool = False) -> Iterator[tuple[tuple, dict]]:
     """Rows sorted by key: one merged wrapper per key."""
     last, held = None, None
-    for key, packed in rows:
-        node = json.loads(packed)
+    for key, node in rows:
         if held is not None and key == last:
-            held = merge(held, node)
+            held = merge(held, node, copies=copies)
         else:
             if held is not None:
                 yield last, held
@@ -408,32 +416,40 @@ def _merge_stream(rows: Iterator[tuple[tuple, str]]) -> Iterator[tuple[tuple, di
 def wrappers(pages: DataFrame) -> DataFrame:
     """``host, html`` -> ``host, wrapper`` (JSON), one per host."""
     def shapes(batches):
-        held: dict[str, dict] = {}
+        held: dict[tuple[str, bytes], dict] = {}
+        size = 0
         for b in batches:
             for host, source in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
-                node = shape(parse(source or ""))
-                held[host] = merge(held[host], node) if host in held else node
-                if len(held) > HELD_HOSTS:
+                tree = parse(source or "")
+                key, node = (host, page_of(tree)), shape(tree)
+                held[key] = merge(held[key], node, copies=True) if key in held else node
+                size += len(source or "") + 1
+                if size > HELD:
                     yield packed(held)
-                    held = {}
+                    held, size = {}, 0
         if held:
             yield packed(held)
 
     def packed(held):
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()),
-                                           pa.array([json.dumps(w) for w in held.values()])],
-                                          names=["host", "wrapper"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([h for h, _ in held], pa.string()), pa.array([p for _, p in held], pa.binary()),
+             pa.array([json.dumps(w, separators=(",", ":")) for w in held.values()], pa.string())],
+            names=["host", "page", "wrapper"])
 
     def fold(batches, keys, last):
-        rows = ((tuple(b.column(k)[i].as_py() for k in keys), b.column("wrapper")[i].as_py())
+        rows = ((tuple(b.column(k)[i].as_py() for k in keys), json.loads(b.column("wrapper")[i].as_py()))
                 for b in batches for i in range(b.num_rows))
+        if "page" in keys:
+            rows = ((key[:1], node) for key, node in _merge_stream(rows, copies=True))
         for key, node in _merge_stream(rows):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([key[0]], pa.string()),
                  pa.array([json.dumps(weigh(node) if last else node)])],
                 names=["host", "wrapper"])
     kind = "host string, wrapper string"
-    parts = pages.select("host", "html").mapInArrow(shapes, kind)
+    each = pages.select("host", "html").mapInArrow(shapes, "host string, page binary, wrapper string")
+    parts = (each.repartition("host", "page").sortWithinPartitions("host", "page")
+             .mapInArrow(lambda bs: fold(bs, ["host", "page"], False), kind))
     salted = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)))
     some = (salted.repartition("host", "salt").sortWithinPartitions("host", "salt")
             .mapInArrow(lambda bs: fold(bs, ["host", "salt"], False), kind))

@@ -2,6 +2,7 @@
 
 import functools
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -257,6 +258,25 @@ def test_only_what_all_pages_have_is_template(spark):
     assert {got[i] for i in range(40, 50)} == {prose(7, 30) + "\n" + prose(507, 30)}
 
 
+def test_template_is_told_from_all_pages_of_a_host(spark):
+    rows, n = [], 512
+    for i in range(n):  # 64 pages on each of 8 hosts; a part of them may all have what only most have
+        note = "<div class=note>Most have it</div>" if i // 8 % 8 else ""
+        line = "<div class=line>Nearly all have it</div>" if i // 8 % 16 else ""
+        rows.append((i, f"http://c{i % 8}.example/", page(
+            f"{note}{line}<div class=a><p>{prose(i, 30)}</p></div><div class=b><p>{prose(i + 900, 30)}</p></div>")))
+    rows += [(n + i, *rows[0][1:]) for i in range(40)]  # copies are one page
+    got = wrap_all(spark, rows)
+    for i in range(n):
+        assert got[i] == ("Most have it\n" if i // 8 % 8 else "") + prose(i, 30) + "\n" + prose(i + 900, 30)
+    known = html_wrapper.wrappers(spark.createDataFrame(rows, "page_id long, url string, html string")
+                                  .selectExpr("url AS host", "html")).collect()
+    known = {r.host: json.loads(r.wrapper) for r in known}
+    assert {w["d"] for w in known.values()} == {64} and sum(w["n"] for w in known.values()) == n + 40
+    copies = [html_wrapper.shape(html_wrapper.parse(f"<p>{c}</p>")) for c in (1, 2)]
+    assert html_wrapper.merge(*copies, copies=True)["d"] == 1 and html_wrapper.merge(*copies)["d"] == 2
+
+
 def test_wrapper_is_union_free():
     a = html_wrapper.shape(html_wrapper.parse("<div><h1>x</h1><p>a<p>b</div>"))
     b = html_wrapper.shape(html_wrapper.parse("<div><h1>x</h1><p>c<hr><table><tr><td>1</table></div>"))
